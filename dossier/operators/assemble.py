@@ -65,16 +65,22 @@ def over_budget(prompt, limit: int = PROMPT_TOKEN_LIMIT) -> F.Column:
     return T.estimated_tokens(prompt) > F.lit(limit)
 
 
-def source_excerpts(links: DataFrame, entities: DataFrame, corpus: DataFrame,
-                    key: str = "candid") -> DataFrame:
-    """One row per linked (entity, source): the cascade excerpt of the
-    source text. ``links`` (key, page_id, url, rank) is small (r rows per
+def linked_text(links: DataFrame, entities: DataFrame, corpus: DataFrame,
+                key: str = "candid") -> DataFrame:
+    """Linked (entity, source) pairs with the source text and the entity's
+    name parts. ``links`` (key, page_id, url, rank) is small (r rows per
     entity) and is broadcast after a count, so the corpus is scanned once
-    and never shuffled; text is only produced for linked pages."""
+    and never shuffled."""
     names = entities.select(key, "first", "middle", "last")
     pairs = checked_broadcast(links.select(key, "page_id", "url", "rank").join(names, key))
-    j = corpus.select("page_id", "text").join(pairs, "page_id")
-    return j.select(
+    return corpus.select("page_id", "text").join(pairs, "page_id")
+
+
+def source_excerpts(links: DataFrame, entities: DataFrame, corpus: DataFrame,
+                    key: str = "candid") -> DataFrame:
+    """One row per linked (entity, source): the cascade excerpt of the
+    source text and the name level it is anchored on."""
+    return linked_text(links, entities, corpus, key).select(
         key, "rank", "page_id", "url",
         T.cascade_level("text", "last", "first", "middle").alias("level"),
         T.cascade_excerpt("text", "last", "first", "middle").alias("excerpt"),

@@ -136,6 +136,15 @@ TEXT_ENTITIES = f"""text_entities AS (
 PAGE_CORPUS = f"""corpus AS (
   SELECT page_id, url, {html_to_text('html')} AS text FROM pages)"""
 
+DOC_CORPUS = """corpus AS (
+  SELECT doc_id AS page_id, 'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
+         lower(text) AS text FROM documents)"""
+
+EN_US_PAGES = f"""corpus AS (
+  SELECT page_id, url, {html_to_text('html')} AS text FROM pages
+  WHERE regexp_extract(html, '<html[^>]*\\blang="([^"]*)"', 1) = 'en'
+    AND ends_with(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '.com'))"""
+
 
 def links_overlap(r: int = 4, ents: str = "text_entities", corpus: str = "corpus") -> str:
     return f"""ent_terms AS (
@@ -174,11 +183,16 @@ links AS (
   WHERE rank <= {r})"""
 
 
-EXCERPTS = f"""excerpts AS (
-  SELECT l.candid, l.rank, l.page_id, l.url,
+def excerpts(corpus: str = "corpus", ents: str = "text_entities") -> str:
+    return f"""excerpts AS (
+  SELECT l.candid, l.rank, l.page_id, l.url, l.score,
          {cascade_level('c.text', 'e.last', 'e.first', 'e.middle')} AS level,
-         {cascade_excerpt('c.text', 'e.last', 'e.first', 'e.middle')} AS excerpt
-  FROM links l JOIN text_entities e ON l.candid = e.candid JOIN corpus c ON l.page_id = c.page_id)"""
+         {cascade_excerpt('c.text', 'e.last', 'e.first', 'e.middle')} AS excerpt,
+         c.text AS text, e.last AS last
+  FROM links l JOIN {ents} e ON l.candid = e.candid JOIN {corpus} c ON l.page_id = c.page_id)"""
+
+
+EXCERPTS = excerpts()
 
 CONTEXTS = """contexts AS (
   SELECT candid, string_agg(excerpt, ' ' ORDER BY rank) AS context,

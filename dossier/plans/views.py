@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dossier.functions import text as T
 from dossier.functions.states import decode_state
 from dossier.operators.joins import checked_broadcast
-from dossier.sources.tables import table
+from dossier.sources.tables import table  # noqa: F401  (re-exported)
 
 # Padded state codes handed out by nation key. Keys 0-19 are known codes
 # (with stray spaces to exercise the strip); 20-24 are outside the
@@ -70,3 +70,34 @@ def page_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawled pages with their visible text (page_id, url, text)."""
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", "url", T.html_to_text("html").alias("text"))
+
+
+LANG_ATTR = r'<html[^>]*\blang="([^"]*)"'
+URL_HOST = r"^[a-z]+://([^/?#:]+)"
+
+
+def doc_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a corpus (page_id = doc_id), text lower-cased."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.col("doc_id").alias("page_id"),
+        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
+        F.lower("text").alias("text"))
+
+
+def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
+                   host_suffixes: tuple[str, ...] = (".com",)) -> DataFrame:
+    """Pages restricted to one language (the page's ``lang`` attribute) and
+    to hosts with one of the given suffixes (the country restriction)."""
+    p = table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", URL_HOST, 1)
+    keep = F.regexp_extract("html", LANG_ATTR, 1) == lang
+    keep = keep & F.greatest(*[F.endswith(host, F.lit(s)) for s in host_suffixes]) \
+        if len(host_suffixes) > 1 else keep & F.endswith(host, F.lit(host_suffixes[0]))
+    return p.filter(keep).select("page_id", "url", T.html_to_text("html").alias("text"))
+
+
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paged text: a conversation is a document, its turn the page number."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("seg_no"), "text")
