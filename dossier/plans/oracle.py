@@ -202,3 +202,44 @@ CONTEXTS = """contexts AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def _reply_sql() -> str:
+    from dossier.plans.views import REPLY_COLUMNS, REPLY_VARIANTS
+    whens = []
+    for i, parts in enumerate(REPLY_VARIANTS):
+        body = " || ".join(x if x in REPLY_COLUMNS else q(x).replace("\n", "' || chr(10) || '")
+                           for x in parts)
+        whens.append(f"WHEN {i} THEN {body}")
+    return f"CASE doc_id % {len(REPLY_VARIANTS)} " + " ".join(whens) + " END"
+
+
+REPLIES = f"""reply_parts AS (
+  SELECT doc_id, source, lang, n_chars,
+         coalesce(toks[1], '') AS w1, coalesce(toks[2], '') AS w2, coalesce(toks[3], '') AS w3,
+         CAST(n_chars % 100 AS VARCHAR) AS conf
+  FROM (SELECT *, {letter_terms('lower(text)')} AS toks FROM documents)),
+replies AS (
+  SELECT CAST(doc_id AS VARCHAR) AS candid, doc_id AS "row", concat_ws(' ', w1, w2) AS name,
+         {decode_state(sab_for('doc_id'))} AS state,
+         CAST(1967 + doc_id % 51 AS INTEGER) AS min_year,
+         'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS sources,
+         lang, source, n_chars,
+         {_reply_sql()} AS response
+  FROM reply_parts)"""
+
+
+def parsed_cols(reply: str = "response") -> str:
+    """SELECT-list items that parse ``reply`` like dossier.operators.parse."""
+    from dossier.operators.parse import ANSWER_COLS, ANSWER_KEYS
+    clean = f"replace({reply}, chr(10), '')"
+    ok = (f"(regexp_matches({clean}, {q(T.JSON_OBJECT_SHAPE)}) AND CASE WHEN json_valid({clean}) "
+          f"THEN json_type(({clean})::JSON) = 'OBJECT' ELSE false END)")
+    items = [f"{ok} AS parsed"]
+    for k, c in zip(ANSWER_KEYS, ANSWER_COLS):
+        items.append(f"CASE WHEN {ok} THEN coalesce(json_extract_string({clean}, {q('$.' + chr(34) + k + chr(34))}), '') "
+                     f"ELSE '' END AS {c}")
+    keys = ", ".join(q(k) for k in ANSWER_KEYS)
+    items.append(f"CASE WHEN {ok} THEN array_to_string(list_sort(list_filter(json_keys(CASE WHEN {ok} THEN ({clean})::JSON END), "
+                 f"lambda k: k NOT IN ({keys}))), ',') ELSE NULL END AS extra_keys")
+    return ",\n  ".join(items)

@@ -1 +1,244 @@
-"""Query bindings."""
+"""Parse, enrichment, dead-letter and rerun query bindings."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from dossier.operators import assemble as A
+from dossier.operators import enrich as EN
+from dossier.operators import entities as E
+from dossier.operators import parse as P
+from dossier.operators import rerun as R
+from dossier.operators.stubs import FlakyService, rule_reply
+from dossier.plans import oracle as O
+from dossier.plans import views as V
+from dossier.plans.catalog import register
+from dossier.plans.q_entities import NORM
+from dossier.plans.q_text import PIPE, page_prompts
+from dossier.session import materialize, scratch_path
+
+ANSWERS = list(P.ANSWER_COLS)
+ROUTE_TIMEOUT, ROUTE_SLEEP = 0.25, 1.0
+RERUN_TOKEN_LIMIT = 8192
+QUEUE_OFFSET = 10
+
+REPLIES_SQL = O.with_(O.REPLIES, f"""parsed AS (
+  SELECT *, {O.parsed_cols('response')} FROM replies)""")
+
+
+def parsed_replies(spark, sf_dir):
+    return P.parse_replies(V.replies(spark, sf_dir), "response")
+
+
+@register("parse_json", REPLIES_SQL + """
+SELECT candid, parsed, college_major, undergraduate_institution, highest_degree, work_history,
+       confidence, extra_keys, TRY_CAST(confidence AS INTEGER) AS confidence_int FROM parsed""")
+def q_parse_json(spark, sf_dir):
+    return parsed_replies(spark, sf_dir).select("candid", "parsed", *ANSWERS, "extra_keys", "confidence_int")
+
+
+@register("parse_errors", REPLIES_SQL + f"""
+SELECT candid, response, 'parse' AS stage, {O.q(R.PARSE_REASON)} AS reason FROM parsed WHERE NOT parsed""")
+def q_parse_errors(spark, sf_dir):
+    return (parsed_replies(spark, sf_dir).filter(~F.col("parsed"))
+            .select("candid", "response", F.lit(R.STAGE_PARSE).alias("stage"),
+                    F.lit(R.PARSE_REASON).alias("reason")))
+
+
+WIDE = ["name", "state", "min_year", "candid", *ANSWERS[:4], "sources", "confidence", "confidence_int"]
+
+
+@register("extract_wide", REPLIES_SQL + """
+SELECT name, state, min_year, candid, college_major, undergraduate_institution, highest_degree,
+       work_history, sources, confidence, TRY_CAST(confidence AS INTEGER) AS confidence_int
+FROM parsed WHERE parsed""")
+def q_extract_wide(spark, sf_dir):
+    return parsed_replies(spark, sf_dir).filter("parsed").select(*WIDE)
+
+
+@register("null_tokens", REPLIES_SQL + f"""
+SELECT candid, {O.null_tokens('college_major')} AS college_major,
+       {O.null_tokens('undergraduate_institution')} AS undergraduate_institution,
+       {O.null_tokens('highest_degree')} AS highest_degree,
+       {O.null_tokens('work_history')} AS work_history
+FROM parsed WHERE parsed""")
+def q_null_tokens(spark, sf_dir):
+    p = parsed_replies(spark, sf_dir).filter("parsed").select("candid", *ANSWERS[:4])
+    return P.null_answer_tokens(p)
+
+
+@register("birth_year", """
+WITH br AS (SELECT CAST(doc_id AS VARCHAR) AS candid,
+  CASE doc_id % 4 WHEN 0 THEN CAST(1940 + doc_id % 60 AS VARCHAR)
+                  WHEN 1 THEN 'Graduated in ' || CAST(1960 + doc_id % 50 AS VARCHAR)
+                  WHEN 2 THEN 'N/A'
+                  ELSE 'He was born in ' || CAST(1930 + doc_id % 70 AS VARCHAR) || ' and graduated in '
+                       || CAST(1955 + doc_id % 70 AS VARCHAR) END AS reply FROM documents)
+SELECT candid, reply, coalesce(TRY_CAST(nullif(regexp_extract(reply, """ + O.q(P.BORN_YEAR) + """, 1), '') AS INTEGER),
+                               TRY_CAST(nullif(regexp_extract(reply, """ + O.q(P.GRAD_YEAR) + f""", 1), '') AS INTEGER)
+                               - {P.GRADUATION_AGE}) AS birth_year FROM br""")
+def q_birth_year(spark, sf_dir):
+    b = V.birth_replies(spark, sf_dir)
+    return b.select("candid", "reply", P.birth_year("reply").alias("birth_year"))
+
+
+REQUIRED = ("candid", "first", "middle", "last", "state")
+
+
+@register("completeness_guard", "WITH " + NORM + """
+SELECT candid, CASE WHEN middle IS NULL THEN 'incomplete' ELSE 'ok' END AS status,
+       CASE WHEN middle IS NULL THEN 'middle' ELSE '' END AS missing FROM norm""")
+def q_completeness_guard(spark, sf_dir):
+    n = E.normalise(V.entities(spark, sf_dir))
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
+    return n.select("candid", F.when(missing == "", "ok").otherwise("incomplete").alias("status"),
+                    missing.alias("missing"))
+
+
+# --- enrichment over the page prompts with the rule-based stub -------------------
+
+def stub_run(spark, sf_dir, token_limit=A.PROMPT_TOKEN_LIMIT):
+    prompts = page_prompts(spark, sf_dir).select("candid", "full", "state", "min_year", "prompt")
+    pol = EN.Policy(tries=1, timeout=None, token_limit=token_limit, **EN.NO_WAIT)
+    return materialize(EN.enrich(prompts, rule_reply, "prompt", policy=pol,
+                                 partitions=spark.sparkContext.defaultParallelism))
+
+
+_WORDS = f"list_filter(string_split({O.recover_excerpt('prompt')}, ' '), lambda w: w <> '')"
+STUB_SQL = PIPE + f""",
+called AS (
+  SELECT candid, prompt, {_WORDS} AS w,
+         CASE WHEN {O.estimated_tokens('prompt')} > {A.PROMPT_TOKEN_LIMIT} THEN 'prompt' ELSE 'ok' END AS status
+  FROM prompts)"""
+
+
+@register("enrich_stub", STUB_SQL + """
+SELECT candid, status, status = 'ok' AS parsed,
+  CASE WHEN status <> 'ok' THEN '' WHEN len(w) > 0 THEN w[1] ELSE 'N/A' END AS college_major,
+  CASE WHEN status <> 'ok' THEN '' WHEN len(w) > 1 THEN w[2] || ' university' ELSE 'N/A' END AS undergraduate_institution,
+  CASE WHEN status <> 'ok' THEN '' ELSE 'N/A' END AS highest_degree,
+  CASE WHEN status <> 'ok' THEN '' WHEN len(w) > 2 THEN w[3] ELSE 'N/A' END AS work_history,
+  CASE WHEN status <> 'ok' THEN '' ELSE CAST(least(100, len(w)) AS VARCHAR) END AS confidence
+FROM called""")
+def q_enrich_stub(spark, sf_dir):
+    out = P.parse_replies(stub_run(spark, sf_dir), "response")
+    return out.select("candid", "status", "parsed", *ANSWERS)
+
+
+@register("rerun_prompt_errors", STUB_SQL + f"""
+SELECT candid, CASE WHEN {O.estimated_tokens('prompt')} > {RERUN_TOKEN_LIMIT} THEN 'prompt' ELSE 'ok' END AS status
+FROM called WHERE status = 'prompt'""")
+def q_rerun_prompt_errors(spark, sf_dir):
+    first = stub_run(spark, sf_dir)
+    results, dead = R.split_outcomes(first)
+    queue = R.failure_queue(dead, results, stages=(R.STAGE_PROMPT,))
+    prompts = R.replay_keys(first.select("candid", "prompt"), queue)
+    pol = EN.Policy(tries=1, timeout=None, token_limit=RERUN_TOKEN_LIMIT, **EN.NO_WAIT)
+    again = EN.enrich(prompts, rule_reply, "prompt", policy=pol)
+    return again.select("candid", "status")
+
+
+# --- scripted-failure run over the entity table -----------------------------------
+
+def route_run(spark, sf_dir, service=None, timeout=ROUTE_TIMEOUT, tries=3):
+    ents = E.normalise(V.entities(spark, sf_dir))
+    prompts = ents.select("candid", "row", "full", "state", "min_year",
+                          A.query_text("full", "state").alias("prompt"))
+    pol = EN.Policy(tries=tries, timeout=timeout, token_limit=None, **EN.NO_WAIT)
+    svc = service or FlakyService(sleep=ROUTE_SLEEP)
+    return materialize(EN.enrich(prompts, svc, "prompt", key_col="candid", policy=pol,
+                                 partitions=spark.sparkContext.defaultParallelism))
+
+
+ROUTE_SQL = "WITH " + NORM + f""",
+k AS (SELECT candid, "row", CAST(candid AS BIGINT) AS k FROM norm),
+outcome AS (
+  SELECT candid, "row", k,
+    CASE WHEN k % 7 = 0 THEN 'enrich' WHEN k % 50 = 1 THEN 'timeout' WHEN k % 10 = 4 THEN 'parse' ELSE 'final' END AS stage,
+    CASE WHEN k % 7 = 0 THEN 'RuntimeError: service unavailable'
+         WHEN k % 50 = 1 THEN 'no reply within {ROUTE_TIMEOUT}s'
+         WHEN k % 10 = 4 THEN {O.q(R.PARSE_REASON)} ELSE NULL END AS reason
+  FROM k)
+"""
+
+
+@register("enrich_retry", "WITH " + NORM + """
+SELECT candid, CASE WHEN CAST(candid AS BIGINT) % 7 = 0 THEN 'error' ELSE 'ok' END AS status,
+       CAST(CASE WHEN CAST(candid AS BIGINT) % 7 = 0 THEN 3 WHEN CAST(candid AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END
+            AS INTEGER) AS attempts
+FROM norm""")
+def q_enrich_retry(spark, sf_dir):
+    out = route_run(spark, sf_dir, service=FlakyService(sleep=0.0), timeout=None)
+    return out.select("candid", "status", "attempts")
+
+
+@register("route_failures", ROUTE_SQL + "SELECT candid, stage, reason FROM outcome WHERE stage <> 'final'")
+def q_route_failures(spark, sf_dir):
+    _, dead = R.split_outcomes(route_run(spark, sf_dir))
+    return dead.select("candid", "stage", "reason")
+
+
+@register("missing_entities", ROUTE_SQL + "SELECT candid FROM outcome WHERE stage <> 'final'")
+def q_missing_entities(spark, sf_dir):
+    results, _ = R.split_outcomes(route_run(spark, sf_dir))
+    ents = E.normalise(V.entities(spark, sf_dir))
+    return R.missing_entities(ents, results).select("candid")
+
+
+@register("loss_funnel", ROUTE_SQL + """
+SELECT stage, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM outcome GROUP BY stage""")
+def q_loss_funnel(spark, sf_dir):
+    results, dead = R.split_outcomes(route_run(spark, sf_dir))
+    allrows = results.select(F.lit("final").alias("stage")).unionByName(dead.select("stage"))
+    counts = allrows.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    # the grand total is a window over the (at most five) stage rows
+    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
+
+
+@register("stage_counts", ROUTE_SQL + """
+SELECT 'entities' AS stage, count(*) AS n FROM outcome
+UNION ALL SELECT 'results', count(*) FROM outcome WHERE stage = 'final'
+UNION ALL SELECT 'dead_letters', count(*) FROM outcome WHERE stage <> 'final'""")
+def q_stage_counts(spark, sf_dir):
+    run = route_run(spark, sf_dir)
+    results, dead = R.split_outcomes(run)
+
+    def c(df, name):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+    return c(run, "entities").unionByName(c(results, "results")).unionByName(c(dead, "dead_letters"))
+
+
+@register("rerun_offset", ROUTE_SQL + f"""
+SELECT candid, stage FROM outcome WHERE stage <> 'final' ORDER BY "row" OFFSET {QUEUE_OFFSET}""")
+def q_rerun_offset(spark, sf_dir):
+    _, dead = R.split_outcomes(route_run(spark, sf_dir))
+    return R.offset_queue(dead, QUEUE_OFFSET, order="row").select("candid", "stage")
+
+
+@register("rerun_timeouts", ROUTE_SQL + """
+SELECT candid, 'ok' AS status, CAST(CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS attempts
+FROM outcome WHERE stage = 'timeout'""")
+def q_rerun_timeouts(spark, sf_dir):
+    _, dead = R.split_outcomes(route_run(spark, sf_dir))
+    again = dead.filter(F.col("stage") == R.STAGE_TIMEOUT).select("candid", "row", "full", "state",
+                                                                   "min_year", "prompt")
+    pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
+    out = EN.enrich(again, FlakyService(sleep=0.01), "prompt", key_col="candid", policy=pol)
+    return out.select("candid", "status", "attempts")
+
+
+@register("rerun_append", ROUTE_SQL + """
+SELECT candid, CASE WHEN stage IN ('enrich', 'timeout') THEN 2 ELSE 1 END AS attempt, 'ok' AS status
+FROM outcome""")
+def q_rerun_append(spark, sf_dir):
+    first = route_run(spark, sf_dir)
+    path = scratch_path(spark, "reruns")
+    R.append_attempt(first.select("candid", "status"), path, 1)
+    failed = first.filter(F.col("status").isin(EN.STATUS_ERROR, EN.STATUS_TIMEOUT)).drop(
+        "response", "status", "reason", "attempts")
+    pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
+    second = EN.enrich(failed, FlakyService(heal=True), "prompt", key_col="candid", policy=pol)
+    R.append_attempt(second.select("candid", "status"), path, 2)
+    return R.latest_attempt(spark.read.parquet(path)).select("candid", "attempt", "status")

@@ -101,3 +101,70 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paged text: a conversation is a document, its turn the page number."""
     c = table(spark, sf_dir, "conversations")
     return c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("seg_no"), "text")
+
+
+# Reply variants built from each document (doc_id % 10 picks one): valid,
+# missing key, extra key, newlines inside, N/A answers, nested list,
+# truncated, plain text, numeric confidence, code-fenced. Items are either
+# literal text or the name of a column of ``reply_parts``.
+_K = ('"College Major": "', '", "Undergraduate Institution": "', '", "Highest Degree and Institution": "',
+      '", "Work History": "', '", "Confidence Level": "')
+REPLY_VARIANTS = (
+    ["{" + _K[0], "w1", _K[1], "w2", " university" + _K[2] + "ba, ", "w3", " college" + _K[3], "w1", " ", "w2",
+     _K[4], "conf", '"}'],
+    ["{" + _K[0], "w1", _K[1], "w2", " university" + _K[2] + "N/A" + _K[4], "conf", '"}'],
+    ["{" + _K[0], "w1", _K[1], "w2", _K[2] + "N/A" + _K[3], "w3", _K[4], "conf", '", "Party": "', "w3", '"}'],
+    ["{\n" + _K[0], "w1", '",\n"Undergraduate Institution": "', "w2", "\nuniversity" + _K[2] + "N/A" + _K[3],
+     "w3", _K[4], "conf", '"\n}'],
+    ["{" + _K[0] + "N/A" + _K[1] + "N/A" + _K[2] + "N/A" + _K[3] + "N/A" + _K[4] + '0"}'],
+    ["{" + _K[0], "w1", _K[1], "w2", _K[2] + 'N/A", "Work History": ["', "w1", '", "', "w2",
+     '"], "Confidence Level": "', "conf", '"}'],
+    ["{" + _K[0], "w1", _K[1], "w2"],
+    ["No information about ", "w1", " was found."],
+    ["{" + _K[0], "w1", _K[1], "w2", _K[2] + "N/A" + _K[3], "w3", '", "Confidence Level": ', "conf", "}"],
+    ["```json\n{" + _K[0], "w1", '"}\n```'],
+)
+REPLY_COLUMNS = ("w1", "w2", "w3", "conf")
+
+
+def reply_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    toks = T.letter_terms(F.lower("text"))
+    return d.select(
+        "doc_id", "source", "lang", "n_chars",
+        *[F.coalesce(F.try_element_at(toks, F.lit(i)), F.lit("")).alias(f"w{i}") for i in (1, 2, 3)],
+        (F.col("n_chars") % 100).cast("string").alias("conf"))
+
+
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model reply per document (candid = doc_id) with the entity
+    attributes the extraction carries along."""
+    p = reply_parts(spark, sf_dir)
+    v = F.col("doc_id") % len(REPLY_VARIANTS)
+    expr = None
+    for i, parts in enumerate(REPLY_VARIANTS):
+        body = F.concat(*[F.col(x) if x in REPLY_COLUMNS else F.lit(x) for x in parts])
+        expr = F.when(v == i, body) if expr is None else expr.when(v == i, body)
+    k = F.col("doc_id")
+    return p.select(
+        k.cast("string").alias("candid"), k.alias("row"),
+        F.concat_ws(" ", "w1", "w2").alias("name"),
+        decode_state(sab_for(k)).alias("state"),
+        (F.lit(1967) + k % 51).cast("int").alias("min_year"),
+        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), k.cast("string")).alias("sources"),
+        "lang", "source", "n_chars",
+        expr.alias("response"))
+
+
+def birth_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-text birth-year replies, one per document (doc_id % 4 picks:
+    a bare year, a graduation year, N/A, a sentence with a birth year)."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    v = k % 4
+    reply = (F.when(v == 0, (F.lit(1940) + k % 60).cast("string"))
+             .when(v == 1, F.concat(F.lit("Graduated in "), (F.lit(1960) + k % 50).cast("string")))
+             .when(v == 2, F.lit("N/A"))
+             .otherwise(F.concat(F.lit("He was born in "), (F.lit(1930) + k % 70).cast("string"),
+                                 F.lit(" and graduated in "), (F.lit(1955) + k % 70).cast("string"))))
+    return d.select(k.cast("string").alias("candid"), reply.alias("reply"))
