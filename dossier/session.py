@@ -60,9 +60,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage once with a reliable checkpoint in the shared folder, so
-    that a slow or paid step upstream is never re-run by later actions and
-    lost executors recompute from the checkpoint, not from the source."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and read it back. The plan above runs in exactly one job, so a slow or
+    paid step (or a non-deterministic one) is never re-run by later
+    actions, and lost executors recompute from the table, not the source."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
