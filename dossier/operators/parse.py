@@ -35,15 +35,22 @@ def reply_map(reply) -> F.Column:
     return F.when(clean.rlike(T.JSON_OBJECT_SHAPE), parsed)
 
 
+def last_value(m, key: str) -> F.Column:
+    """Value of ``key`` in a parsed reply; when the reply repeats a key the
+    last one wins, as in a standard JSON parser."""
+    hits = F.filter(F.map_entries(T.col(m)), lambda e: e["key"] == F.lit(key))
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def parse_replies(df: DataFrame, reply: str = "response") -> DataFrame:
     """Adds ``parsed`` (bool), the five answer columns ('' when a key is
     missing), ``extra_keys`` (other keys, sorted, comma-joined) and
     ``confidence_int``. Keys of the reply never overwrite other columns."""
     m = reply_map(reply)
     out = df.withColumn("_m", m)
-    cols = [F.coalesce(F.try_element_at(F.col("_m"), F.lit(k)), F.lit("")).alias(c)
+    cols = [F.coalesce(last_value("_m", k), F.lit("")).alias(c)
             for k, c in zip(ANSWER_KEYS, ANSWER_COLS)]
-    extra = F.array_join(F.array_sort(F.filter(F.map_keys("_m"),
+    extra = F.array_join(F.array_sort(F.filter(F.array_distinct(F.map_keys("_m")),
                                                lambda k: ~k.isin(*ANSWER_KEYS))), ",")
     return out.select(
         *df.columns, F.col("_m").isNotNull().alias("parsed"), *cols,
