@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions import text as T
+from dossier.operators.corpus import as_corpus
 from dossier.operators.joins import checked_broadcast
 
 # --- fixed values that must equal the reference ------------------------------
@@ -65,18 +66,18 @@ def over_budget(prompt, limit: int = PROMPT_TOKEN_LIMIT) -> F.Column:
     return T.estimated_tokens(prompt) > F.lit(limit)
 
 
-def linked_text(links: DataFrame, entities: DataFrame, corpus: DataFrame,
+def linked_text(links: DataFrame, entities: DataFrame, corpus,
                 key: str = "candid") -> DataFrame:
     """Linked (entity, source) pairs with the source text and the entity's
     name parts. ``links`` (key, page_id, url, rank) is small (r rows per
     entity) and is broadcast after a count, so the corpus is scanned once
-    and never shuffled."""
+    and never shuffled; text is only produced for linked documents."""
     names = entities.select(key, "first", "middle", "last")
     pairs = checked_broadcast(links.select(key, "page_id", "url", "rank").join(names, key))
-    return corpus.select("page_id", "text").join(pairs, "page_id")
+    return as_corpus(corpus).text_for(pairs)
 
 
-def source_excerpts(links: DataFrame, entities: DataFrame, corpus: DataFrame,
+def source_excerpts(links: DataFrame, entities: DataFrame, corpus,
                     key: str = "candid") -> DataFrame:
     """One row per linked (entity, source): the cascade excerpt of the
     source text and the name level it is anchored on."""

@@ -14,6 +14,7 @@ same reason."""
 from __future__ import annotations
 
 import random
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -35,15 +36,20 @@ class Policy:
     timeout: seconds per call (None = none); rate: calls per second per
     task (None = unlimited; the global rate is tasks x rate); token_limit:
     prompts whose estimate exceeds it are routed as 'prompt' errors without
-    a call (None = no check)."""
+    a call (None = no check); concurrency: calls in flight per task (the
+    service is I/O bound, so one task keeps several calls open; the global
+    concurrency is tasks x concurrency)."""
     tries: int = 6
     wait_min: float = 1.0
     wait_max: float = 60.0
     timeout: float | None = 200.0
     rate: float | None = None
     token_limit: int | None = PROMPT_TOKEN_LIMIT
+    concurrency: int = 1
 
     def __post_init__(self):
+        if self.concurrency < 1:
+            raise ValueError("concurrency must be >= 1")
         if self.tries < 1:
             raise ValueError("tries must be >= 1")
         if self.timeout is not None and self.timeout <= 0:
@@ -66,18 +72,22 @@ ENRICH_FIELDS = [
 
 
 class _Pacer:
-    """Minimum spacing between calls within one task."""
+    """Minimum spacing between call starts within one task (thread-safe)."""
 
     def __init__(self, rate: float | None):
         self.gap = 1.0 / rate if rate else 0.0
         self.next = 0.0
+        self.lock = threading.Lock()
 
     def wait(self):
-        if self.gap:
+        if not self.gap:
+            return
+        with self.lock:
             now = time.monotonic()
-            if now < self.next:
-                time.sleep(self.next - now)
-            self.next = max(now, self.next) + self.gap
+            start = max(now, self.next)
+            self.next = start + self.gap
+        if start > now:
+            time.sleep(start - now)
 
 
 def _call(fn, args, timeout):
@@ -127,20 +137,27 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
     limit = policy.token_limit
 
     def run(batches):
-        pacer, rng = _Pacer(policy.rate), random.Random()
-        for pdf in batches:
-            res, st, why, n = [], [], [], []
-            prompts = pdf[prompt_col].tolist()
-            keys = pdf[key_col].tolist() if key_col else [None] * len(pdf)
-            for p, k in zip(prompts, keys):
-                if p is None:
-                    r = (None, STATUS_PROMPT, "no prompt", 0)
-                elif limit is not None and -(-len(p) // 4) > limit:
-                    r = (None, STATUS_PROMPT, f"prompt over {limit} tokens", 0)
-                else:
-                    r = call_with_policy(fn, (p, k) if key_col else (p,), policy, pacer, rng)
-                res.append(r[0]); st.append(r[1]); why.append(r[2]); n.append(r[3])
-            yield pdf.assign(response=res, status=st, reason=why, attempts=n)
+        pacer = _Pacer(policy.rate)
+        pool = ThreadPoolExecutor(policy.concurrency) if policy.concurrency > 1 else None
+
+        def one(pk):
+            p, k = pk
+            if p is None:
+                return None, STATUS_PROMPT, "no prompt", 0
+            if limit is not None and -(-len(p) // 4) > limit:
+                return None, STATUS_PROMPT, f"prompt over {limit} tokens", 0
+            return call_with_policy(fn, (p, k) if key_col else (p,), policy, pacer, random.Random())
+
+        try:
+            for pdf in batches:
+                prompts = pdf[prompt_col].tolist()
+                keys = pdf[key_col].tolist() if key_col else [None] * len(pdf)
+                rows = list((pool.map if pool else map)(one, zip(prompts, keys)))  # order kept
+                yield pdf.assign(response=[r[0] for r in rows], status=[r[1] for r in rows],
+                                 reason=[r[2] for r in rows], attempts=[r[3] for r in rows])
+        finally:
+            if pool:
+                pool.shutdown(wait=False, cancel_futures=True)
 
     return df.mapInPandas(run, schema)
 

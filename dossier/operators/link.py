@@ -10,17 +10,21 @@ Scale notes
   ("the") therefore costs only map-side work, not a hot reducer.
 * Page terms are de-duplicated inside each row (``array_distinct``) before the
   explode, so no shuffle is needed to get distinct (document, term) pairs.
+* BM25 reads the corpus once: its global statistics are observed during the
+  pass that writes the (vocabulary-only) term-frequency table.
 * The top-r window is preceded by Spark's partial window-group limit: each
   map task keeps at most r rows per entity before the exchange, so even an
   entity that matches every document sends only r rows per task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dossier.functions import text as T
-from dossier.operators.joins import checked_broadcast
+from dossier.operators.corpus import as_corpus
+from dossier.operators.joins import checked_broadcast, fits, hint_if
+from dossier.session import materialize
 
 MAX_R = 4
 
@@ -47,43 +51,56 @@ def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
             .filter(F.col("rank") <= r))
 
 
-def link_overlap(entities: DataFrame, corpus: DataFrame, r: int = MAX_R,
+def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
                  key: str = "candid") -> DataFrame:
     """Top r documents per entity by the number of distinct name terms the
-    document contains. corpus: (page_id, url, text). Returns
+    document contains. corpus: a Corpus or (page_id, url, text). Returns
     (key, page_id, url, score, rank); entities without any match are absent."""
     check_r(r)
     ents = checked_broadcast(entity_terms(entities, key))
-    doc_terms = corpus.select("page_id", "url",
-                              F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
+    docs = as_corpus(corpus).texts()
+    doc_terms = docs.select("page_id", "url",
+                            F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
     scored = (doc_terms.join(ents, "term")
               .groupBy(key, "page_id", "url")
               .agg(F.count(F.lit(1)).alias("score")))
     return top_r(scored, key, r)
 
 
-def link_bm25(entities: DataFrame, corpus: DataFrame, r: int = MAX_R,
+def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
               key: str = "candid", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """Top r documents per entity by Okapi BM25 of the name terms, with the
     always-positive idf ln(1 + (N - df + 0.5) / (df + 0.5)); no term and no
-    candidate is dropped. Returns (key, page_id, url, score, rank)."""
+    candidate is dropped. Returns (key, page_id, url, score, rank).
+
+    One pass over the corpus: documents are tokenised once, the corpus
+    size N and the total length are observed during that pass, and only
+    occurrences of vocabulary terms (semi-join with the broadcast entity
+    vocabulary) are aggregated and written as the term-frequency table.
+    Everything after it reads that small table."""
     check_r(r)
-    ents = checked_broadcast(entity_terms(entities, key))
-    vocab = checked_broadcast(ents.select("term").distinct())
-    docs = corpus.select("page_id", "url", T.letter_terms("text").alias("terms"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("avgdl")).first()
-    # two scalars of the whole corpus (one small aggregate job)
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 1.0)
-    # term frequency of vocabulary terms only: the explode is filtered by a
-    # broadcast semi-join before the (page, term) aggregation.
-    tf = (docs.select("page_id", "url", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
-          .join(vocab, "term", "left_semi")
-          .groupBy("page_id", "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    terms = entity_terms(entities, key)
+    small = fits(terms)                 # vocabulary and df table are no larger
+    ents = hint_if(terms, small)
+    vocab = hint_if(terms.select("term").distinct(), small)
+    docs = (as_corpus(corpus).texts()
+            .select("page_id", "url", T.letter_terms("text").alias("terms"))
+            .withColumn("dl", F.size("terms")))
+    stats = Observation("bm25_corpus")
+    docs = docs.observe(stats, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total"))
+    tf = materialize(
+        docs.select("page_id", "url", "dl", F.explode("terms").alias("term"))
+        .join(vocab, "term", "left_semi")
+        .groupBy("page_id", "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
+        "bm25-tf")
+    got = stats.get
+    n_docs = int(got["n"] or 0)
+    avgdl = float(got["total"] or 0) / n_docs if n_docs else 1.0
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
     part = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = (tf.join(checked_broadcast(df_), "term")
+    scored = (tf.join(hint_if(df_, small), "term")
               .join(ents, "term")
               .groupBy(key, "page_id", "url")
               .agg(F.sum(part).alias("raw")))

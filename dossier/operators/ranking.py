@@ -54,6 +54,26 @@ def dense_codes(df: DataFrame, column: str, name: str | None = None) -> DataFram
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("int"))
 
 
+def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """``dense_codes`` for several string columns in one pass: the distinct
+    (column, value) pairs of all columns are numbered together, grouped by
+    column, then each column joins its own codes back on the value."""
+    if not columns:
+        return df
+    stacked = None
+    for c in columns:
+        part = df.select(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v")).where(F.col("_v").isNotNull())
+        stacked = part if stacked is None else stacked.unionByName(part)
+    codes = ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code")
+    out = df
+    for c in columns:
+        mine = codes.filter(F.col("_col") == c).select(F.col("_v").alias(f"_v_{c}"), "_code")
+        out = (out.join(mine, out[c] == mine[f"_v_{c}"], "left")
+               .withColumn(f"{c}{suffix}", F.coalesce(F.col("_code"), F.lit(-1)).cast("int"))
+               .drop("_code", f"_v_{c}"))
+    return out
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 0,
                      name: str = "fold") -> DataFrame:
     """Shuffled stratified k folds: within each class, rows in md5(seed,key)

@@ -11,11 +11,11 @@ from dossier.operators import link as L
 from dossier.session import materialize
 
 
-def gather_contexts(entities: DataFrame, corpus: DataFrame, r: int = 4,
+def gather_contexts(entities: DataFrame, corpus, r: int = 4,
                     ranker: str = "overlap", key: str = "candid",
                     repeat_context: bool = True) -> DataFrame:
     """entities (key, first, middle, last, full, state, min_year) + corpus
-    (page_id, url, text) -> one row per entity with its ordered sources,
+    (a Corpus, or a (page_id, url, text) table) -> one row per entity with its ordered sources,
     the joined excerpts (context) and the extraction prompt.
 
     The link table is materialised once (it is the stage hand-off of the

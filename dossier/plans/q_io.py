@@ -100,7 +100,7 @@ def q_union_shards(spark, sf_dir):
     """Results written as three CSV shards with different column orders (the
     last one without ``confidence``), then unioned by name per file; the
     combined table goes to its own folder, not into the shard folder."""
-    wide = parsed_replies(spark, sf_dir).filter("parsed")
+    wide = materialize(parsed_replies(spark, sf_dir).filter("parsed"), "wide")
     base = scratch_path(spark, "shards")
     cols = [f.name for f in WIDE_SCHEMA.fields]
     lo, hi = SHARD_EDGES

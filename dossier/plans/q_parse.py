@@ -22,6 +22,7 @@ ANSWERS = list(P.ANSWER_COLS)
 ROUTE_TIMEOUT, ROUTE_SLEEP = 0.25, 1.0
 RERUN_TOKEN_LIMIT = 8192
 QUEUE_OFFSET = 10
+CALLS_PER_TASK = 8
 
 REPLIES_SQL = O.with_(O.REPLIES, f"""parsed AS (
   SELECT *, {O.parsed_cols('response')} FROM replies)""")
@@ -145,7 +146,7 @@ def route_run(spark, sf_dir, service=None, timeout=ROUTE_TIMEOUT, tries=3):
     ents = E.normalise(V.entities(spark, sf_dir))
     prompts = ents.select("candid", "row", "full", "state", "min_year",
                           A.query_text("full", "state").alias("prompt"))
-    pol = EN.Policy(tries=tries, timeout=timeout, token_limit=None, **EN.NO_WAIT)
+    pol = EN.Policy(tries=tries, timeout=timeout, token_limit=None, concurrency=CALLS_PER_TASK, **EN.NO_WAIT)
     svc = service or FlakyService(sleep=ROUTE_SLEEP)
     return materialize(EN.enrich(prompts, svc, "prompt", key_col="candid", policy=pol,
                                  partitions=spark.sparkContext.defaultParallelism))

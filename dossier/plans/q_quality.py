@@ -82,8 +82,7 @@ def _codes_sql(cols, src="labelled"):
 SELECT "row", {_codes_sql(CATEGORY_COLS)}, min_year, accuracy FROM labelled""")
 def q_encode_categories(spark, sf_dir):
     df = labelled(spark, sf_dir).select("row", *CATEGORY_COLS, "min_year", "accuracy")
-    for c in CATEGORY_COLS:
-        df = RK.dense_codes(df, c).drop(c)
+    df = RK.dense_codes_many(df, CATEGORY_COLS)
     return df.select("row", *[f"{c}_code" for c in CATEGORY_COLS], "min_year", "accuracy")
 
 
@@ -93,9 +92,7 @@ def ml_set(spark, sf_dir):
     lab = V.table(spark, sf_dir, "labels")
     df = lab.join(d, "doc_id").select("doc_id", "lang", "source", "n_chars", "toxic",
                                       F.col("quality").alias("label"))
-    for c in ("lang", "source"):
-        df = RK.dense_codes(df, c).drop(c)
-    return df
+    return RK.dense_codes_many(df, ("lang", "source")).drop("lang", "source")
 
 
 ML_FEATURES = ("lang_code", "source_code", "n_chars", "toxic")

@@ -36,7 +36,7 @@ LINK_COLS = ("candid", "rank", "page_id", "url", "score")
 
 @register("html_to_text", O.with_(O.PAGE_CORPUS) + "SELECT page_id, url, text FROM corpus")
 def q_html_to_text(spark, sf_dir):
-    return V.page_corpus(spark, sf_dir)
+    return V.page_corpus(spark, sf_dir).texts()
 
 
 @register("link_top_r", O.with_(O.TEXT_ENTITIES, O.PAGE_CORPUS, O.links_overlap(4))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dossier.functions import text as T
 from dossier.functions.states import decode_state
+from dossier.operators.corpus import Corpus
 from dossier.operators.joins import checked_broadcast
 from dossier.sources.tables import table  # noqa: F401  (re-exported)
 
@@ -66,27 +67,27 @@ def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawled pages with their visible text (page_id, url, text)."""
+def page_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
+    """Crawled pages; their text is the visible text of the HTML."""
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", "url", T.html_to_text("html").alias("text"))
+    return Corpus(p.select("page_id", "url", "html"), T.html_to_text("html"))
 
 
 LANG_ATTR = r'<html[^>]*\blang="([^"]*)"'
 URL_HOST = r"^[a-z]+://([^/?#:]+)"
 
 
-def doc_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     """Documents as a corpus (page_id = doc_id), text lower-cased."""
     d = table(spark, sf_dir, "documents")
-    return d.select(
+    return Corpus(d.select(
         F.col("doc_id").alias("page_id"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
-        F.lower("text").alias("text"))
+        F.col("text").alias("body")), F.lower("body"))
 
 
 def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
-                   host_suffixes: tuple[str, ...] = (".com",)) -> DataFrame:
+                   host_suffixes: tuple[str, ...] = (".com",)) -> Corpus:
     """Pages restricted to one language (the page's ``lang`` attribute) and
     to hosts with one of the given suffixes (the country restriction)."""
     p = table(spark, sf_dir, "pages")
@@ -94,7 +95,7 @@ def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
     keep = F.regexp_extract("html", LANG_ATTR, 1) == lang
     keep = keep & F.greatest(*[F.endswith(host, F.lit(s)) for s in host_suffixes]) \
         if len(host_suffixes) > 1 else keep & F.endswith(host, F.lit(host_suffixes[0]))
-    return p.filter(keep).select("page_id", "url", T.html_to_text("html").alias("text"))
+    return Corpus(p.filter(keep).select("page_id", "url", "html"), T.html_to_text("html"))
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
