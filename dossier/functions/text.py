@@ -84,6 +84,22 @@ def html_to_text(c) -> Column:
     return F.lower(F.trim(t))
 
 
+def first_words_pattern(n: int) -> str:
+    """Anchored pattern whose groups 1..n are the first n letter runs."""
+    inner = ""
+    for _ in range(n - 1):
+        inner = r"(?:\P{L}+(\p{L}+)" + inner + ")?"
+    return r"^\P{L}*(\p{L}+)" + inner
+
+
+def first_words(c, n: int = 3) -> list[Column]:
+    """The first n letter runs of a text (null when there are fewer). The
+    anchored match stops after the n-th word instead of tokenising the
+    whole text."""
+    pat = first_words_pattern(n)
+    return [F.nullif(F.regexp_extract(col(c), pat, i), F.lit("")) for i in range(1, n + 1)]
+
+
 def letter_terms(c) -> Column:
     """Array of letter runs (the terms used for linking)."""
     return F.regexp_extract_all(col(c), F.lit(LETTER_RUN), 0)

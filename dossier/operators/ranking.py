@@ -60,10 +60,10 @@ def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code
     column, then each column joins its own codes back on the value."""
     if not columns:
         return df
-    stacked = None
-    for c in columns:
-        part = df.select(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v")).where(F.col("_v").isNotNull())
-        stacked = part if stacked is None else stacked.unionByName(part)
+    # one pass over df: every row emits one (column, value) pair per column
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v"))
+                                for c in columns])).alias("_p")
+    stacked = df.select(pairs).select("_p._col", "_p._v").where(F.col("_v").isNotNull())
     codes = ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code")
     out = df
     for c in columns:

@@ -125,13 +125,19 @@ ENTITIES = f"""entities AS (
          {sab_for('n.n_nationkey')} AS sab
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
+def first_words(x: str, n: int = 3) -> list[str]:
+    pat = q(T.first_words_pattern(n))
+    return [f"nullif(regexp_extract({x}, {pat}, {i}), '')" for i in range(1, n + 1)]
+
+
+_W = first_words("lower(text)")
 TEXT_ENTITIES = f"""text_entities AS (
   SELECT item_id AS "row", CAST(item_id AS VARCHAR) AS candid,
-         toks[1] AS first, toks[2] AS middle, toks[3] AS last,
-         concat_ws(' ', toks[1], toks[2], toks[3]) AS "full",
+         {_W[0]} AS first, {_W[1]} AS middle, {_W[2]} AS last,
+         concat_ws(' ', {_W[0]}, {_W[1]}, {_W[2]}) AS "full",
          CAST(1967 + item_id % 51 AS INTEGER) AS min_year,
          {decode_state(sab_for('item_id'))} AS state
-  FROM (SELECT item_id, {letter_terms('lower(text)')} AS toks FROM benchmark))"""
+  FROM benchmark)"""
 
 PAGE_CORPUS = f"""corpus AS (
   SELECT page_id, url, {html_to_text('html')} AS text FROM pages)"""
@@ -216,9 +222,9 @@ def _reply_sql() -> str:
 
 REPLIES = f"""reply_parts AS (
   SELECT doc_id, source, lang, n_chars,
-         coalesce(toks[1], '') AS w1, coalesce(toks[2], '') AS w2, coalesce(toks[3], '') AS w3,
+         coalesce({_W[0]}, '') AS w1, coalesce({_W[1]}, '') AS w2, coalesce({_W[2]}, '') AS w3,
          CAST(n_chars % 100 AS VARCHAR) AS conf
-  FROM (SELECT *, {letter_terms('lower(text)')} AS toks FROM documents)),
+  FROM documents),
 replies AS (
   SELECT CAST(doc_id AS VARCHAR) AS candid, doc_id AS "row", concat_ws(' ', w1, w2) AS name,
          {decode_state(sab_for('doc_id'))} AS state,

@@ -13,7 +13,7 @@ from dossier.functions import text as T
 from dossier.functions.states import decode_state
 from dossier.operators.corpus import Corpus
 from dossier.operators.joins import checked_broadcast
-from dossier.sources.tables import table  # noqa: F401  (re-exported)
+from dossier.sources.tables import spread, table  # noqa: F401  (table is re-exported)
 
 # Padded state codes handed out by nation key. Keys 0-19 are known codes
 # (with stray spaces to exercise the strip); 20-24 are outside the
@@ -54,9 +54,8 @@ def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities for linking: words 1-3 of the lower-cased benchmark text are
     the first, middle and last name; state and year follow the item id."""
     b = table(spark, sf_dir, "benchmark")
-    toks = T.letter_terms(F.lower("text"))
     k = F.col("item_id")
-    first, middle, last = (F.try_element_at(toks, F.lit(i)) for i in (1, 2, 3))
+    first, middle, last = T.first_words(F.lower("text"), 3)
     return b.select(
         k.alias("row"),
         k.cast("string").alias("candid"),
@@ -69,8 +68,8 @@ def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     """Crawled pages; their text is the visible text of the HTML."""
-    p = table(spark, sf_dir, "pages")
-    return Corpus(p.select("page_id", "url", "html"), T.html_to_text("html"))
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return Corpus(p, T.html_to_text("html"))
 
 
 LANG_ATTR = r'<html[^>]*\blang="([^"]*)"'
@@ -79,7 +78,7 @@ URL_HOST = r"^[a-z]+://([^/?#:]+)"
 
 def doc_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     """Documents as a corpus (page_id = doc_id), text lower-cased."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return Corpus(d.select(
         F.col("doc_id").alias("page_id"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
@@ -90,7 +89,7 @@ def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
                    host_suffixes: tuple[str, ...] = (".com",)) -> Corpus:
     """Pages restricted to one language (the page's ``lang`` attribute) and
     to hosts with one of the given suffixes (the country restriction)."""
-    p = table(spark, sf_dir, "pages")
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     host = F.regexp_extract("url", URL_HOST, 1)
     keep = F.regexp_extract("html", LANG_ATTR, 1) == lang
     keep = keep & F.greatest(*[F.endswith(host, F.lit(s)) for s in host_suffixes]) \
@@ -129,11 +128,11 @@ REPLY_COLUMNS = ("w1", "w2", "w3", "conf")
 
 
 def reply_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    toks = T.letter_terms(F.lower("text"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text"))
+    words = T.first_words(F.lower("text"), 3)
     return d.select(
         "doc_id", "source", "lang", "n_chars",
-        *[F.coalesce(F.try_element_at(toks, F.lit(i)), F.lit("")).alias(f"w{i}") for i in (1, 2, 3)],
+        *[F.coalesce(w, F.lit("")).alias(f"w{i}") for i, w in enumerate(words, 1)],
         (F.col("n_chars") % 100).cast("string").alias("conf"))
 
 
