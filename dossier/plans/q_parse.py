@@ -19,7 +19,7 @@ from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
 
 ANSWERS = list(P.ANSWER_COLS)
-ROUTE_TIMEOUT, ROUTE_SLEEP = 0.25, 1.0
+ROUTE_TIMEOUT, ROUTE_SLEEP = 1.0, 3.0
 RERUN_TOKEN_LIMIT = 8192
 QUEUE_OFFSET = 10
 CALLS_PER_TASK = 8

@@ -12,6 +12,7 @@ from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register
 from dossier.plans.q_parse import REPLIES_SQL
+from dossier.sources.tables import spread
 
 SINCE_YEAR = 1998
 FOLDS, FOLD_SEED = 5, 0
@@ -229,7 +230,7 @@ def q_eval_validation(spark, sf_dir):
 # --- k-NN on the embedding table -------------------------------------------------
 
 def vectors(spark, sf_dir):
-    e = V.table(spark, sf_dir, "embeddings")
+    e = spread(V.table(spark, sf_dir, "embeddings"))
     test = (F.col("vec_id") % 7) == 0
     return e.filter(~test), e.filter(test)
 
