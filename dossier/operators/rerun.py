@@ -45,6 +45,20 @@ def replay_keys(source: DataFrame, queue: DataFrame, key: str = "candid") -> Dat
     return source.join(queue.select(key), key, "left_semi")
 
 
+def prompt_key(key: str = "candid", prompt: str = "prompt") -> F.Column:
+    """Identity of one call: the entity key and a hash of the exact prompt."""
+    return F.concat_ws(":", F.col(key).cast("string"), F.sha2(F.col(prompt), 256))
+
+
+def pending(prompts: DataFrame, done: DataFrame, key: str = "candid", prompt: str = "prompt") -> DataFrame:
+    """Prompts that have no successful call yet (anti-join on key + prompt
+    hash), so a replay after a crash or a partial run never pays twice for
+    the same call; a changed prompt for the same key is called again."""
+    ok = done.filter(F.col("status") == EN.STATUS_OK).select(prompt_key(key, prompt).alias("_pk"))
+    return (prompts.withColumn("_pk", prompt_key(key, prompt))
+            .join(ok, "_pk", "left_anti").drop("_pk"))
+
+
 def offset_queue(queue: DataFrame, k: int = 0, order: str = "row") -> DataFrame:
     """Queue in row order without its first k entries (k = 0 keeps all)."""
     if k < 0:

@@ -237,8 +237,8 @@ def q_rerun_append(spark, sf_dir):
     first = route_run(spark, sf_dir)
     path = scratch_path(spark, "reruns")
     R.append_attempt(first.select("candid", "status"), path, 1)
-    failed = first.filter(F.col("status").isin(EN.STATUS_ERROR, EN.STATUS_TIMEOUT)).drop(
-        "response", "status", "reason", "attempts")
+    # replay only calls without a successful reply (keyed by entity + prompt hash)
+    failed = R.pending(first.drop("response", "status", "reason", "attempts"), first)
     pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
     second = EN.enrich(failed, FlakyService(heal=True), "prompt", key_col="candid", policy=pol)
     R.append_attempt(second.select("candid", "status"), path, 2)
