@@ -10,15 +10,16 @@ Scale notes
   ("the") therefore costs only map-side work, not a hot reducer.
 * Page terms are de-duplicated inside each row (``array_distinct``) before the
   explode, so no shuffle is needed to get distinct (document, term) pairs.
-* BM25 reads the corpus once: its global statistics are observed during the
-  pass that writes the (vocabulary-only) term-frequency table.
+* BM25 reads the corpus once: the pass that writes the (vocabulary-only)
+  term-frequency table also writes one length row per document, from which
+  the global statistics are computed.
 * The top-r window is preceded by Spark's partial window-group limit: each
   map task keeps at most r rows per entity before the exchange, so even an
   entity that matches every document sends only r rows per task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.functions import text as T
@@ -73,11 +74,11 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     always-positive idf ln(1 + (N - df + 0.5) / (df + 0.5)); no term and no
     candidate is dropped. Returns (key, page_id, url, score, rank).
 
-    One pass over the corpus: documents are tokenised once, the corpus
-    size N and the total length are observed during that pass, and only
-    occurrences of vocabulary terms (semi-join with the broadcast entity
-    vocabulary) are aggregated and written as the term-frequency table.
-    Everything after it reads that small table."""
+    One pass over the corpus: documents are tokenised once, and only
+    occurrences of vocabulary terms (broadcast join with the entity
+    vocabulary) plus one length row per document are aggregated and written
+    as the term-frequency table. The corpus size N, the average length and
+    everything after them read that table, not the corpus."""
     check_r(r)
     terms = entity_terms(entities, key)
     small = fits(terms)                 # vocabulary and df table are no larger
@@ -86,16 +87,20 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     docs = (as_corpus(corpus).texts()
             .select("page_id", "url", T.letter_terms("text").alias("terms"))
             .withColumn("dl", F.size("terms")))
-    stats = Observation("bm25_corpus")
-    docs = docs.observe(stats, F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total"))
-    tf = materialize(
-        docs.select("page_id", "url", "dl", F.explode("terms").alias("term"))
-        .join(vocab, "term", "left_semi")
-        .groupBy("page_id", "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
-        "bm25-tf")
-    got = stats.get
+    # every document emits one sentinel row (null term) carrying its length,
+    # plus its vocabulary-term occurrences; the broadcast left join marks
+    # vocabulary terms and the sentinel survives the filter
+    marked = vocab.withColumn("_in_vocab", F.lit(True))
+    rows = (docs.select("page_id", "url", "dl",
+                        F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
+            .join(marked, "term", "left")
+            .filter(F.col("term").isNull() | F.col("_in_vocab")))
+    table = materialize(rows.groupBy("page_id", "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
+                        "bm25-tf")
+    got = table.filter(F.col("term").isNull()).agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total")).first()
     n_docs = int(got["n"] or 0)
     avgdl = float(got["total"] or 0) / n_docs if n_docs else 1.0
+    tf = table.filter(F.col("term").isNotNull())
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))

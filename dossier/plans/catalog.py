@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.plans import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,4 +46,4 @@ def sources_text(c: str = "sources") -> F.Column:
     return F.array_join(F.col(c), "|")
 
 
-__all__ = ["register", "queries", "oracle_sql", "O", "sources_text"]
+__all__ = ["register", "queries", "oracle_sql", "sources_text"]

@@ -162,7 +162,7 @@ scored AS (
   SELECT e.candid, d.page_id, d.url, count(*) AS score
   FROM doc_terms d JOIN ent_terms e ON d.term = e.term GROUP BY e.candid, d.page_id, d.url),
 links AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS rank FROM scored)
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS INTEGER) AS rank FROM scored)
   WHERE rank <= {r})"""
 
 
@@ -185,7 +185,7 @@ scored AS (
   FROM tf JOIN dfs ON tf.term = dfs.term JOIN ent_terms e ON tf.term = e.term, stats s
   GROUP BY e.candid, tf.page_id, tf.url),
 links AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS rank FROM scored)
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS INTEGER) AS rank FROM scored)
   WHERE rank <= {r})"""
 
 

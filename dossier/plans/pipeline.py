@@ -4,7 +4,6 @@ one context and prompt per entity (SURVEY §3.1 steps 2-9 as one lazy plan)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dossier.operators import assemble as A
 from dossier.operators import link as L

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
+from dossier.functions import text as T
 from dossier.operators import enrich as EN
 from dossier.operators import entities as E
 from dossier.operators import parse as P
@@ -52,7 +53,7 @@ def q_scan_link_table(spark, sf_dir):
     back = C.read_csv(spark, csvp)
     return back.select("candid", "first", "middle", "last", "full",
                        F.col("min_year").cast("int").alias("min_year"), "state",
-                       F.array_join(V.T.parse_list_literal("sources"), "|").alias("sources"))
+                       F.array_join(T.parse_list_literal("sources"), "|").alias("sources"))
 
 
 _PROMPT_SQL = PIPE + """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register, sources_text

@@ -197,7 +197,7 @@ def q_holdout_split(spark, sf_dir):
 flags AS (SELECT min_year, ({O.null_tokens('college_major')} IS NOT NULL OR {O.null_tokens('undergraduate_institution')} IS NOT NULL
                   OR {O.null_tokens('highest_degree')} IS NOT NULL OR {O.null_tokens('work_history')} IS NOT NULL) AS has_output
           FROM parsed)
-SELECT min_year, count(*) AS entities, sum(CAST(has_output AS BIGINT)) AS covered,
+SELECT min_year, count(*) AS entities, CAST(sum(CAST(has_output AS BIGINT)) AS BIGINT) AS covered,
        round(sum(CAST(has_output AS BIGINT)) / count(*), 6) AS coverage
 FROM flags GROUP BY ROLLUP (min_year)""")
 def q_coverage_by_year(spark, sf_dir):

@@ -140,3 +140,15 @@ def test_knn_matches_brute_force(spark):
     for q in range(0, 60, 5):
         d = sorted(((((v64[q] - v64[t]) ** 2).sum(), t) for t in tr))[:4]
         assert got[q] == sorted(t for _, t in d)
+
+
+def test_rate_limit_spaces_calls_within_a_task(spark):
+    import time as _t
+    df = spark.createDataFrame([(str(i), "p") for i in range(10)], "candid string, prompt string").coalesce(1)
+    pol = EN.Policy(tries=1, timeout=None, token_limit=None, rate=20.0, **EN.NO_WAIT)
+    def stamp(prompt):
+        return str(_t.monotonic())
+
+    out = sorted(float(r.response) for r in EN.enrich(df, stamp, "prompt", policy=pol).collect())
+    gaps = [b - a for a, b in zip(out, out[1:])]
+    assert min(gaps) >= 0.045

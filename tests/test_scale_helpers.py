@@ -4,7 +4,6 @@ import math
 import random
 from collections import Counter
 
-from pyspark.sql import functions as F
 
 from dossier.functions import text as T
 from dossier.operators import link as L

@@ -5,7 +5,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from dossier.functions import text as T
 from dossier.functions.states import decode_state
