@@ -54,17 +54,19 @@ def dense_codes(df: DataFrame, column: str, name: str | None = None) -> DataFram
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("int"))
 
 
-def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """``dense_codes`` for several string columns in one pass: the distinct
-    (column, value) pairs of all columns are numbered together, grouped by
-    column, then each column joins its own codes back on the value."""
-    if not columns:
-        return df
-    # one pass over df: every row emits one (column, value) pair per column
+def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Code table (_col, _v, _code) for several string columns in one pass:
+    the distinct (column, value) pairs of all columns are numbered
+    together, grouped by column (code-point order, 0..k-1)."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v"))
                                 for c in columns])).alias("_p")
     stacked = df.select(pairs).select("_p._col", "_p._v").where(F.col("_v").isNotNull())
-    codes = ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code")
+    return ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code")
+
+
+def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """Join each column's codes back on the value; null and values the code
+    table has not seen get -1."""
     out = df
     for c in columns:
         mine = codes.filter(F.col("_col") == c).select(F.col("_v").alias(f"_v_{c}"), "_code")
@@ -74,6 +76,13 @@ def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code
     return out
 
 
+def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """``dense_codes`` for several string columns, fitted on ``df`` itself."""
+    if not columns:
+        return df
+    return apply_codes(df, fit_codes(df, columns), columns, suffix)
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 0,
                      name: str = "fold") -> DataFrame:
     """Shuffled stratified k folds: within each class, rows in md5(seed,key)

@@ -88,12 +88,8 @@ def q_encode_categories(spark, sf_dir):
 
 
 def ml_set(spark, sf_dir):
-    """labels x documents with encoded categorical features."""
-    d = V.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = V.table(spark, sf_dir, "labels")
-    df = lab.join(d, "doc_id").select("doc_id", "lang", "source", "n_chars", "toxic",
-                                      F.col("quality").alias("label"))
-    return RK.dense_codes_many(df, ("lang", "source")).drop("lang", "source")
+    """labels x documents with encoded categorical features (all rows)."""
+    return RK.dense_codes_many(ml_raw(spark, sf_dir), ("lang", "source")).drop("lang", "source")
 
 
 ML_FEATURES = ("lang_code", "source_code", "n_chars", "toxic")
@@ -262,9 +258,20 @@ def q_knn_classify(spark, sf_dir):
 
 # --- MLlib models (rows-only check: no SQL states a trained forest) -----------------
 
+def ml_raw(spark, sf_dir):
+    d = V.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = V.table(spark, sf_dir, "labels")
+    return lab.join(d, "doc_id").select("doc_id", "lang", "source", "n_chars", "toxic",
+                                        F.col("quality").alias("label"))
+
+
 def _model(spark, sf_dir, kind):
-    s = RK.holdout_split(ml_set(spark, sf_dir), "doc_id", TEST_FRACTION, SPLIT_SEED)
+    """Split first, fit the category codes on the training rows only (no
+    leakage from the test rows), then train and predict."""
+    s = RK.holdout_split(ml_raw(spark, sf_dir), "doc_id", TEST_FRACTION, SPLIT_SEED)
     train, test = s.filter(F.col("part") == "train"), s.filter(F.col("part") == "test")
+    codes = RK.fit_codes(train, ("lang", "source"))
+    train, test = (RK.apply_codes(x, codes, ("lang", "source")) for x in (train, test))
     out = M.fit_predict(train, test, ML_FEATURES, "label", kind, seed=0)
     return out.select("doc_id", F.col("label").cast("int").alias("label"), "prediction")
 

@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 
+from pyspark.sql import functions as F
+
 from dossier.functions import text as T
 from dossier.operators import link as L
 from dossier.operators import ranking as RK
@@ -95,3 +97,11 @@ def test_pending_skips_done_calls(spark):
     done = spark.createDataFrame([("1", "a", "ok"), ("2", "old", "ok"), ("3", "c", "error")],
                                  "candid string, prompt string, status string")
     assert sorted(r.candid for r in R.pending(prompts, done).collect()) == ["2", "3"]
+
+
+def test_codes_fitted_on_train_only(spark):
+    train = spark.createDataFrame([("b",), ("a",)], "v string")
+    test = spark.createDataFrame([("a",), ("zz",), (None,)], "v string")
+    codes = RK.fit_codes(train, ["v"])
+    got = [r.v_code for r in RK.apply_codes(test, codes, ["v"]).orderBy(F.col("v").asc_nulls_last()).collect()]
+    assert got == [0, -1, -1]
