@@ -55,18 +55,22 @@ def dense_codes(df: DataFrame, column: str, name: str | None = None) -> DataFram
 
 
 def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Code table (_col, _v, _code) for several string columns in one pass:
+    """Fitted code table (_col, _v, _code) for several string columns in one pass:
     the distinct (column, value) pairs of all columns are numbered
     together, grouped by column (code-point order, 0..k-1)."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v"))
                                 for c in columns])).alias("_p")
     stacked = df.select(pairs).select("_p._col", "_p._v").where(F.col("_v").isNotNull())
-    return ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code")
+    # the fitted code table is written once and read by every column's join
+    return materialize(ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code"), "codes")
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Join each column's codes back on the value; null and values the code
-    table has not seen get -1."""
+    table has not seen get -1. The code table (one row per distinct value)
+    is broadcast after a count when it is small, the usual case for
+    categories, so the wide table is not shuffled once per column."""
+    codes = checked_broadcast(codes, 1_000_000)
     out = df
     for c in columns:
         mine = codes.filter(F.col("_col") == c).select(F.col("_v").alias(f"_v_{c}"), "_code")
