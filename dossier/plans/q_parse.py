@@ -22,7 +22,7 @@ ANSWERS = list(P.ANSWER_COLS)
 ROUTE_TIMEOUT, ROUTE_SLEEP = 1.0, 3.0
 RERUN_TOKEN_LIMIT = 8192
 QUEUE_OFFSET = 10
-CALLS_PER_TASK = 8
+CALLS_PER_TASK = 32
 
 REPLIES_SQL = O.with_(O.REPLIES, f"""parsed AS (
   SELECT *, {O.parsed_cols('response')} FROM replies)""")
