@@ -91,8 +91,13 @@ def coverage_by(df: DataFrame, by: str, flag: str) -> DataFrame:
 
 # --- exact k nearest neighbours ----------------------------------------------------
 
-# Query rows (x dims) that may be shipped to every task in one piece.
-KNN_BROADCAST_ROWS = 50_000
+# Rows of each side that one task holds for one cell (a query block paired
+# with a training bucket). Both sides are split by a hash of their unique
+# id, so every cell stays near these sizes whatever the data's skew.
+KNN_QUERY_CELL = 20_000
+KNN_TRAIN_CELL = 100_000
+# Training buckets are not cut below this size just to use more tasks.
+KNN_MIN_TRAIN_CELL = 2_000
 
 
 def _topk_schema():
@@ -100,67 +105,72 @@ def _topk_schema():
                           TY.StructField("t_label", TY.IntegerType()), TY.StructField("d2", TY.DoubleType())])
 
 
+def _cell_topk(k: int):
+    """Per cell: exact top k training rows for each query row, by squared
+    euclidean distance then id. Distances are computed with numpy (BLAS)
+    in slices of about 64 MB and folded into a running top k, so no pair is
+    ever a row and memory does not grow with the training bucket."""
+    def run(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
+        if qdf.empty or tdf.empty:
+            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "t_id": pd.Series([], dtype="int64"),
+                                 "t_label": pd.Series([], dtype="int32"), "d2": pd.Series([], dtype="float64")})
+        qid = qdf["q_id"].to_numpy(dtype=np.int64)
+        qm = np.stack(qdf["v"].to_numpy()).astype(np.float64)
+        qn = (qm * qm).sum(axis=1)
+        tid_all = tdf["t_id"].to_numpy(dtype=np.int64)
+        tl_all = tdf["t_label"].to_numpy().astype(np.int32)
+        tv = tdf["v"].to_numpy()
+        best_d = np.full((len(qid), 0), np.inf)
+        best_i = np.zeros((len(qid), 0), dtype=np.int64)
+        best_l = np.zeros((len(qid), 0), dtype=np.int32)
+        step = max(1, (64 << 20) // (8 * len(qid)))
+        for s0 in range(0, len(tid_all), step):
+            tm = np.stack(tv[s0:s0 + step]).astype(np.float64)
+            tid, tl = tid_all[s0:s0 + step], tl_all[s0:s0 + step]
+            d2 = np.maximum(qn[:, None] + (tm * tm).sum(axis=1)[None, :] - 2.0 * (qm @ tm.T), 0.0)
+            cd = np.concatenate([best_d, d2], axis=1)
+            ci = np.concatenate([best_i, np.broadcast_to(tid, d2.shape)], axis=1)
+            cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
+            order = np.lexsort((ci, cd), axis=1)[:, :k]   # by distance, then id
+            best_d = np.take_along_axis(cd, order, 1)
+            best_i = np.take_along_axis(ci, order, 1)
+            best_l = np.take_along_axis(cl, order, 1)
+        kk = best_i.shape[1]
+        return pd.DataFrame({"q_id": np.repeat(qid, kk), "t_id": best_i.reshape(-1),
+                             "t_label": best_l.reshape(-1), "d2": best_d.reshape(-1)})
+    return run
+
+
 def knn_neighbours(train: DataFrame, query: DataFrame, k: int = 7, id_col: str = "vec_id",
                    vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Exact k nearest training rows (euclidean, ties by id) for each query
     row: (q_id, t_id, t_label, d2, nn_rank).
 
-    The query side is collected in blocks of at most KNN_BROADCAST_ROWS and
-    broadcast; every training partition computes its distances to the block
-    with numpy (BLAS, in bounded slices of each Arrow batch) and keeps a
-    running top k per query row, so no pair is ever materialised as a row.
-    The final top k per query merges at most k rows per task."""
+    A blocked nested-loop join run by Spark: the query side is hashed into
+    ``qb`` blocks and the training side into ``tb`` buckets; each query row is
+    sent to the ``tb`` cells of its block and each training row to the ``qb``
+    cells of its bucket, and one ``cogroup`` task per cell keeps the top k
+    per query row. Only two scalar counts reach the driver; the final top k
+    per query merges at most k rows from each of the ``tb`` cells."""
     spark = train.sparkSession
     if k <= 0:
         raise ValueError("k must be > 0")
     q = query.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("v"))
-    n_q = q.count()
-    blocks = max(1, -(-n_q // KNN_BROADCAST_ROWS))
     t = train.select(F.col(id_col).alias("t_id"), F.col(label_col).cast("int").alias("t_label"),
                      F.col(vec_col).alias("v"))
-    parts = []
-    for b in range(blocks):
-        blk = q.filter(F.pmod(F.xxhash64("q_id"), F.lit(blocks)) == b) if blocks > 1 else q
-        rows = blk.collect()  # bounded by KNN_BROADCAST_ROWS
-        if not rows:
-            continue
-        qid = np.array([r["q_id"] for r in rows], dtype=np.int64)
-        qm = np.array([r["v"] for r in rows], dtype=np.float64)
-        bc = spark.sparkContext.broadcast((qid, qm))
-
-        def local_topk(batches, bc=bc, k=k):
-            qid, qm = bc.value
-            qn = (qm * qm).sum(axis=1)
-            best_d = np.full((len(qid), 0), np.inf)
-            best_i = np.zeros((len(qid), 0), dtype=np.int64)
-            best_l = np.zeros((len(qid), 0), dtype=np.int32)
-            # training rows per step, so that one distance block stays ~64 MB
-            step = max(1, (64 << 20) // (8 * max(1, len(qid))))
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                tm_all = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-                tid_all = pdf["t_id"].to_numpy(dtype=np.int64)
-                tl_all = pdf["t_label"].to_numpy().astype(np.int32)
-                for s0 in range(0, len(tid_all), step):
-                    tm, tid, tl = tm_all[s0:s0 + step], tid_all[s0:s0 + step], tl_all[s0:s0 + step]
-                    d2 = np.maximum(qn[:, None] + (tm * tm).sum(axis=1)[None, :] - 2.0 * (qm @ tm.T), 0.0)
-                    cd = np.concatenate([best_d, d2], axis=1)
-                    ci = np.concatenate([best_i, np.broadcast_to(tid, d2.shape)], axis=1)
-                    cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
-                    order = np.lexsort((ci, cd), axis=1)[:, :k]   # by distance, then id
-                    best_d = np.take_along_axis(cd, order, 1)
-                    best_i = np.take_along_axis(ci, order, 1)
-                    best_l = np.take_along_axis(cl, order, 1)
-            if best_i.shape[1]:
-                kk = best_i.shape[1]
-                yield pd.DataFrame({"q_id": np.repeat(qid, kk), "t_id": best_i.reshape(-1),
-                                    "t_label": best_l.reshape(-1), "d2": best_d.reshape(-1)})
-
-        parts.append(t.mapInPandas(local_topk, _topk_schema()))
-    cand = parts[0]
-    for p_ in parts[1:]:
-        cand = cand.unionByName(p_)
+    n_q, n_t = q.count(), t.count()
+    qb = max(1, -(-n_q // KNN_QUERY_CELL))
+    tb = max(1, -(-n_t // KNN_TRAIN_CELL),
+             min(spark.sparkContext.defaultParallelism, -(-n_t // KNN_MIN_TRAIN_CELL)))
+
+    def fan_out(n):  # one copy per cell of the other side
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+
+    qx = q.select("q_id", "v", F.pmod(F.xxhash64("q_id"), F.lit(qb)).alias("qb"), fan_out(tb).alias("tb"))
+    tx = t.select("t_id", "t_label", "v", F.pmod(F.xxhash64("t_id"), F.lit(tb)).alias("tb"),
+                  fan_out(qb).alias("qb"))
+    cand = (qx.groupBy("qb", "tb").cogroup(tx.groupBy("qb", "tb"))
+            .applyInPandas(_cell_topk(k), _topk_schema()))
     w = Window.partitionBy("q_id").orderBy("d2", "t_id")
     return cand.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
 

@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from dossier.plans import q_pipeline, q_entities, q_text, q_parse, q_quality  # noqa: F401
+    from dossier.plans import q_profiles, q_entities, q_text, q_parse, q_quality  # noqa: F401
     from dossier.plans import q_io  # noqa: F401
 
 

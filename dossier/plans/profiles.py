@@ -1,4 +1,4 @@
-"""Whole-pipeline plans: link entities to sources, cut excerpts, assemble
+"""Whole-run plans: link entities to sources, cut excerpts, assemble
 one context and prompt per entity (SURVEY §3.1 steps 2-9 as one lazy plan)."""
 
 from __future__ import annotations

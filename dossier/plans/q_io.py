@@ -15,7 +15,7 @@ from dossier.operators.stubs import rule_reply
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register, sources_text
-from dossier.plans.pipeline import gather_contexts
+from dossier.plans.profiles import gather_contexts
 from dossier.plans.q_parse import REPLIES_SQL, RERUN_TOKEN_LIMIT, STUB_SQL, parsed_replies
 from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
@@ -175,11 +175,11 @@ def _run(spark, sf_dir, entities, token_limit):
                                  partitions=spark.sparkContext.defaultParallelism), "enriched")
 
 
-@register("pipeline_rows", STUB_SQL + f"""
+@register("profile_rows", STUB_SQL + f"""
 SELECT c.candid, p."full", p.state, p.min_year, p.sources, c.status, {_STUB_FIELDS.strip().replace(chr(10), ' ')}
 FROM called c JOIN prompts p ON c.candid = p.candid
 WHERE c.candid IN ({_IN}) AND c.status = 'ok'""")
-def q_pipeline_rows(spark, sf_dir):
+def q_profile_rows(spark, sf_dir):
     """Selected rows only (by row number), then the whole chain: link,
     excerpt, prompt, enrich, parse; the results table."""
     ents = E.select_rows(spark, V.text_entities(spark, sf_dir), SMOKE_ITEMS).drop("pos")
@@ -188,7 +188,7 @@ def q_pipeline_rows(spark, sf_dir):
                           *P.ANSWER_COLS)
 
 
-@register("pipeline_rerun", STUB_SQL + f""",
+@register("profile_rerun", STUB_SQL + f""",
 runs AS (
   SELECT candid, w, CASE WHEN status = 'ok' THEN 1 ELSE 2 END AS attempt,
          CASE WHEN status = 'ok' OR {O.estimated_tokens('prompt')} <= {RERUN_TOKEN_LIMIT} THEN 'ok' ELSE 'prompt' END AS status
@@ -196,7 +196,7 @@ runs AS (
 SELECT candid, attempt, status, {_STUB_FIELDS.strip().replace(chr(10), ' ')} FROM runs WHERE status = 'ok'
 UNION ALL
 SELECT candid, attempt, status, NULL, NULL, NULL, NULL, NULL FROM runs WHERE status <> 'ok'""")
-def q_pipeline_rerun(spark, sf_dir):
+def q_profile_rerun(spark, sf_dir):
     """Full run, then the prompt-error queue replayed with a larger budget;
     final table = results of both attempts plus what is still failing."""
     first = _run(spark, sf_dir, V.text_entities(spark, sf_dir), 4096)

@@ -1,11 +1,11 @@
-"""Pipeline-level queries (minimum slice and whole runs)."""
+"""Profile-level queries (minimum slice and whole runs)."""
 
 from __future__ import annotations
 
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register, sources_text
-from dossier.plans.pipeline import gather_contexts
+from dossier.plans.profiles import gather_contexts
 
 _SAMPLE_SQL = O.with_(O.TEXT_ENTITIES, O.PAGE_CORPUS, O.links_overlap(4), O.EXCERPTS, O.CONTEXTS) + f"""
 SELECT e.candid, e."full", e.state, e.min_year,
@@ -14,8 +14,8 @@ SELECT e.candid, e."full", e.state, e.min_year,
 FROM text_entities e LEFT JOIN contexts c ON e.candid = c.candid"""
 
 
-@register("pipeline_sample", _SAMPLE_SQL)
-def pipeline_sample(spark, sf_dir):
+@register("profile_sample", _SAMPLE_SQL)
+def profile_sample(spark, sf_dir):
     """Every entity, its top-4 sources by term overlap, the cascade excerpts
     joined in rank order, and the extraction prompt."""
     out = gather_contexts(V.text_entities(spark, sf_dir), V.page_corpus(spark, sf_dir), r=4)

@@ -11,12 +11,12 @@ from dossier.operators.segments import first_k_segments
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register, sources_text
-from dossier.plans.pipeline import gather_contexts
+from dossier.plans.profiles import gather_contexts
 from dossier.session import materialize
 
 ALT_STOP_WORD = "und"
 
-# the page pipeline as CTEs: text_entities, corpus, links, excerpts, contexts, prompts
+# the page linking run as CTEs: text_entities, corpus, links, excerpts, contexts, prompts
 PIPE = O.with_(O.TEXT_ENTITIES, O.PAGE_CORPUS, O.links_overlap(4), O.EXCERPTS, O.CONTEXTS, f"""prompts AS (
   SELECT e.*, coalesce(c.context, '') AS context, coalesce(c.sources, '') AS sources,
          {O.extraction_prompt('e."full"', 'e.state', 'e.min_year', "coalesce(c.context, '')")} AS prompt

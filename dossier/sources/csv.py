@@ -1,5 +1,5 @@
 """CSV at the edges (S-1, S-4, S-5, S-7, K-1, K-2, K-9, U-A, U-A2).
-Inside the pipeline every hand-off is Parquet."""
+Inside a run every hand-off is Parquet."""
 
 from __future__ import annotations
 

@@ -126,8 +126,14 @@ def test_rerun_is_idempotent(spark):
     assert got == {("1", 2, "ok"), ("2", 1, "ok")}
 
 
-def test_knn_matches_brute_force(spark):
+@pytest.mark.parametrize("cells", [None, (3, 7, 1)])
+def test_knn_matches_brute_force(spark, monkeypatch, cells):
+    """Default cells (one block) and tiny cells (many query blocks x many
+    training buckets) both give the exact neighbours."""
     import numpy as np
+    if cells:
+        for name, v in zip(("KNN_QUERY_CELL", "KNN_TRAIN_CELL", "KNN_MIN_TRAIN_CELL"), cells):
+            monkeypatch.setattr(Q, name, v)
     rng = np.random.default_rng(0)
     vecs = rng.normal(size=(60, 8)).astype(np.float32)
     rows = [(i, [float(x) for x in vecs[i]], int(i % 3)) for i in range(60)]
@@ -137,6 +143,7 @@ def test_knn_matches_brute_force(spark):
            .groupBy("q_id").agg(F.collect_list("t_id").alias("ids")).collect()}
     v64 = vecs.astype(np.float64)
     tr = [i for i in range(60) if i % 5]
+    assert sorted(got) == list(range(0, 60, 5))
     for q in range(0, 60, 5):
         d = sorted(((((v64[q] - v64[t]) ** 2).sum(), t) for t in tr))[:4]
         assert got[q] == sorted(t for _, t in d)

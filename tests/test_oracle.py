@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from dossier.sources.tables import TABLES
 from scripts.oracle_check import digest
 
-NAMES = ["pipeline_sample", "sample_distinct", "select_rows", "range_groups", "html_to_text", "link_bm25",
+NAMES = ["profile_sample", "sample_distinct", "select_rows", "range_groups", "html_to_text", "link_bm25",
          "keyword_excerpt", "parse_json", "enrich_stub", "route_failures", "encode_categories",
          "eval_fold_f1", "holdout_split", "knn_classify", "union_shards", "scan_prompts"]
 

@@ -7,9 +7,9 @@ import __spark_entry__ as E
 
 PYTHON_OK = {"enrich_stub", "enrich_retry", "route_failures", "missing_entities", "loss_funnel",
              "stage_counts", "rerun_offset", "rerun_timeouts", "rerun_append", "rerun_prompt_errors",
-             "knn_classify", "pipeline_rows", "pipeline_rerun", "eval_validation"}
+             "knn_classify", "profile_rows", "profile_rerun", "eval_validation"}
 CHEAP = ["normalise_entities", "decode_state", "link_top_r", "link_bm25", "contains_cascade",
-         "parse_json", "labelled_all", "eval_report", "pipeline_sample", "first_k_segments",
+         "parse_json", "labelled_all", "eval_report", "profile_sample", "first_k_segments",
          "coverage_by_year", "stratified_folds"]
 
 
