@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.operators import enrich as EN
+from dossier.operators import ranking as RK
 from dossier.operators.parse import parse_replies
 
 # dead-letter stages
@@ -60,10 +61,16 @@ def pending(prompts: DataFrame, done: DataFrame, key: str = "candid", prompt: st
 
 
 def offset_queue(queue: DataFrame, k: int = 0, order: str = "row") -> DataFrame:
-    """Queue in row order without its first k entries (k = 0 keeps all)."""
+    """Queue in row order without its first k entries (k = 0 keeps all).
+
+    ``orderBy().offset(k)`` would run as one global limit in a single task;
+    the exact position comes from the range-partitioned ``ordered_index``
+    instead, so every step stays parallel."""
     if k < 0:
         raise ValueError("k must be >= 0")
-    return queue.orderBy(order).offset(k) if k else queue
+    if not k:
+        return queue
+    return RK.ordered_index(queue, [order], name="_q").filter(F.col("_q") >= k).drop("_q")
 
 
 def append_attempt(df: DataFrame, path: str, attempt: int) -> None:
