@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def bounded_count(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """Row count of ``df``, counting at most max_rows + 1 rows."""
+    return df.limit(max_rows + 1).count()
+
+
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (counts at most
     max_rows + 1 of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return bounded_count(df, max_rows) <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -1,21 +1,33 @@
 """Entity -> document linking (re-aimed web search: S-11, J-5, W-1, A-4).
 
-Each entity's name terms are matched against the terms of every document
-with an equi-join on the term; scores are summed per (entity, document) and
-the top ``r`` documents per entity are kept, ties broken by document id.
-
-Scale notes
-* The entity-term side (3 terms per entity) is broadcast after a row count,
-  so the huge corpus side is never shuffled for the join; a frequent term
-  ("the") therefore costs only map-side work, not a hot reducer.
-* Page terms are de-duplicated inside each row (``array_distinct``) before the
-  explode, so no shuffle is needed to get distinct (document, term) pairs.
-* BM25 reads the corpus once: the pass that writes the (vocabulary-only)
-  term-frequency table also writes one length row per document, from which
-  the global statistics are computed.
-* The top-r window is preceded by Spark's partial window-group limit: each
-  map task keeps at most r rows per entity before the exchange, so even an
-  entity that matches every document sends only r rows per task."""
+A document's score for an entity is a sum of non-negative weights over the
+entity's name terms it contains (1 per term for overlap, the BM25 weight of
+the term in the document for BM25); the top ``r`` documents per entity are
+kept, score descending, ties by document id.
+
+Exact top r without emitting (entity, document) pairs per shared term.
+Let S(e, d) be the set of e's terms that d contains. If d is among e's top
+r, then d is also among the top r of *all* documents containing S(e, d),
+ranked by their partial score over S(e, d): every document that beats d
+there contains S(e, d) too, scores at least as much for e, and so also
+beats d for e. Hence:
+
+1. each entity yields its (at most 7) non-empty term subsets; distinct
+   subsets are what is searched, however many entities share one;
+2. each subset is keyed by its rarest term (document frequency), and a
+   document reaches a subset only through that term, then is verified to
+   hold the subset's other terms by a join on the unique (document, term)
+   key; a stop word ("the") thus keys only the subsets made of stop words;
+3. the top r documents per subset come from a window with Spark's partial
+   group limit, so a subset matched by a third of all documents still sends
+   at most r rows per map task to its reducer;
+4. each entity takes the union of its subsets' top r (at most 7 r rows) and
+   keeps the best r. A candidate found through a smaller subset can only be
+   under-scored, never over-scored, so the result equals the exhaustive one.
+
+The corpus is read once: its vocabulary-only postings (document, term,
+weight) are written once to the shared checkpoint folder and reused by the
+frequency count, the subset probe and the verification join."""
 
 from __future__ import annotations
 
@@ -24,10 +36,12 @@ from pyspark.sql import functions as F
 
 from dossier.functions import text as T
 from dossier.operators.corpus import as_corpus
-from dossier.operators.joins import checked_broadcast, fits, hint_if
+from dossier.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_count, hint_if
 from dossier.session import materialize
 
 MAX_R = 4
+# name terms per entity (first, middle, last): at most 7 subsets each
+MAX_SUBSET = 3
 
 
 def check_r(r: int) -> None:
@@ -52,20 +66,24 @@ def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
             .filter(F.col("rank") <= r))
 
 
+def _postings_overlap(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(page_id, url, term, w = 1): distinct vocabulary terms per document."""
+    return (docs.select("page_id", "url", F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
+            .join(vocab, "term")
+            .withColumn("w", F.lit(1).cast("long")))
+
+
 def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
                  key: str = "candid") -> DataFrame:
     """Top r documents per entity by the number of distinct name terms the
     document contains. corpus: a Corpus or (page_id, url, text). Returns
     (key, page_id, url, score, rank); entities without any match are absent."""
     check_r(r)
-    ents = checked_broadcast(entity_terms(entities, key))
-    docs = as_corpus(corpus).texts()
-    doc_terms = docs.select("page_id", "url",
-                            F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
-    scored = (doc_terms.join(ents, "term")
-              .groupBy(key, "page_id", "url")
-              .agg(F.count(F.lit(1)).alias("score")))
-    return top_r(scored, key, r)
+    terms = entity_terms(entities, key)
+    n_terms = bounded_count(terms)
+    vocab = hint_if(terms.select("term").distinct(), n_terms <= DEFAULT_BROADCAST_ROWS)
+    post = materialize(_postings_overlap(as_corpus(corpus).texts(), vocab), "overlap-postings")
+    return top_r(subset_candidates(terms, post, key, r, n_terms), key, r)
 
 
 def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
@@ -78,11 +96,11 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     occurrences of vocabulary terms (broadcast join with the entity
     vocabulary) plus one length row per document are aggregated and written
     as the term-frequency table. The corpus size N, the average length and
-    everything after them read that table, not the corpus."""
+    the per-(document, term) weights read that table, not the corpus."""
     check_r(r)
     terms = entity_terms(entities, key)
-    small = fits(terms)                 # vocabulary and df table are no larger
-    ents = hint_if(terms, small)
+    n_terms = bounded_count(terms)
+    small = n_terms <= DEFAULT_BROADCAST_ROWS   # vocabulary and df table are no larger
     vocab = hint_if(terms.select("term").distinct(), small)
     docs = (as_corpus(corpus).texts()
             .select("page_id", "url", T.letter_terms("text").alias("terms"))
@@ -104,11 +122,51 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
-    part = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = (tf.join(hint_if(df_, small), "term")
-              .join(ents, "term")
-              .groupBy(key, "page_id", "url")
-              .agg(F.sum(part).alias("raw")))
+    weight = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    post = (tf.join(hint_if(df_, small), "term")
+            .select("page_id", "url", "term", weight.alias("w")))
+    scored = subset_candidates(terms, post, key, r, n_terms)
     # rank on a rounded score so that float summation order cannot reorder ties
-    scored = scored.withColumn("score", F.round("raw", 9)).drop("raw")
-    return top_r(scored, key, r)
+    return top_r(scored.withColumn("score", F.round("score", 9)), key, r)
+
+
+def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
+                      n_terms: int) -> DataFrame:
+    """(key, page_id, url, score): for every entity, the union of the top r
+    documents of each of its term subsets (see the module notes), scored by
+    the best partial score found. ``terms`` is (key, term) with at most
+    three terms per key; ``postings`` is (page_id, url, term, w) with one
+    row per (document, vocabulary term) and w >= 0. ``n_terms`` is the
+    (bounded) row count of ``terms``: the frequency table has at most that
+    many rows and the subset table at most 7/3 of it (3 terms -> 7 subsets),
+    which decides both broadcasts without another count."""
+    small = n_terms <= DEFAULT_BROADCAST_ROWS
+    sub_small = 7 * n_terms <= 3 * DEFAULT_BROADCAST_ROWS
+    freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    # each entity's matchable terms, rarest first (document frequency, then
+    # the term itself: one global order, so equal sets give equal arrays)
+    ordered = (terms.join(hint_if(freq, small), "term")
+               .groupBy(key)
+               .agg(F.transform(F.array_sort(F.collect_list(F.struct("_df", "term"))),
+                                lambda x: x["term"]).alias("_ts")))
+    subsets = (ordered.select(key, "_ts", F.explode(F.expr("sequence(1, shiftleft(1, size(_ts)) - 1)")).alias("_m"))
+               .select(key, F.expr("filter(_ts, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_s"))
+               .select(key, F.concat_ws(" ", "_s").alias("_sid"), "_s"))
+    probes = (subsets.select("_sid", "_s").distinct()
+              .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, MAX_SUBSET).alias("_rest")))
+    hits = postings.join(hint_if(probes, sub_small), "term")   # reached through the rarest term only
+    single = (hits.filter(F.size("_rest") == 0)
+              .select("_sid", "page_id", "url", F.col("w").alias("score")))
+    multi = (hits.filter(F.size("_rest") > 0)
+             .select("_sid", "page_id", "url", F.col("w").alias("_w0"), F.size("_rest").alias("_need"),
+                     F.explode("_rest").alias("term"))
+             .join(postings.select("page_id", "term", F.col("w").alias("_wo")), ["page_id", "term"])
+             .groupBy("_sid", "page_id", "url", "_w0", "_need")
+             .agg(F.count(F.lit(1)).alias("_got"), F.sum("_wo").alias("_ws"))
+             .filter(F.col("_got") == F.col("_need"))
+             .select("_sid", "page_id", "url", (F.col("_w0") + F.col("_ws")).alias("score")))
+    w = Window.partitionBy("_sid").orderBy(F.col("score").desc(), F.col("page_id").asc())
+    best = (single.unionByName(multi).withColumn("_n", F.row_number().over(w))
+            .filter(F.col("_n") <= r).drop("_n"))
+    return (subsets.select(key, "_sid").join(best, "_sid")
+            .groupBy(key, "page_id", "url").agg(F.max("score").alias("score")))

@@ -2,6 +2,8 @@
 
 import math
 import random
+
+import pytest
 from collections import Counter
 
 
@@ -105,3 +107,27 @@ def test_codes_fitted_on_train_only(spark):
     codes = RK.fit_codes(train, ["v"])
     got = [r.v_code for r in RK.apply_codes(test, codes, ["v"]).orderBy(F.col("v").asc_nulls_last()).collect()]
     assert got == [0, -1, -1]
+
+
+@pytest.mark.parametrize("r", [1, 4])
+def test_overlap_links_match_brute_force_with_hot_terms(spark, r):
+    """Many entities share a stop word that most documents contain; scores
+    tie often. The subset-candidate ranking must equal the exhaustive one."""
+    rng = random.Random(11)
+    vocab = ["the", "the", "the", "of", "ann", "bo", "cy", "dee", "eli", "fay"]
+    docs = {i: " ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 12))) for i in range(80)}
+    names = ["the", "of", "ann", "bo", "cy", "dee", "eli", "fay", "zed"]
+    ents = {f"e{i}": [rng.choice(names) for _ in range(3)] for i in range(30)}
+    ents["e_none"] = ["zed", "zed", "zed"]
+    edf = spark.createDataFrame([(k, *v) for k, v in ents.items()],
+                                "candid string, first string, middle string, last string")
+    cdf = spark.createDataFrame([(p, f"u{p}", t) for p, t in docs.items()], "page_id long, url string, text string")
+    got = {}
+    for row in L.link_overlap(edf, cdf, r=r).collect():
+        got.setdefault(row.candid, []).append((row.rank, row.page_id, row.score))
+    want = {}
+    for e, ns in ents.items():
+        scored = sorted((-len(set(ns) & set(t.split())), p) for p, t in docs.items() if set(ns) & set(t.split()))
+        if scored:
+            want[e] = [(i + 1, p, -s) for i, (s, p) in enumerate(scored[:r])]
+    assert {e: sorted(v) for e, v in got.items()} == want
