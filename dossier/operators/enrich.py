@@ -129,10 +129,13 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
            partitions: int | None = None) -> DataFrame:
     """Call ``fn(prompt)`` (or ``fn(prompt, key)`` when ``key_col`` is set)
     once per row; adds response, status, reason, attempts. ``partitions``
-    spreads the calls over that many tasks first (hash of the key, or
-    round-robin), which is the concurrency of the whole job."""
+    spreads the calls round-robin over that many tasks first, which is the
+    concurrency of the whole job. Calls are independent, so nothing needs
+    to share a task: a hot key or a large group of identical rows is spread
+    like any other, and Spark's sort before a round-robin exchange gives a
+    retried task the same rows."""
     if partitions:
-        df = df.repartition(partitions, key_col) if key_col else df.repartition(partitions)
+        df = df.repartition(partitions)
     schema = TY.StructType(list(df.schema.fields) + ENRICH_FIELDS)
     limit = policy.token_limit
 
