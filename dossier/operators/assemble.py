@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from dossier.functions import text as T
 from dossier.operators.corpus import as_corpus
-from dossier.operators.joins import checked_broadcast
 
 # --- fixed values that must equal the reference ------------------------------
 # Extraction prompt, written with single spaces between words.
@@ -69,11 +68,12 @@ def over_budget(prompt, limit: int = PROMPT_TOKEN_LIMIT) -> F.Column:
 def linked_text(links: DataFrame, entities: DataFrame, corpus,
                 key: str = "candid") -> DataFrame:
     """Linked (entity, source) pairs with the source text and the entity's
-    name parts. ``links`` (key, page_id, url, rank) is small (r rows per
-    entity) and is broadcast after a count, so the corpus is scanned once
-    and never shuffled; text is only produced for linked documents."""
+    name parts. ``links`` (key, page_id, url, rank) has r rows per entity;
+    the corpus is filtered to linked documents map-side, their text is
+    computed once each, and a document linked by very many entities is
+    split over several copies (``Corpus.text_for``)."""
     names = entities.select(key, "first", "middle", "last")
-    pairs = checked_broadcast(links.select(key, "page_id", "url", "rank").join(names, key))
+    pairs = links.select(key, "page_id", "url", "rank").join(names, key)
     return as_corpus(corpus).text_for(pairs)
 
 

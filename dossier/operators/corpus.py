@@ -1,8 +1,8 @@
 """A document table plus the expression that yields each document's text.
 
 The text is computed where it is used: over every document when linking,
-and only after the join with the (small) link table when cutting excerpts,
-so the expensive HTML -> text rewrite never runs twice over the corpus."""
+and only for linked documents (once each) when cutting excerpts, so the
+expensive HTML -> text rewrite never runs twice over the corpus."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dossier.operators.joins import checked_broadcast
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -21,11 +23,30 @@ class Corpus:
         """(page_id, url, text) for every document."""
         return self.df.select("page_id", "url", self.text.alias("text"))
 
-    def text_for(self, pairs: DataFrame, on: str = "page_id") -> DataFrame:
-        """Rows of ``pairs`` joined to their document, text computed after
-        the join (only for the documents that are referenced)."""
+    def text_for(self, pairs: DataFrame, on: str = "page_id",
+                 rows_per_copy: int = 10_000) -> DataFrame:
+        """Rows of ``pairs`` joined to their document's text.
+
+        Only referenced documents are read past the scan (a map-side
+        semi-join with the per-document fan-out table), and their text is
+        computed once per document, not once per pair. A document that many
+        pairs reference is copied ceil(pairs / rows_per_copy) times and its
+        pairs are dealt over the copies by a hash of the whole pair row, so
+        no (document, copy) group of the join holds more than about
+        ``rows_per_copy`` pairs, even for a document referenced by a third
+        of all rows."""
+        fan = (pairs.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+               .select(on, (F.floor((F.col("_n") - 1) / rows_per_copy) + 1).cast("int").alias("_f")))
+        fan = checked_broadcast(fan)     # one row per referenced document
         raw = self.df.drop("url") if "url" in pairs.columns else self.df
-        return raw.join(pairs, on).select(*pairs.columns, self.text.alias("text"))
+        docs = (raw.join(fan, on)
+                .select(on, "_f", self.text.alias("text"))
+                .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_f") - 1)))
+                .drop("_f"))
+        salted = (pairs.join(fan, on)
+                  .withColumn("_salt", F.pmod(F.xxhash64(*pairs.columns), F.col("_f")).cast("int"))
+                  .drop("_f"))
+        return salted.join(docs, [on, "_salt"]).select(*pairs.columns, "text")
 
 
 def as_corpus(c) -> Corpus:

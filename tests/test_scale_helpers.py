@@ -131,3 +131,17 @@ def test_overlap_links_match_brute_force_with_hot_terms(spark, r):
         if scored:
             want[e] = [(i + 1, p, -s) for i, (s, p) in enumerate(scored[:r])]
     assert {e: sorted(v) for e, v in got.items()} == want
+
+
+def test_text_for_splits_a_hot_document_without_changing_rows(spark):
+    """One document referenced by most pairs is copied over several salts;
+    every pair still meets its text exactly once."""
+    docs = spark.createDataFrame([(1, "u1", "Alpha beta"), (2, "u2", "Gamma"), (3, "u3", "unused")],
+                                 "page_id long, url string, html string")
+    c = Corpus(docs, F.lower("html"))
+    pairs = spark.createDataFrame([(f"e{i}", 1 if i % 10 else 2, i) for i in range(50)] + [("x", 1, 99), ("x", 1, 99)],
+                                  "candid string, page_id long, rank int")
+    got = sorted(tuple(r) for r in c.text_for(pairs, rows_per_copy=3).collect())
+    want = sorted((k, p, r, "alpha beta" if p == 1 else "gamma") for k, p, r in
+                  [(f"e{i}", 1 if i % 10 else 2, i) for i in range(50)] + [("x", 1, 99), ("x", 1, 99)])
+    assert got == want
