@@ -168,5 +168,9 @@ def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
     w = Window.partitionBy("_sid").orderBy(F.col("score").desc(), F.col("page_id").asc())
     best = (single.unionByName(multi).withColumn("_n", F.row_number().over(w))
             .filter(F.col("_n") <= r).drop("_n"))
+    # at most r rows per subset; broadcast under the same proven bound, the
+    # entity side keeps its hash partitioning by key, so the max per
+    # (entity, document) and the caller's top-r window need no exchange
+    best = hint_if(best, r * 7 * n_terms <= 3 * DEFAULT_BROADCAST_ROWS)
     return (subsets.select(key, "_sid").join(best, "_sid")
             .groupBy(key, "page_id", "url").agg(F.max("score").alias("score")))
