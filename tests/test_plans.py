@@ -35,3 +35,25 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["candid", "full", "state", "min_year", "sources", "context",
                                              "prompt"]
+
+
+def test_queue_offset_has_no_single_task_limit(spark, sf):
+    p = plan(E.queries()["rerun_offset"](spark, sf))
+    assert "CollectLimit" not in p and "GlobalLimit" not in p
+
+
+def test_link_top_r_limits_every_window_map_side(spark, sf):
+    """Both the per-subset and the per-entity top r run a partial group
+    limit before their exchange; no (entity, document) pair per term."""
+    p = plan(E.queries()["link_top_r"](spark, sf))
+    assert p.count("WindowGroupLimit") >= 3 and "Partial" in p
+
+
+def test_knn_never_collects_to_the_driver(spark, sf, monkeypatch):
+    from pyspark.sql import DataFrame
+    def refuse(self, *a, **k):
+        raise AssertionError("collect() on the driver")
+    monkeypatch.setattr(DataFrame, "collect", refuse)
+    monkeypatch.setattr(DataFrame, "toPandas", refuse)
+    df = E.queries()["knn_classify"](spark, sf)
+    assert "FlatMapCoGroupsInPandas" in plan(df)
