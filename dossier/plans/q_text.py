@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dossier.functions import text as T
 from dossier.operators import assemble as A
 from dossier.operators import link as L
+from dossier.operators.joins import checked_broadcast
 from dossier.operators.segments import first_k_segments
 from dossier.plans import oracle as O
 from dossier.plans import views as V
@@ -120,7 +121,11 @@ def q_link_pages_by_url(spark, sf_dir):
     out = page_prompts(spark, sf_dir)
     ex = (out.select("candid", F.posexplode_outer("sources").alias("pos", "url"))
           .filter(F.col("url").isNotNull()))
-    pages = V.table(spark, sf_dir, "pages").select("url", "page_id", F.length("html").alias("html_chars"))
+    # the page table is cut to the linked URLs map-side (a broadcast of the
+    # distinct linked URLs, after a count), so it is never shuffled whole
+    urls = checked_broadcast(ex.select("url").distinct())
+    pages = (V.table(spark, sf_dir, "pages").join(urls, "url", "left_semi")
+             .select("url", "page_id", F.length("html").alias("html_chars")))
     return ex.join(pages, "url", "left").select("candid", "pos", "url", "page_id", "html_chars")
 
 
