@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.operators.joins import checked_broadcast
+from dossier.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -20,8 +21,9 @@ class Corpus:
     text: Column       # expression over ``df`` that yields the document text
 
     def texts(self) -> DataFrame:
-        """(page_id, url, text) for every document."""
-        return self.df.select("page_id", "url", self.text.alias("text"))
+        """(page_id, url, text) for every document. A narrow scan is spread
+        over all cores first (``spread``), since every document is worked on."""
+        return spread(self.df).select("page_id", "url", self.text.alias("text"))
 
     def text_for(self, pairs: DataFrame, on: str = "page_id",
                  rows_per_copy: int = 10_000) -> DataFrame:

@@ -68,7 +68,7 @@ def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     """Crawled pages; their text is the visible text of the HTML."""
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return Corpus(p, T.html_to_text("html"))
 
 
@@ -78,7 +78,7 @@ URL_HOST = r"^[a-z]+://([^/?#:]+)"
 
 def doc_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     """Documents as a corpus (page_id = doc_id), text lower-cased."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return Corpus(d.select(
         F.col("doc_id").alias("page_id"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
@@ -89,7 +89,7 @@ def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
                    host_suffixes: tuple[str, ...] = (".com",)) -> Corpus:
     """Pages restricted to one language (the page's ``lang`` attribute) and
     to hosts with one of the given suffixes (the country restriction)."""
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     host = F.regexp_extract("url", URL_HOST, 1)
     keep = F.regexp_extract("html", LANG_ATTR, 1) == lang
     keep = keep & F.greatest(*[F.endswith(host, F.lit(s)) for s in host_suffixes]) \
