@@ -51,7 +51,10 @@ def check_r(r: int) -> None:
 
 def entity_terms(entities: DataFrame, key: str = "candid",
                  name_cols=("first", "middle", "last")) -> DataFrame:
-    """(key, term): the distinct non-empty name parts of each entity."""
+    """(key, term): the distinct non-empty name parts of each entity (at
+    most MAX_SUBSET of them, which bounds the subsets per entity)."""
+    if not 1 <= len(name_cols) <= MAX_SUBSET:
+        raise ValueError(f"1..{MAX_SUBSET} name columns, got {len(name_cols)}")
     parts = F.array(*[F.col(c) for c in name_cols])
     terms = F.array_distinct(F.filter(parts, lambda x: x.isNotNull() & (x != "")))
     return entities.select(key, F.explode(terms).alias("term"))
@@ -153,7 +156,7 @@ def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
                .select(key, F.expr("filter(_ts, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_s"))
                .select(key, F.concat_ws(" ", "_s").alias("_sid"), "_s"))
     probes = (subsets.select("_sid", "_s").distinct()
-              .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, MAX_SUBSET).alias("_rest")))
+              .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, F.size("_s")).alias("_rest")))
     hits = postings.join(hint_if(probes, sub_small), "term")   # reached through the rarest term only
     single = (hits.filter(F.size("_rest") == 0)
               .select("_sid", "page_id", "url", F.col("w").alias("score")))
