@@ -26,7 +26,10 @@ def ordered_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     group in ``order`` (ascending). ``order`` must be a total order (end it
     with a unique key). ``by`` should have few distinct values."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many ranges as the input has partitions (file splits grow with the
+    # data), at least the session's shuffle partitions: an explicit count is
+    # never split by AQE, so it must grow with the input itself
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     keys = [*by, *order]
     pid = F.spark_partition_id()
     # positions are fixed by writing the range-partitioned, sorted rows once
