@@ -159,3 +159,13 @@ def test_rate_limit_spaces_calls_within_a_task(spark):
     out = sorted(float(r.response) for r in EN.enrich(df, stamp, "prompt", policy=pol).collect())
     gaps = [b - a for a, b in zip(out, out[1:])]
     assert min(gaps) >= 0.045
+
+
+def test_large_sample_path_equals_top_n(spark, sf, monkeypatch):
+    """Above the merge bound the sample comes from ordered positions; it
+    must be the same rows as the single merged top-n."""
+    ents = E.normalise(V.entities(spark, sf))
+    small = sorted(tuple(r) for r in E.sample_distinct(ents, 40, seed=3).collect())
+    monkeypatch.setattr(E, "TOP_N_MERGE_ROWS", 5)
+    large = sorted(tuple(r) for r in E.sample_distinct(ents, 40, seed=3).collect())
+    assert len(small) == 40 and small == large
