@@ -68,4 +68,5 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known, so reading back needs no footer-reading job
+    return spark.read.schema(df.schema).parquet(path)
