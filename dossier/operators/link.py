@@ -25,9 +25,10 @@ beats d for e. Hence:
    keeps the best r. A candidate found through a smaller subset can only be
    under-scored, never over-scored, so the result equals the exhaustive one.
 
-The corpus is read once: its vocabulary-only postings (document, term,
-weight) are written once to the shared checkpoint folder and reused by the
-frequency count, the subset probe and the verification join."""
+The corpus is read once: its vocabulary-only postings (document id, term,
+weight; no url) are written once to the shared checkpoint folder and
+reused by the frequency count, the subset probe and the verification join.
+Urls are attached to the final top r rows only."""
 
 from __future__ import annotations
 
@@ -70,8 +71,8 @@ def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
 
 
 def _postings_overlap(docs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(page_id, url, term, w = 1): distinct vocabulary terms per document."""
-    return (docs.select("page_id", "url", F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
+    """(page_id, term, w = 1): distinct vocabulary terms per document."""
+    return (docs.select("page_id", F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
             .join(vocab, "term")
             .withColumn("w", F.lit(1).cast("long")))
 
@@ -86,7 +87,7 @@ def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
     n_terms = bounded_count(terms)
     vocab = hint_if(terms.select("term").distinct(), n_terms <= DEFAULT_BROADCAST_ROWS)
     post = materialize(_postings_overlap(as_corpus(corpus).texts(), vocab), "overlap-postings")
-    return top_r(subset_candidates(terms, post, key, r, n_terms), key, r)
+    return with_urls(top_r(subset_candidates(terms, post, key, r, n_terms), key, r), corpus, r, n_terms)
 
 
 def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
@@ -106,17 +107,17 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     small = n_terms <= DEFAULT_BROADCAST_ROWS   # vocabulary and df table are no larger
     vocab = hint_if(terms.select("term").distinct(), small)
     docs = (as_corpus(corpus).texts()
-            .select("page_id", "url", T.letter_terms("text").alias("terms"))
+            .select("page_id", T.letter_terms("text").alias("terms"))
             .withColumn("dl", F.size("terms")))
     # every document emits one sentinel row (null term) carrying its length,
     # plus its vocabulary-term occurrences; the broadcast left join marks
     # vocabulary terms and the sentinel survives the filter
     marked = vocab.withColumn("_in_vocab", F.lit(True))
-    rows = (docs.select("page_id", "url", "dl",
+    rows = (docs.select("page_id", "dl",
                         F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
             .join(marked, "term", "left")
             .filter(F.col("term").isNull() | F.col("_in_vocab")))
-    table = materialize(rows.groupBy("page_id", "url", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
+    table = materialize(rows.groupBy("page_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
                         "bm25-tf")
     got = table.filter(F.col("term").isNull()).agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total")).first()
     n_docs = int(got["n"] or 0)
@@ -127,18 +128,18 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
     weight = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     post = (tf.join(hint_if(df_, small), "term")
-            .select("page_id", "url", "term", weight.alias("w")))
+            .select("page_id", "term", weight.alias("w")))
     scored = subset_candidates(terms, post, key, r, n_terms)
     # rank on a rounded score so that float summation order cannot reorder ties
-    return top_r(scored.withColumn("score", F.round("score", 9)), key, r)
+    return with_urls(top_r(scored.withColumn("score", F.round("score", 9)), key, r), corpus, r, n_terms)
 
 
 def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
                       n_terms: int) -> DataFrame:
-    """(key, page_id, url, score): for every entity, the union of the top r
+    """(key, page_id, score): for every entity, the union of the top r
     documents of each of its term subsets (see the module notes), scored by
     the best partial score found. ``terms`` is (key, term) with at most
-    three terms per key; ``postings`` is (page_id, url, term, w) with one
+    three terms per key; ``postings`` is (page_id, term, w) with one
     row per (document, vocabulary term) and w >= 0. ``n_terms`` is the
     (bounded) row count of ``terms``: the frequency table has at most that
     many rows and the subset table at most 7/3 of it (3 terms -> 7 subsets),
@@ -159,15 +160,15 @@ def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
               .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, F.size("_s")).alias("_rest")))
     hits = postings.join(hint_if(probes, sub_small), "term")   # reached through the rarest term only
     single = (hits.filter(F.size("_rest") == 0)
-              .select("_sid", "page_id", "url", F.col("w").alias("score")))
+              .select("_sid", "page_id", F.col("w").alias("score")))
     multi = (hits.filter(F.size("_rest") > 0)
-             .select("_sid", "page_id", "url", F.col("w").alias("_w0"), F.size("_rest").alias("_need"),
+             .select("_sid", "page_id", F.col("w").alias("_w0"), F.size("_rest").alias("_need"),
                      F.explode("_rest").alias("term"))
              .join(postings.select("page_id", "term", F.col("w").alias("_wo")), ["page_id", "term"])
-             .groupBy("_sid", "page_id", "url", "_w0", "_need")
+             .groupBy("_sid", "page_id", "_w0", "_need")
              .agg(F.count(F.lit(1)).alias("_got"), F.sum("_wo").alias("_ws"))
              .filter(F.col("_got") == F.col("_need"))
-             .select("_sid", "page_id", "url", (F.col("_w0") + F.col("_ws")).alias("score")))
+             .select("_sid", "page_id", (F.col("_w0") + F.col("_ws")).alias("score")))
     w = Window.partitionBy("_sid").orderBy(F.col("score").desc(), F.col("page_id").asc())
     best = (single.unionByName(multi).withColumn("_n", F.row_number().over(w))
             .filter(F.col("_n") <= r).drop("_n"))
@@ -176,4 +177,16 @@ def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
     # (entity, document) and the caller's top-r window need no exchange
     best = hint_if(best, r * 7 * n_terms <= 3 * DEFAULT_BROADCAST_ROWS)
     return (subsets.select(key, "_sid").join(best, "_sid")
-            .groupBy(key, "page_id", "url").agg(F.max("score").alias("score")))
+            .groupBy(key, "page_id").agg(F.max("score").alias("score")))
+
+
+def with_urls(links: DataFrame, corpus, r: int, n_terms: int) -> DataFrame:
+    """Adds each linked document's url. Postings and candidates carry only
+    the document id; the (at most r per entity, so at most r x n_terms)
+    link rows are broadcast under that bound and a (page_id, url)
+    projection of the corpus streams past them, so the link plan runs once
+    and the corpus is not shuffled."""
+    out = links.columns
+    pages = as_corpus(corpus).df.select("page_id", "url")
+    joined = pages.join(hint_if(links, r * n_terms <= DEFAULT_BROADCAST_ROWS), "page_id")
+    return joined.select(*out[:2], "url", *out[2:])
