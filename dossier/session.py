@@ -3,12 +3,15 @@ checkpoint folder used to cut lineage and stage intermediate tables."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN_DIRS: dict[str, str] = {}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "dossier") -> SparkSession:
@@ -35,38 +38,53 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    It is read from the session. Only a local-mode session without the
-    setting (tests, the bench) gets a fresh scratch folder of its own; a
-    cluster session without it is an error, because a machine-local folder
-    is not visible to other executors."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of
+    the session or its context, else a folder in the session's warehouse,
+    which every executor can reach too. Never a machine-local one."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
+    if not named and current.isDefined():
         return current.get()
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="dossier-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc._jsc.sc().getCheckpointDir().get()
+    named = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+    if not current.isDefined():
+        sc.setCheckpointDir(named)
+    return named
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh table path under the shared checkpoint folder."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one table folder through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _run_dir(spark: SparkSession) -> str:
+    """This process's own folder under the shared one, removed when the
+    process ends while its session is still up."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    if base not in _RUN_DIRS:
+        path = _RUN_DIRS[base] = f"{base}/run-{uuid.uuid4().hex[:12]}"
+
+        def clean() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone
+                delete_path(spark, path)
+        atexit.register(clean)
+    return _RUN_DIRS[base]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh table path in this run's part of the shared folder."""
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder
     and read it back. The plan above runs in exactly one job, so a slow or
     paid step (or a non-deterministic one) is never re-run by later
     actions, and lost executors recompute from the table, not the source."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     # the schema is known, so reading back needs no footer-reading job
     return spark.read.schema(df.schema).parquet(path)

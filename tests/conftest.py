@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,9 +11,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from dossier.session import checkpoint_dir, get_spark
+    from dossier.session import get_spark
     s = get_spark("local[4]", shuffle_partitions=8)
-    checkpoint_dir(s)
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="test-stages-"))
     yield s
 
 
