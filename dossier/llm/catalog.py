@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import simhash
+from dossier.llm import packing, simhash
 
-MODULES = (simhash,)
+MODULES = (packing, simhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
