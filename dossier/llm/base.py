@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dossier.session import materialize
 
@@ -49,8 +47,3 @@ def count_over(spark: SparkSession, df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has more than ``limit`` rows, read no further than that."""
     return df.limit(limit + 1).count() > limit
 
-
-def arrow_type(t: T.DataType) -> pa.DataType:
-    """The Arrow type that a column of Spark type ``t`` has in mapInArrow."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    return to_arrow_type(t)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import packing, simhash
+from dossier.llm import packing, simhash, warc
 
-MODULES = (packing, simhash)
+MODULES = (packing, warc, simhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
