@@ -58,7 +58,7 @@ def test_empty_table(spark):
 
 def archive(tmp_path, name, parts, members=1):
     body = b"".join(p + b"\r\n\r\n" for p in parts)
-    cut = len(body) // members
+    cut = len(body) // max(1, members)
     data = b"".join(gzip.compress(body[i:i + cut]) for i in range(0, len(body), cut)) if members else body
     (tmp_path / name).write_bytes(data)
 
