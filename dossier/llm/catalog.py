@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import decontaminate, linededup, packing, simhash, warc
+from dossier.llm import decontaminate, linededup, packing, rules, simhash, warc
 
-MODULES = (linededup, packing, warc, decontaminate, simhash)
+MODULES = (linededup, packing, warc, rules, decontaminate, simhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
