@@ -164,7 +164,8 @@ def normal_path(n: int) -> float:
 
 def scored(stats: DataFrame, forest: Forest | None, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``stats`` and its anomaly ``score`` (0 without a forest)."""
-    inputs = {f"x{i}": c for i, c in enumerate(shares())}
+    columns = [c.alias(f"x{i}") for i, c in enumerate(shares())]
+    inputs = [f"x{i}" for i in range(len(columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -173,7 +174,7 @@ def scored(stats: DataFrame, forest: Forest | None, keep: list[str]) -> DataFram
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(score)], [*keep, "score"])
 
     schema = T.StructType([*(stats.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
-    return stats.select(*keep, *[c.alias(name) for name, c in inputs.items()]).mapInArrow(run, schema)
+    return stats.select(*keep, *columns).mapInArrow(run, schema)
 
 
 def fitted(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
