@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import decontaminate, linededup, packing, quality, rules, simhash, warc
+from dossier.llm import decontaminate, langid, linededup, packing, quality, rules, simhash, warc
 
-MODULES = (linededup, packing, warc, rules, decontaminate, quality, simhash)
+MODULES = (linededup, packing, warc, rules, decontaminate, quality, simhash, langid)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
