@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import brown, decontaminate, langid, linededup, packing, quality, rules, simhash, warc
+from dossier.llm import brown, decontaminate, langid, licenses, linededup, packing, quality, rules, simhash, warc
 
-MODULES = (linededup, packing, warc, brown, rules, decontaminate, quality, simhash, langid)
+MODULES = (linededup, packing, warc, brown, rules, decontaminate, quality, simhash, langid, licenses)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
