@@ -51,8 +51,8 @@ HELD_OUT, FOLDS = 1, 3
 UNKNOWN = "und"
 #: A letter that the sample lacks, the break between words, and the first letter.
 MISSING, BREAK, FIRST = 0, 1, 2
-#: Mark of a transition that ends a phrase.
-ENDS = np.int32(1 << 30)
+#: A transition's upper bits hold the phrases that it completes.
+SHIFT = 28
 TABLE_END = 0x110000
 
 
@@ -119,8 +119,10 @@ class Parser:
         start = np.zeros(self.width, np.int32)
         for c, to in moves[0].items():
             start[c] = to
-        # an unknown letter is a phrase of its own: from the start to the start
-        self.table = np.tile(start | ENDS, (len(moves), 1))
+        # a letter that doesn't go on completes the phrase; an unknown letter is one of its own
+        unknown = start == 0
+        self.table = np.tile(start + ((1 + unknown.astype(np.int32)) << SHIFT), (len(moves), 1))
+        self.table[0, unknown] = 1 << SHIFT
         for state, row in enumerate(moves):
             self.table[state, list(row)] = list(row.values())
         self.table = self.table.ravel()
@@ -134,13 +136,13 @@ class Parser:
         """Per block: ``columns[i]`` is the i-th letter of all blocks, longest
         block first; a block ends after ``lengths`` letters."""
         state = np.zeros(len(lengths), np.int32)
-        count = np.ones(len(lengths), np.int64)
+        count = np.zeros(len(lengths), np.int64)
         live = np.searchsorted(-lengths, -np.arange(1, len(columns) + 1), side="right")
         for row, n in zip(columns, live):
             to = self.table[state[:n] * self.width + row[:n]]
-            count[:n] += to >= ENDS
-            state[:n] = to & (ENDS - 1)
-        return count
+            count[:n] += to >> SHIFT
+            state[:n] = to & ((1 << SHIFT) - 1)
+        return count + (state > 0)
 
 
 def samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:

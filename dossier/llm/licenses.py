@@ -4,9 +4,9 @@ Lines with a license cue, and the lines between cue lines that are near each
 other, form candidate blocks. A block is compressed alone and with each
 license's wordings as a raw zstandard dictionary; the licenses are ranked by
 the share of bytes that the dictionary saves. The wordings of the best
-``TOP`` are then compared with the block word by word; the one with the fewest
-differing words wins, and counts if ``SIMILARITY`` of the words agree and no
-name or number that tells the license from others differs.
+``TOP`` are then compared with the block word by word. A wording is confirmed
+if ``SIMILARITY`` of the words agree and no name or number that tells licenses
+apart differs; the one with the most equal words less differing ones wins.
 
 Texts without a cue are put aside by Spark's own string functions. The others
 are scanned whole where they are; nothing is shuffled, so it doesn't matter
@@ -48,68 +48,71 @@ FORMS = ("Licensed under", "Released under", "Distributed under", "Available und
          "This project is licensed under", "This software is released under the terms of",
          "SPDX-License-Identifier:")
 
-#: Per license the names it goes by in short notices, the words
-#: of them that no other license shares (all must agree), and its usual wording.
+#: Words of the names below that tell no license from another.
+COMMON = {"the", "license", "version", "gnu", "general", "public", "domain", "dedication", "universal", "creative",
+          "commons", "attribution", "international", "by", "clause", "new", "simplified"}
+
+#: Per license the names it goes by in short notices, and its usual wording.
 LICENSES = {
-    "Apache-2.0": (["the Apache License, Version 2.0", "Apache-2.0", "the Apache 2.0 License"], ["apache", "2.0"], """
+    "Apache-2.0": (["the Apache License, Version 2.0", "Apache-2.0", "the Apache 2.0 License"], """
 Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
 the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by
 applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
 WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
 governing permissions and limitations under the License."""),
-    "MIT": (["the MIT License", "MIT", "the MIT license (MIT)"], ["mit"], """
+    "MIT": (["the MIT License", "MIT", "the MIT license (MIT)"], """
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
 persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
 this permission notice shall be included in all copies or substantial portions of the Software."""),
-    "ISC": (["the ISC License", "ISC"], ["isc"], """
+    "ISC": (["the ISC License", "ISC"], """
 Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
 provided that the above copyright notice and this permission notice appear in all copies."""),
-    "BSD-2-Clause": (["the BSD 2-Clause License", "BSD-2-Clause", "the Simplified BSD License"], ["bsd"], """
+    "BSD-2-Clause": (["the BSD 2-Clause License", "BSD-2-Clause", "the Simplified BSD License"], """
 Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
 following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
 conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
 list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution."""),
-    "BSD-3-Clause": (["the BSD 3-Clause License", "BSD-3-Clause", "the New BSD License"], ["bsd"], """
+    "BSD-3-Clause": (["the BSD 3-Clause License", "BSD-3-Clause", "the New BSD License"], """
 Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
 following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
 conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
 list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
 promote products derived from this software without specific prior written permission."""),
-    "GPL-2.0": (["the GNU General Public License, version 2", "GPL-2.0", "GPLv2", "the GNU GPL v2"], ["2"], """
+    "GPL-2.0": (["the GNU General Public License, version 2", "GPL-2.0", "GPLv2", "the GNU GPL v2"], """
 This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
 License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
 version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
 implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
 details."""),
-    "GPL-3.0": (["the GNU General Public License, version 3", "GPL-3.0", "GPLv3", "the GNU GPL v3"], ["3"], """
+    "GPL-3.0": (["the GNU General Public License, version 3", "GPL-3.0", "GPLv3", "the GNU GPL v3"], """
 This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
 License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
 version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
 implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
 details."""),
-    "LGPL-3.0": (["the GNU Lesser General Public License, version 3", "LGPL-3.0", "LGPLv3"], ["lesser", "3"], """
+    "LGPL-3.0": (["the GNU Lesser General Public License, version 3", "LGPL-3.0", "LGPLv3"], """
 This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
 License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later
 version."""),
-    "AGPL-3.0": (["the GNU Affero General Public License, version 3", "AGPL-3.0", "AGPLv3"], ["affero", "3"], """
+    "AGPL-3.0": (["the GNU Affero General Public License, version 3", "AGPL-3.0", "AGPLv3"], """
 This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
 License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
 version."""),
-    "MPL-2.0": (["the Mozilla Public License, version 2.0", "MPL-2.0", "the Mozilla Public License 2.0"], ["mozilla", "2.0"], """
+    "MPL-2.0": (["the Mozilla Public License, version 2.0", "MPL-2.0", "the Mozilla Public License 2.0"], """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
-    "CC-BY-4.0": (["CC BY 4.0", "the Creative Commons Attribution 4.0 International License"], ["4.0"], ""),
+    "CC-BY-4.0": (["CC BY 4.0", "the Creative Commons Attribution 4.0 International License"], ""),
     "CC-BY-SA-4.0": (["CC BY-SA 4.0", "the Creative Commons Attribution-ShareAlike 4.0 International License"],
-                     ["sa", "sharealike", "4.0"], ""),
+                     ""),
     "CC-BY-NC-4.0": (["CC BY-NC 4.0", "the Creative Commons Attribution-NonCommercial 4.0 International License"],
-                     ["nc", "noncommercial", "4.0"], ""),
-    "CC0-1.0": (["CC0 1.0", "the CC0 1.0 Universal Public Domain Dedication"], ["cc0"], """
+                     ""),
+    "CC0-1.0": (["CC0 1.0", "the CC0 1.0 Universal Public Domain Dedication"], """
 To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."""),
-    "Unlicense": (["the Unlicense", "Unlicense"], ["unlicense"], """
+    "Unlicense": (["the Unlicense", "Unlicense"], """
 This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
 compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
 commercial or non-commercial, and by any means."""),
@@ -123,14 +126,18 @@ def words(text: str) -> list[str]:
 
 
 def wordings(name: str) -> list[str]:
-    names, _, usual = LICENSES[name]
+    names, usual = LICENSES[name]
     return [f"{form} {n}." for n in names for form in FORMS] + [" ".join(usual.split())] * bool(usual)
 
 
+def normal(text: str) -> str:
+    """What is compressed: the words, so that case, marks and line breaks don't count."""
+    return " ".join(words(text))
+
+
 @dataclass
 class Template:
     name: str
-    telling: set[str]
     forms: list[list[str]]
     compressor: zstandard.ZstdCompressor
 
@@ -142,10 +149,13 @@ def compressor(content: str | None = None) -> zstandard.ZstdCompressor:
 
 
 @functools.cache
-def templates() -> tuple[zstandard.ZstdCompressor, list[Template]]:
-    """The plain compressor and the licenses', once per worker."""
-    return compressor(), [Template(n, set(LICENSES[n][1]), [words(w) for w in wordings(n)],
-                                   compressor("\n".join(wordings(n)))) for n in sorted(LICENSES)]
+def templates() -> tuple[zstandard.ZstdCompressor, list[Template], set[str]]:
+    """The plain compressor, the licenses', and the words that tell them
+    apart; built once per worker."""
+    known = [Template(n, [words(w) for w in wordings(n)], compressor("\n".join(map(normal, wordings(n)))))
+             for n in sorted(LICENSES)]
+    telling = {w for names, _ in LICENSES.values() for n in names for w in words(n)} - COMMON
+    return compressor(), known, telling
 
 
 def blocks(text: str) -> Iterator[tuple[int, int, str]]:
@@ -166,37 +176,43 @@ def blocks(text: str) -> Iterator[tuple[int, int, str]]:
 
 def ranked(block: str) -> list[tuple[float, Template]]:
     """The licenses by the share of the block's bytes that they save, best first."""
-    plain, known = templates()
-    data = block.encode()
+    plain, known, _ = templates()
+    data = normal(block).encode()
     alone = len(plain.compress(data))
     return sorted(((1 - len(t.compressor.compress(data)) / alone, t) for t in known), key=lambda x: (-x[0], x[1].name))
 
 
-def differences(form: list[str], block: list[str]) -> tuple[float, list[str]]:
-    """The share of equal words, and the words that differ, between a wording
-    and the stretch of the block from its first to its last equal word."""
-    ops = difflib.SequenceMatcher(None, form, block, autojunk=False).get_matching_blocks()[:-1]
+def differences(form: list[str], block: list[str]) -> tuple[int, float, list[str]]:
+    """The number and share of equal words, and the words that differ, between
+    a wording and the stretch of the block that it fits best: around their
+    longest common run, from the first to the last equal word."""
+    run = difflib.SequenceMatcher(None, form, block, autojunk=False).find_longest_match()
+    slack = len(form) // 5 + 1
+    near = block[max(0, run.b - run.a - slack):run.b - run.a + len(form) + slack]
+    ops = difflib.SequenceMatcher(None, form, near, autojunk=False).get_matching_blocks()[:-1]
     if not ops:
-        return 0.0, []
-    at, end = ops[0].b, ops[-1].b + ops[-1].size
-    diff = difflib.SequenceMatcher(None, form, block[at:end], autojunk=False)
+        return 0, 0.0, []
+    part = near[ops[0].b:ops[-1].b + ops[-1].size]
+    diff = difflib.SequenceMatcher(None, form, part, autojunk=False)
     changed = [f"{sign}{w}" for tag, a, z, b, y in diff.get_opcodes() if tag != "equal"
-               for sign, part in (("-", form[a:z]), ("+", block[at:end][b:y])) for w in part]
-    return diff.ratio(), changed
+               for sign, ws in (("-", form[a:z]), ("+", part[b:y])) for w in ws]
+    return sum(m.size for m in diff.get_matching_blocks()), diff.ratio(), changed
 
 
 @functools.lru_cache(CACHE)
 def verdict(block: str) -> tuple[str, float, float, list[str]] | None:
     """(license, share saved, similarity, differing words) of the winner, if it is confirmed."""
-    mine, best = words(block), None
+    mine, found = words(block), []
+    telling = templates()[2]
     for saved, t in ranked(block)[:TOP]:
         for form in t.forms:
-            alike, changed = differences(form, mine)
-            telling = {w[1:] for w in changed} & (t.telling | {x for x in form + mine if x[0].isdigit()})
-            if alike >= SIMILARITY and not telling:
-                key = (len(changed), -alike, -len(form), t.name)
-                best = min(best, (key, t.name, saved, alike, changed)) if best else (key, t.name, saved, alike, changed)
-    return best[1:] if best else None
+            equal, alike, changed = differences(form, mine)
+            if alike >= SIMILARITY and not any(w[1:] in telling or w[1].isdigit() for w in changed):
+                found.append((len(changed) - equal, -saved, t.name, alike, changed))
+    if not found:
+        return None
+    _, saved, name, alike, changed = min(found)
+    return name, -saved, alike, changed
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -46,6 +46,8 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: Kinds of characters, as numbers of a table by code point; those past its end are letters.
 SPACE, SYMBOL, UPPER, LETTER, MARK, OTHER = range(6)
 TABLE_END = 0x3000
+#: Distinct words beyond which three of their numbers don't fit 64 bits.
+REDUCE = 1 << 20
 
 
 def kinds() -> np.ndarray:
@@ -67,7 +69,7 @@ def repeated_words(words: list[bytes]) -> int:
     known = {w: i for i, w in enumerate(dict.fromkeys(words))}
     ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     pairs = ids[:-2] * len(known) + ids[1:-1]
-    if len(known) > 1 << 20:  # the third digit would not fit
+    if len(known) > REDUCE:
         pairs = np.unique(pairs, return_inverse=True)[1]
     _, at, n = np.unique(pairs * len(known) + ids[2:], return_inverse=True, return_counts=True)
     twice = n[at] > 1
