@@ -7,8 +7,8 @@ the space of the shares at random, and a document that random splits part from
 the others after a short path is anomalous: score 2^(-mean path / normal path).
 
 The forest is fitted on a bounded sample of labelled rows of good quality
-(``POOL`` rows with the smallest hash of their statistics; each of ``TREES``
-trees draws ``DRAWN`` of them). Its threshold comes from all labelled rows that
+(about ``POOL`` rows, drawn by a hash; each of ``TREES`` trees draws ``DRAWN``
+of them). Its threshold comes from all labelled rows that
 pass the base rules: their scores are counted in ``BINS`` steps on Spark, and
 the step that parts good from bad best (share of the good kept plus share of
 the bad rejected; ties: the one that keeps more) is taken. Counts and scores
@@ -184,7 +184,9 @@ def fitted(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
     (id, good); a score above the threshold is an anomaly."""
     known = stage(stats.where(~base_failed()).join(labels.where("id is not null and good is not null"), "id"), "labelled")
     good = known.where("good").select(*[c.alias(f"x{i}") for i, c in enumerate(shares())])
-    pool = good.orderBy(F.xxhash64(*good.columns), *good.columns).limit(POOL).toPandas().to_numpy()
+    share = min(1.0, POOL / max(1, good.count()))
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < F.lit(share * (1 << 30))
+    pool = good.where(drawn).toPandas().to_numpy()
     if not len(pool):
         return None, 1.0
     forest = Forest(pool, TREES, DRAWN)
