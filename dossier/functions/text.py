@@ -8,6 +8,8 @@ the DuckDB oracle can use the very same pattern strings (see
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,31 +31,33 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 LETTER_RUN = r"\p{L}+"
 TITLE_PIECES = r"(\p{L}+|[^\p{L}]+)"
-EDGE_SPACE = r"^\s+|\s+$"
-NEWLINE_SPACE = r"\s*\n\s*"
+# what Python's str.strip() strips and its \s matches, as a class that Java and RE2 read alike
+SPACE = r"[\s" + "".join(map(chr, [0x0B, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+                                   0x202F, 0x205F, 0x3000])) + "]"
+EDGE_SPACE = f"^{SPACE}+|{SPACE}+$"
+NEWLINE_SPACE = rf"{SPACE}*\n{SPACE}*"
 JSON_OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
 
-# HTML -> text as an ordered list of rewrite steps: ("re", pattern, repl) is
-# a regex replace-all, ("lit", needle, repl) a literal replace-all. Script and
-# style bodies, comments and tags go first; entities are decoded once, with
-# ``&amp;`` last so that ``&amp;lt;`` becomes ``&lt;``; white space is
-# collapsed at the end.
-HTML_STEPS = (
-    ("re", r"(?is)<script\b[^>]*>.*?</script\s*>", " "),
-    ("re", r"(?is)<style\b[^>]*>.*?</style\s*>", " "),
-    ("re", r"(?s)<!--.*?-->", " "),
-    ("re", r"<[^>]*>", " "),
-    ("lit", "&nbsp;", " "),
-    ("lit", "&quot;", '"'),
-    ("lit", "&#39;", "'"),
-    ("lit", "&apos;", "'"),
-    ("lit", "&lt;", "<"),
-    ("lit", "&gt;", ">"),
-    ("lit", "&copy;", "©"),
-    ("lit", "&middot;", "·"),
-    ("lit", "&amp;", "&"),
-    ("re", r"\s+", " "),
+# HTML -> text as regex replace-all steps. Script and style bodies (to the end
+# of the page if they are never closed), comments and tags go first. A tag
+# starts with a letter, a slash or a mark of declarations, and its quoted
+# attributes may hold ">"; what is left of a tag whose quotes don't pair goes
+# at its first ">". Then entities are decoded, each once, and white space is
+# collapsed.
+HTML_MARKUP = (
+    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)",
+    r"(?is)<style\b[^>]*>.*?(?:</style\s*>|\z)",
+    r"(?s)<!--.*?-->",
+    r"""<[a-zA-Z/!?][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>""",
+    r"<[a-zA-Z/!?][^>]*>",
 )
+# an entity, at the start of what follows an ampersand
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def entity_codes() -> dict[str, int]:
+    """Code point of every named entity, from the standard library's table."""
+    return dict(name2codepoint) | {"apos": 39}
 
 
 def col(c) -> Column:
@@ -76,12 +80,33 @@ def title_case(c) -> Column:
         "")
 
 
+def decode_entities(c) -> Column:
+    """Named and numeric character references decoded, once each; unknown
+    names and numbers that are no character stay as they are."""
+    parts = F.split(col(c), "&", -1)
+    codes = F.create_map(*[F.lit(x) for kv in entity_codes().items() for x in kv])
+
+    def decode(part: Column) -> Column:
+        name = F.regexp_extract(part, ENTITY, 1)
+        low = F.lower(name)
+        code = (F.when(low.startswith("#x"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+                .when(low.startswith("#"), F.substring(name, 2, 7).cast("int"))
+                .otherwise(F.try_element_at(codes, name)))
+        real = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = part.substr(F.length(name) + 2, F.length(part))
+        return F.when(real, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    decoded = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decode)
+    return F.when(F.contains(col(c), F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))).otherwise(col(c))
+
+
 def html_to_text(c) -> Column:
     """Visible text of an HTML page, lower-cased, white space collapsed."""
     t = col(c)
-    for kind, a, b in HTML_STEPS:
-        t = F.regexp_replace(t, a, b) if kind == "re" else F.replace(t, F.lit(a), F.lit(b))
-    return F.lower(F.trim(t))
+    for pattern in HTML_MARKUP:
+        t = F.regexp_replace(t, pattern, " ")
+    return F.lower(strip(F.regexp_replace(decode_entities(t), f"{SPACE}+", " ")))
 
 
 def first_words_pattern(n: int) -> str:

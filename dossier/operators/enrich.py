@@ -17,8 +17,7 @@ import random
 import threading
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as FutureTimeout
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -90,38 +89,58 @@ class _Pacer:
             time.sleep(start - now)
 
 
-def _call(fn, args, timeout):
-    if timeout is None:
-        return fn(*args)
-    box: dict = {}
-    pool = ThreadPoolExecutor(max_workers=1)
-    try:
+class DeadlineError(Exception):
+    """The call overran the policy's deadline."""
+
+
+class _Calls:
+    """Runs calls under a deadline, all of one task on the same threads. A
+    call that overran is never joined: its thread is left to finish on its
+    own, and a new pool takes the next calls."""
+
+    def __init__(self, workers: int):
+        self.workers, self.pool, self.lock = workers, None, threading.Lock()
+
+    def __call__(self, fn, args, timeout):
+        if timeout is None:
+            return fn(*args)
+        with self.lock:
+            pool = self.pool = self.pool or ThreadPoolExecutor(self.workers)
         fut = pool.submit(fn, *args)
-        box["r"] = fut.result(timeout=timeout)
-    finally:
-        # never join a call that overran its deadline: the thread is left to
-        # finish on its own, the row is reported as a timeout
-        pool.shutdown(wait=False, cancel_futures=True)
-    return box["r"]
-
-
-def call_with_policy(fn: Callable, args: tuple, policy: Policy, pacer: _Pacer,
-                     rng: random.Random) -> tuple[str | None, str, str | None, int]:
-    """One row: returns (response, status, reason, attempts)."""
-    reason = None
+        done, _ = wait([fut], timeout)
+        if not done:
+            with self.lock:
+                if self.pool is pool:
+                    self.pool = None
+            pool.shutdown(wait=False)
+            raise DeadlineError(f"no reply within {timeout}s")
+        return fut.result()
+
+    def close(self):
+        if self.pool:
+            self.pool.shutdown(wait=False, cancel_futures=True)
+
+
+def call_with_policy(fn: Callable, args: tuple, policy: Policy, pacer: _Pacer, rng: random.Random,
+                     calls: _Calls) -> tuple[str | None, str, str | None, int]:
+    """One row: returns (response, status, reason, attempts). A call that
+    overruns the deadline ends the row; whatever the service raises, its own
+    time-outs too, is tried again. The last failure gives status and reason."""
+    status, reason = STATUS_ERROR, None
     for attempt in range(1, policy.tries + 1):
         pacer.wait()
         try:
-            out = _call(fn, args, policy.timeout)
+            out = calls(fn, args, policy.timeout)
             return (None if out is None else str(out)), STATUS_OK, None, attempt
-        except FutureTimeout:
-            return None, STATUS_TIMEOUT, f"no reply within {policy.timeout}s", attempt
+        except DeadlineError as exc:
+            return None, STATUS_TIMEOUT, str(exc), attempt
         except Exception as exc:  # noqa: BLE001 - every failure becomes a row
-            reason = f"{type(exc).__name__}: {exc}"[:500]
+            status = STATUS_TIMEOUT if isinstance(exc, TimeoutError) else STATUS_ERROR
+            reason = f"{type(exc).__name__}: {exc}"
         if attempt < policy.tries and policy.wait_max > 0:
             hi = min(policy.wait_max, policy.wait_min * (2 ** (attempt - 1)))
             time.sleep(rng.uniform(policy.wait_min, max(policy.wait_min, hi)))
-    return None, STATUS_ERROR, reason, policy.tries
+    return None, status, reason, policy.tries
 
 
 def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
@@ -142,6 +161,7 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
     def run(batches):
         pacer = _Pacer(policy.rate)
         pool = ThreadPoolExecutor(policy.concurrency) if policy.concurrency > 1 else None
+        calls = _Calls(policy.concurrency)
 
         def one(pk):
             p, k = pk
@@ -149,7 +169,7 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
                 return None, STATUS_PROMPT, "no prompt", 0
             if limit is not None and -(-len(p) // 4) > limit:
                 return None, STATUS_PROMPT, f"prompt over {limit} tokens", 0
-            return call_with_policy(fn, (p, k) if key_col else (p,), policy, pacer, random.Random())
+            return call_with_policy(fn, (p, k) if key_col else (p,), policy, pacer, random.Random(), calls)
 
         try:
             for pdf in batches:
@@ -159,6 +179,7 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
                 yield pdf.assign(response=[r[0] for r in rows], status=[r[1] for r in rows],
                                  reason=[r[2] for r in rows], attempts=[r[3] for r in rows])
         finally:
+            calls.close()
             if pool:
                 pool.shutdown(wait=False, cancel_futures=True)
 

@@ -16,8 +16,6 @@ NAME_PARTS = ("first", "middle", "last", "suffix")
 RANGE_GROUP_WIDTH = 9_700
 RANGE_GROUP_COUNT = 16
 BATCH_SIZE = 100
-# largest sample drawn with a single merged top-n
-TOP_N_MERGE_ROWS = 10_000
 
 
 def normalise(entities: DataFrame) -> DataFrame:
@@ -43,20 +41,16 @@ def sample_distinct(entities: DataFrame, n: int, seed: int = 0, by: str = "full"
     or ``candid``). Each name keeps its row with the smallest random key, so
     a name with many rows is more likely to be drawn, as in the reference's
     rejection sampling; returns min(n, distinct names) rows and always ends.
-    The per-name pick is a partial (map-side) aggregate. A small n is a
-    per-task top-n merged once (``orderBy().limit()``); the merge task sees
-    n rows per task, so above TOP_N_MERGE_ROWS the first n keys come from
-    range-partitioned positions instead (``ranking.ordered_index``)."""
+    The per-name pick is a partial (map-side) aggregate; the first n keys
+    come from range-partitioned positions (``ranking.ordered_index``), so no
+    task holds more than a range whatever n is."""
     if n <= 0:
         raise ValueError("n must be > 0")
     k = sample_key(seed)
     picked = (entities.withColumn("_k", k)
               .groupBy(by).agg(F.min_by(F.struct(*[c for c in entities.columns if c != by]), "_k").alias("_r"),
                                F.min("_k").alias("_k")))
-    if n <= TOP_N_MERGE_ROWS:
-        first = picked.orderBy("_k").limit(n)
-    else:
-        first = RK.ordered_index(picked, ["_k", by], name="_i").filter(F.col("_i") < n).drop("_i")
+    first = RK.ordered_index(picked, ["_k", by], name="_i").filter(F.col("_i") < n).drop("_i")
     return first.select(by, "_r.*", "_k").drop("_k")
 
 

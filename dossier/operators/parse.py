@@ -21,6 +21,8 @@ ANSWER_COLS = ("college_major", "undergraduate_institution", "highest_degree",
 FOUR_FIELDS = ANSWER_COLS[:4]
 REPLY_MAP = "map<string,string>"
 
+# a bare NaN or Infinity as a value: before it a colon, after it a comma or brace
+BARE_NUMBER = r"(\":\s*)(NaN|-?Infinity)(?=\s*[,}])"
 BORN_YEAR = r"(?i)(?:^\s*|born\D{0,20})(\d{4})\b"
 GRAD_YEAR = r"(?i)graduat\D{0,30}(\d{4})\b"
 
@@ -28,11 +30,19 @@ GRAD_YEAR = r"(?i)graduat\D{0,30}(\d{4})\b"
 def reply_map(reply) -> F.Column:
     """Reply -> map of its top-level keys, or null when it is not exactly
     one JSON object. Newlines are removed first (as the reference does).
-    The shape guard rejects what Spark's reader would otherwise accept but
-    a strict parser does not: a tail after the object, arrays, scalars."""
+    The guards reject what Spark's reader would otherwise accept but a strict
+    parser does not: arrays, scalars, a tail or a second object after the
+    first. Inside brackets such a reply is no array of exactly one value. (A
+    bare NaN or Infinity, which a standard JSON parser takes, is read as the
+    text of that name.)"""
     clean = F.replace(T.col(reply), F.lit("\n"), F.lit(""))
-    parsed = F.from_json(clean, REPLY_MAP, {"allowSingleQuotes": "false"})
-    return F.when(clean.rlike(T.JSON_OBJECT_SHAPE), parsed)
+
+    def strict(text: F.Column) -> F.Column:
+        parsed = F.from_json(text, REPLY_MAP, {"allowSingleQuotes": "false"})
+        single = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+        return F.when(text.rlike(T.JSON_OBJECT_SHAPE) & single, parsed)
+
+    return F.coalesce(strict(clean), strict(F.regexp_replace(clean, BARE_NUMBER, '$1"$2"')))
 
 
 def last_value(m, key: str) -> F.Column:

@@ -10,11 +10,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
+from dossier.session import materialize
+
+#: Classes that a matrix or a report has in any case.
 BINARY = (0, 1)
+#: More different classes than this are an error: the matrix has their square.
+MAX_CLASSES = 1000
+
 
+def _counts(df: DataFrame, y: str, p: str) -> DataFrame:
+    """(y, p, n): the rows of each pair; at most MAX_CLASSES^2 of them."""
+    return df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
 
-def _classes(spark, classes: Sequence[int]) -> DataFrame:
-    return spark.range(1).select(F.explode(F.array(*[F.lit(int(c)) for c in classes])).alias("cls"))
+
+def all_classes(counts: DataFrame, classes: Sequence[int]) -> list[int]:
+    """The given classes and every class that occurs, truth or prediction."""
+    seen = counts.select(F.explode(F.array("y", "p")).alias("c")).where("c is not null").distinct()
+    found = [r.c for r in seen.limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return sorted({*classes, *found})
 
 
 def accuracy(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -23,37 +38,42 @@ def accuracy(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 
 def confusion(df: DataFrame, y: str = "y", p: str = "p", classes: Sequence[int] = BINARY) -> DataFrame:
-    """Counts for every (true, predicted) pair of classes, zeros included.
-    The class grid comes from the class list, not from the data."""
-    spark = df.sparkSession
-    grid = _classes(spark, classes).select(F.col("cls").alias(y)).select(
-        y, F.explode(F.array(*[F.lit(int(c)) for c in classes])).alias(p))
-    counts = df.groupBy(y, p).agg(F.count(F.lit(1)).alias("n"))
-    return (grid.join(F.broadcast(counts), [y, p], "left")
-            .select(F.col(y).alias("y"), F.col(p).alias("p"), F.coalesce("n", F.lit(0)).alias("n")))
+    """Counts for every (true, predicted) pair of the given classes and those
+    that occur, zeros included; rows without a truth or prediction are not
+    counted."""
+    counts = materialize(_counts(df, y, p), "class-counts")
+    names = F.array(*[F.lit(int(c)) for c in all_classes(counts, classes)])
+    grid = df.sparkSession.range(1).select(F.explode(names).alias("y"), names.alias("ps")).select(
+        "y", F.explode("ps").alias("p"))
+    return grid.join(counts, ["y", "p"], "left").select("y", "p", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def report(df: DataFrame, y: str = "y", p: str = "p", classes: Sequence[int] = BINARY) -> DataFrame:
-    """Per class: precision, recall, f1 (0 on zero division) and support.
-    One pass: each row is counted against every class of the (small) class
-    list, then aggregated map-side."""
+    """Per class, given or occurring: precision, recall, f1 (0 on zero
+    division), to 6 digits, and support."""
+    out = _report(df, y, p, classes)
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def _report(df: DataFrame, y: str, p: str, classes: Sequence[int]) -> DataFrame:
+    """The report before rounding, from the matrix."""
+    cells = confusion(df, y, p, classes).select("y", "p", "n", F.explode(F.array_distinct(F.array("y", "p"))).alias("cls"))
     cls = F.col("cls")
-    per = (df.select(y, p, F.explode(F.array(*[F.lit(int(c)) for c in classes])).alias("cls"))
-           .groupBy("cls").agg(
-               F.sum(((F.col(y) == cls) & (F.col(p) == cls)).cast("long")).alias("tp"),
-               F.sum((F.col(p) == cls).cast("long")).alias("predicted"),
-               F.sum((F.col(y) == cls).cast("long")).alias("support")))
+    per = cells.groupBy("cls").agg(
+        F.sum(F.when((F.col("y") == cls) & (F.col("p") == cls), F.col("n")).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("p") == cls, F.col("n")).otherwise(0)).alias("predicted"),
+        F.sum(F.when(F.col("y") == cls, F.col("n")).otherwise(0)).alias("support"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     out = per.select(F.col("cls").alias("label"), prec.alias("precision"), rec.alias("recall"), "support")
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
-    return out.select("label", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"),
-                      F.round(f1, 6).alias("f1"), "support")
+    return out.withColumn("f1", f1).select("label", "precision", "recall", "f1", "support")
 
 
-def report_averages(rep: DataFrame) -> DataFrame:
-    """Macro and support-weighted averages of a per-class report."""
+def report_averages(df: DataFrame, y: str = "y", p: str = "p", classes: Sequence[int] = BINARY) -> DataFrame:
+    """Macro and support-weighted averages over the classes, rounded once."""
+    rep = _report(df, y, p, classes)
     tot = F.sum("support")
     macro = rep.agg(F.lit("macro avg").alias("average"), F.avg("precision").alias("precision"),
                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.alias("support"))
@@ -98,6 +118,8 @@ KNN_QUERY_CELL = 20_000
 KNN_TRAIN_CELL = 100_000
 # Training buckets are not cut below this size just to use more tasks.
 KNN_MIN_TRAIN_CELL = 2_000
+# Query rows measured at once; training rows are eight times as many.
+KNN_SLICE = 1_000
 
 
 def _topk_schema():
@@ -105,39 +127,62 @@ def _topk_schema():
                           TY.StructField("t_label", TY.IntegerType()), TY.StructField("d2", TY.DoubleType())])
 
 
+def _nearest(qm: np.ndarray, tm: np.ndarray, tid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact squared distances and places of the k nearest rows of ``tm`` for
+    each row of ``qm`` (ties by ``tid``). Products give rough distances, off
+    by the rounding of large terms; a few more than k of the least are
+    measured again from the differences, and where even those may not hold
+    all of the k nearest, whatever lies within the rounding."""
+    n, spare = len(tm), min(len(tm), k + 8)
+    if n <= k:
+        diff = tm[None] - qm[:, None]
+        return (diff * diff).sum(axis=2), np.broadcast_to(np.arange(n), (len(qm), n))
+    qn, tn = (qm * qm).sum(axis=1), (tm * tm).sum(axis=1)
+    rough = qn[:, None] + tn[None, :] - 2.0 * (qm @ tm.T)
+    off = 4e-16 * (qm.shape[1] + 4) * (qn + tn.max())
+    at = np.argpartition(rough, spare - 1, axis=1)[:, :spare]
+    diff = tm[at] - qm[:, None]
+    exact = (diff * diff).sum(axis=2)
+    order = np.lexsort((tid[at], exact), axis=1)[:, :k]
+    d, at = np.take_along_axis(exact, order, 1), np.take_along_axis(at, order, 1)
+    reach = d[:, -1] + 2 * off
+    for i in np.flatnonzero((rough <= reach[:, None]).sum(axis=1) > spare):
+        near = np.flatnonzero(rough[i] <= reach[i])
+        diff = tm[near] - qm[i]
+        e = (diff * diff).sum(axis=1)
+        pick = np.lexsort((tid[near], e))[:k]
+        d[i], at[i] = e[pick], near[pick]
+    return d, at
+
+
 def _cell_topk(k: int):
     """Per cell: exact top k training rows for each query row, by squared
-    euclidean distance then id. Distances are computed with numpy (BLAS)
-    in slices of about 64 MB and folded into a running top k, so no pair is
-    ever a row and memory does not grow with the training bucket."""
+    euclidean distance then id. Distances are computed with numpy in slices
+    of about 64 MB and folded into a running top k, so no pair is ever a row
+    and memory does not grow with the training bucket."""
     def run(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or tdf.empty:
             return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "t_id": pd.Series([], dtype="int64"),
                                  "t_label": pd.Series([], dtype="int32"), "d2": pd.Series([], dtype="float64")})
-        qid = qdf["q_id"].to_numpy(dtype=np.int64)
-        qm = np.stack(qdf["v"].to_numpy()).astype(np.float64)
-        qn = (qm * qm).sum(axis=1)
-        tid_all = tdf["t_id"].to_numpy(dtype=np.int64)
-        tl_all = tdf["t_label"].to_numpy().astype(np.int32)
+        qid_all = qdf["q_id"].to_numpy(dtype=np.int64)
+        q_all = np.stack(qdf["v"].to_numpy()).astype(np.float64)
+        tid = tdf["t_id"].to_numpy(dtype=np.int64)
+        tl = tdf["t_label"].to_numpy().astype(np.int32)
         tv = tdf["v"].to_numpy()
-        best_d = np.full((len(qid), 0), np.inf)
-        best_i = np.zeros((len(qid), 0), dtype=np.int64)
-        best_l = np.zeros((len(qid), 0), dtype=np.int32)
-        step = max(1, (64 << 20) // (8 * len(qid)))
-        for s0 in range(0, len(tid_all), step):
-            tm = np.stack(tv[s0:s0 + step]).astype(np.float64)
-            tid, tl = tid_all[s0:s0 + step], tl_all[s0:s0 + step]
-            d2 = np.maximum(qn[:, None] + (tm * tm).sum(axis=1)[None, :] - 2.0 * (qm @ tm.T), 0.0)
-            cd = np.concatenate([best_d, d2], axis=1)
-            ci = np.concatenate([best_i, np.broadcast_to(tid, d2.shape)], axis=1)
-            cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
-            order = np.lexsort((ci, cd), axis=1)[:, :k]   # by distance, then id
-            best_d = np.take_along_axis(cd, order, 1)
-            best_i = np.take_along_axis(ci, order, 1)
-            best_l = np.take_along_axis(cl, order, 1)
-        kk = best_i.shape[1]
-        return pd.DataFrame({"q_id": np.repeat(qid, kk), "t_id": best_i.reshape(-1),
-                             "t_label": best_l.reshape(-1), "d2": best_d.reshape(-1)})
+        out = []
+        for q0 in range(0, len(qid_all), KNN_SLICE):
+            qm = q_all[q0:q0 + KNN_SLICE]
+            best_d, best_t = np.full((len(qm), 0), np.inf), np.zeros((len(qm), 0), np.int64)
+            for t0 in range(0, len(tid), 8 * KNN_SLICE):
+                tm = np.stack(tv[t0:t0 + 8 * KNN_SLICE]).astype(np.float64)
+                d, at = _nearest(qm, tm, tid[t0:t0 + 8 * KNN_SLICE], k)
+                cd, ct = np.hstack([best_d, d]), np.hstack([best_t, at + t0])
+                order = np.lexsort((tid[ct], cd), axis=1)[:, :k]   # by distance, then id
+                best_d, best_t = np.take_along_axis(cd, order, 1), np.take_along_axis(ct, order, 1)
+            flat = best_t.reshape(-1)
+            out.append(pd.DataFrame({"q_id": np.repeat(qid_all[q0:q0 + KNN_SLICE], best_t.shape[1]), "t_id": tid[flat],
+                                     "t_label": tl[flat], "d2": best_d.reshape(-1)}))
+        return pd.concat(out)
     return run
 
 

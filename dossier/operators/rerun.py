@@ -37,8 +37,10 @@ def failure_queue(dead: DataFrame, results: DataFrame, key: str = "candid",
                   stages=(STAGE_PROMPT,)) -> DataFrame:
     """Keys still failing: dead letters of the given stages that have no
     successful result (anti-join), one row per key."""
-    q = dead.filter(F.col("stage").isin(*stages))
-    return q.join(results.select(key).distinct(), key, "left_anti").dropDuplicates([key])
+    q = dead.filter(F.col("stage").isin(*stages)).join(results.select(key), key, "left_anti")
+    # of several dead letters the first in order of all columns stays
+    row = F.min(F.struct(*[c for c in q.columns if c != key])).alias("_r")
+    return q.groupBy(key).agg(row).select(key, "_r.*").select(*q.columns)
 
 
 def replay_keys(source: DataFrame, queue: DataFrame, key: str = "candid") -> DataFrame:

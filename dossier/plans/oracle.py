@@ -31,10 +31,17 @@ def title_case(x: str) -> str:
 
 def html_to_text(x: str) -> str:
     t = x
-    for kind, a, b in T.HTML_STEPS:
-        t = (f"regexp_replace({t}, {q(a)}, {q(b)}, 'g')" if kind == "re"
-             else f"replace({t}, {q(a)}, {q(b)})")
-    return f"lower(trim({t}))"
+    for pattern in T.HTML_MARKUP:
+        t = f"regexp_replace({t}, {q(pattern)}, ' ', 'g')"
+    names = ", ".join(f"{q(k)}: {v}" for k, v in T.entity_codes().items())
+    name = f"regexp_extract(p, {q(T.ENTITY)}, 1)"
+    code = (f"CASE WHEN starts_with(lower({name}), '#x') THEN TRY_CAST('0x' || substr({name}, 3) AS INTEGER) "
+            f"WHEN starts_with({name}, '#') THEN TRY_CAST(substr({name}, 2) AS INTEGER) ELSE MAP {{{names}}}[{name}] END")
+    real = f"coalesce({code} > 0 AND {code} < 1114112 AND NOT {code} BETWEEN 55296 AND 57343, false)"
+    part = f"CASE WHEN {real} THEN chr({code}) || substr(p, length({name}) + 2) ELSE '&' || p END"
+    decoded = (f"(list_transform([string_split({t}, '&')], lambda s: s[1] || "
+               f"array_to_string(list_transform(s[2:], lambda p: {part}), '')))[1]")
+    return f"lower({strip(f"regexp_replace({decoded}, {q(T.SPACE + '+')}, ' ', 'g')")})"
 
 
 def letter_terms(x: str) -> str:
@@ -223,7 +230,8 @@ def _reply_sql() -> str:
 REPLIES = f"""reply_parts AS (
   SELECT doc_id, source, lang, n_chars,
          coalesce({_W[0]}, '') AS w1, coalesce({_W[1]}, '') AS w2, coalesce({_W[2]}, '') AS w3,
-         CAST(n_chars % 100 AS VARCHAR) AS conf
+         CAST(n_chars % 100 AS VARCHAR) AS conf,
+         substr(CAST(to_json(coalesce(text, '')) AS VARCHAR), 2, length(CAST(to_json(coalesce(text, '')) AS VARCHAR)) - 2) AS whole
   FROM documents),
 replies AS (
   SELECT CAST(doc_id AS VARCHAR) AS candid, doc_id AS "row", concat_ws(' ', w1, w2) AS name,

@@ -92,10 +92,9 @@ def q_range_groups(spark, sf_dir):
 
 
 @register("batch_number", "WITH " + NORM + """
-SELECT candid, "row", CAST(floor("row" / 100) AS BIGINT) AS batch FROM norm
-WHERE floor("row" / 100) >= 0 AND floor("row" / 100) < 100""")
+SELECT candid, "row", CAST(floor("row" / 100) AS BIGINT) AS batch FROM norm""")
 def q_batch_number(spark, sf_dir):
-    return E.batch_range(_norm(spark, sf_dir), 0, 100).select("candid", "row", "batch")
+    return E.batch_range(_norm(spark, sf_dir)).select("candid", "row", "batch")
 
 
 @register("positional_split", "WITH " + NORM + f"""

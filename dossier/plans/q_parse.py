@@ -10,7 +10,7 @@ from dossier.operators import enrich as EN
 from dossier.operators import entities as E
 from dossier.operators import parse as P
 from dossier.operators import rerun as R
-from dossier.operators.stubs import FlakyService, rule_reply
+from dossier.operators.stubs import RecordedService, rule_reply
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register
@@ -19,7 +19,8 @@ from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
 
 ANSWERS = list(P.ANSWER_COLS)
-ROUTE_TIMEOUT, ROUTE_SLEEP = 1.0, 3.0
+#: Documents beyond so many characters time out in the first run.
+SIZE_LIMIT = 8000
 RERUN_TOKEN_LIMIT = 8192
 QUEUE_OFFSET = 10
 CALLS_PER_TASK = 32
@@ -136,42 +137,46 @@ def q_rerun_prompt_errors(spark, sf_dir):
     queue = R.failure_queue(dead, results, stages=(R.STAGE_PROMPT,))
     prompts = R.replay_keys(first.select("candid", "prompt"), queue)
     pol = EN.Policy(tries=1, timeout=None, token_limit=RERUN_TOKEN_LIMIT, **EN.NO_WAIT)
-    again = EN.enrich(prompts, rule_reply, "prompt", policy=pol)
+    again = materialize(EN.enrich(prompts, rule_reply, "prompt", policy=pol))
     return again.select("candid", "status")
 
 
-# --- scripted-failure run over the entity table -----------------------------------
+# --- a run over the entity table, answered from the recorded replies --------------
 
-def route_run(spark, sf_dir, service=None, timeout=ROUTE_TIMEOUT, tries=3):
+def route_prompts(spark, sf_dir):
+    """Entities with the reply recorded for them, if any, and its document's size."""
     ents = E.normalise(V.entities(spark, sf_dir))
-    prompts = ents.select("candid", "row", "full", "state", "min_year",
-                          A.query_text("full", "state").alias("prompt"))
-    pol = EN.Policy(tries=tries, timeout=timeout, token_limit=None, concurrency=CALLS_PER_TASK, **EN.NO_WAIT)
-    svc = service or FlakyService(sleep=ROUTE_SLEEP)
-    return materialize(EN.enrich(prompts, svc, "prompt", key_col="candid", policy=pol,
-                                 partitions=spark.sparkContext.defaultParallelism))
+    given = F.concat(F.col("n_chars").cast("string"), F.lit(":"), F.col("response"))
+    replies = V.replies(spark, sf_dir).select("candid", given.alias("given"))
+    return ents.join(replies, "candid", "left").select(
+        "candid", "row", "full", "state", "min_year", "given", A.query_text("full", "state").alias("prompt"))
+
+
+def route_run(spark, sf_dir, tries=3):
+    pol = EN.Policy(tries=tries, timeout=None, token_limit=None, concurrency=CALLS_PER_TASK, **EN.NO_WAIT)
+    return materialize(EN.enrich(route_prompts(spark, sf_dir), RecordedService(SIZE_LIMIT), "prompt", key_col="given",
+                                 policy=pol, partitions=spark.sparkContext.defaultParallelism))
 
 
-ROUTE_SQL = "WITH " + NORM + f""",
-k AS (SELECT candid, "row", CAST(candid AS BIGINT) AS k FROM norm),
+ROUTE_SQL = O.with_(NORM, O.REPLIES, f"""parsed AS (
+  SELECT *, {O.parsed_cols('response')} FROM replies),
 outcome AS (
-  SELECT candid, "row", k,
-    CASE WHEN k % 7 = 0 THEN 'enrich' WHEN k % 50 = 1 THEN 'timeout' WHEN k % 10 = 4 THEN 'parse' ELSE 'final' END AS stage,
-    CASE WHEN k % 7 = 0 THEN 'RuntimeError: service unavailable'
-         WHEN k % 50 = 1 THEN 'no reply within {ROUTE_TIMEOUT}s'
-         WHEN k % 10 = 4 THEN {O.q(R.PARSE_REASON)} ELSE NULL END AS reason
-  FROM k)
-"""
-
-
-@register("enrich_retry", "WITH " + NORM + """
-SELECT candid, CASE WHEN CAST(candid AS BIGINT) % 7 = 0 THEN 'error' ELSE 'ok' END AS status,
-       CAST(CASE WHEN CAST(candid AS BIGINT) % 7 = 0 THEN 3 WHEN CAST(candid AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END
-            AS INTEGER) AS attempts
-FROM norm""")
+  SELECT n.candid, n."row",
+    CASE WHEN p.candid IS NULL THEN 'enrich' WHEN p.n_chars > {SIZE_LIMIT} THEN 'timeout'
+         WHEN NOT p.parsed THEN 'parse' ELSE 'final' END AS stage,
+    CASE WHEN p.candid IS NULL THEN 'LookupError: no record for this entity'
+         WHEN p.n_chars > {SIZE_LIMIT} THEN 'TimeoutError: ' || CAST(p.n_chars AS VARCHAR) || ' characters'
+         WHEN NOT p.parsed THEN {O.q(R.PARSE_REASON)} ELSE NULL END AS reason
+  FROM norm n LEFT JOIN parsed p ON n.candid = p.candid)
+""")
+
+
+@register("enrich_retry", ROUTE_SQL + """
+SELECT candid, CASE stage WHEN 'enrich' THEN 'error' WHEN 'timeout' THEN 'timeout' ELSE 'ok' END AS status,
+       CAST(CASE WHEN stage IN ('enrich', 'timeout') THEN 3 ELSE 1 END AS INTEGER) AS attempts
+FROM outcome""")
 def q_enrich_retry(spark, sf_dir):
-    out = route_run(spark, sf_dir, service=FlakyService(sleep=0.0), timeout=None)
-    return out.select("candid", "status", "attempts")
+    return route_run(spark, sf_dir).select("candid", "status", "attempts")
 
 
 @register("route_failures", ROUTE_SQL + "SELECT candid, stage, reason FROM outcome WHERE stage <> 'final'")
@@ -219,14 +224,12 @@ def q_rerun_offset(spark, sf_dir):
 
 
 @register("rerun_timeouts", ROUTE_SQL + """
-SELECT candid, 'ok' AS status, CAST(CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS attempts
-FROM outcome WHERE stage = 'timeout'""")
+SELECT candid, 'ok' AS status, CAST(1 AS INTEGER) AS attempts FROM outcome WHERE stage = 'timeout'""")
 def q_rerun_timeouts(spark, sf_dir):
     _, dead = R.split_outcomes(route_run(spark, sf_dir))
-    again = dead.filter(F.col("stage") == R.STAGE_TIMEOUT).select("candid", "row", "full", "state",
-                                                                   "min_year", "prompt")
+    again = dead.filter(F.col("stage") == R.STAGE_TIMEOUT).drop("stage", "reason", "response", "attempts")
     pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
-    out = EN.enrich(again, FlakyService(sleep=0.01), "prompt", key_col="candid", policy=pol)
+    out = materialize(EN.enrich(again, RecordedService(), "prompt", key_col="given", policy=pol))
     return out.select("candid", "status", "attempts")
 
 
@@ -240,6 +243,6 @@ def q_rerun_append(spark, sf_dir):
     # replay only calls without a successful reply (keyed by entity + prompt hash)
     failed = R.pending(first.drop("response", "status", "reason", "attempts"), first)
     pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
-    second = EN.enrich(failed, FlakyService(heal=True), "prompt", key_col="candid", policy=pol)
+    second = EN.enrich(failed, RecordedService(otherwise="{}"), "prompt", key_col="given", policy=pol)
     R.append_attempt(second.select("candid", "status"), path, 2)
     return R.latest_attempt(spark.read.parquet(path)).select("candid", "attempt", "status")

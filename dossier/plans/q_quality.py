@@ -145,14 +145,15 @@ def q_eval_report(spark, sf_dir):
     return Q.report(_scored(spark, sf_dir))
 
 
-@register("eval_report_avg", REPORT_SQL + """
+@register("eval_report_avg", REPORT_SQL.rstrip() + """,
+whole AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pr)
 SELECT 'macro avg' AS average, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall,
-       round(avg(f1), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM rep
+       round(avg(f1), 6) AS f1, CAST(sum(support) AS BIGINT) AS support FROM whole
 UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM rep""")
+       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM whole""")
 def q_eval_report_avg(spark, sf_dir):
-    return Q.report_averages(Q.report(_scored(spark, sf_dir)))
+    return Q.report_averages(_scored(spark, sf_dir))
 
 
 FOLDS_SQL = SCORED_SQL.rstrip() + f""",

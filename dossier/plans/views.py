@@ -103,10 +103,12 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("seg_no"), "text")
 
 
-# Reply variants built from each document (doc_id % 10 picks one): valid,
-# missing key, extra key, newlines inside, N/A answers, nested list,
-# truncated, plain text, numeric confidence, code-fenced. Items are either
-# literal text or the name of a column of ``reply_parts``.
+# Reply variants built from each document (doc_id modulo their number picks
+# one): valid, missing key, extra key, newlines inside, N/A answers, nested
+# list, truncated, plain text, numeric confidence, code-fenced, a second
+# object, a tail ending in a brace, a stray brace, two objects with a comma,
+# the whole text as one answer. Items are either literal text or the name of a
+# column of ``reply_parts``.
 _K = ('"College Major": "', '", "Undergraduate Institution": "', '", "Highest Degree and Institution": "',
       '", "Work History": "', '", "Confidence Level": "')
 REPLY_VARIANTS = (
@@ -123,8 +125,17 @@ REPLY_VARIANTS = (
     ["No information about ", "w1", " was found."],
     ["{" + _K[0], "w1", _K[1], "w2", _K[2] + "N/A" + _K[3], "w3", '", "Confidence Level": ', "conf", "}"],
     ["```json\n{" + _K[0], "w1", '"}\n```'],
+    ["{" + _K[0], "w1", '"} {"b": "', "w2", '"}'],
+    ["{" + _K[0], "w1", '"} ', "w2", "}"],
+    ["{" + _K[0], "w1", '"}}'],
+    ["{" + _K[0], "w1", '"},{' + '"b": "', "w2", '"}'],
+    ["{" + _K[0], "w1", _K[3], "whole", _K[4], "conf", '"}'],
 )
-REPLY_COLUMNS = ("w1", "w2", "w3", "conf")
+REPLY_COLUMNS = ("w1", "w2", "w3", "conf", "whole")
+
+
+# characters that a JSON string must escape, the backslash first
+ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
 
 
 def reply_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +144,16 @@ def reply_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         "doc_id", "source", "lang", "n_chars",
         *[F.coalesce(w, F.lit("")).alias(f"w{i}") for i, w in enumerate(words, 1)],
-        (F.col("n_chars") % 100).cast("string").alias("conf"))
+        (F.col("n_chars") % 100).cast("string").alias("conf"),
+        escaped("text").alias("whole"))
+
+
+def escaped(c) -> F.Column:
+    """A text as the inside of a JSON string."""
+    out = F.coalesce(F.col(c), F.lit(""))
+    for ch, name in ESCAPES:
+        out = F.replace(out, F.lit(ch), F.lit(name))
+    return out
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:

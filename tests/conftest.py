@@ -3,9 +3,15 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import cloudpickle
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import flaky  # noqa: E402
+
+# workers don't have the tests' folder on their path
+cloudpickle.register_pickle_by_value(flaky)
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 

@@ -8,7 +8,7 @@ from dossier.operators import entities as E
 from dossier.operators import quality as Q
 from dossier.operators import ranking as RK
 from dossier.operators import rerun as R
-from dossier.operators.stubs import FlakyService
+from flaky import FlakyService
 from dossier.plans import views as V
 from dossier.session import scratch_path
 from dossier.sources import csv as C
@@ -61,6 +61,25 @@ def test_report_never_predicted_class(spark):
     assert conf == {(0, 0): 1, (0, 1): 0, (1, 0): 2, (1, 1): 0}
 
 
+def test_metrics_keep_every_class(spark):
+    df = spark.createDataFrame([(1, 0), (2, 2), (3, 1), (None, 1)], "y int, p int")
+    conf = {(r.y, r.p): r.n for r in Q.confusion(df).collect()}
+    assert len(conf) == 16 and conf[2, 2] == conf[3, 1] == conf[1, 0] == 1 and sum(conf.values()) == 3
+    rep = {r.label: r for r in Q.report(df).collect()}
+    assert sorted(rep) == [0, 1, 2, 3] and rep[2].f1 == 1.0 and rep[3].support == 1
+    avg = {r.average: r for r in Q.report_averages(df).collect()}
+    assert avg["macro avg"].f1 == 0.25 and avg["weighted avg"].recall == round(1 / 3, 6)
+
+
+def test_knn_measures_close_vectors_exactly(spark):
+    base = [1000.0] * 8
+    rows = [(i, [*base[:-1], 1000.0 + (40 - i) * 1e-5], 0) for i in range(40)]
+    train = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    query = spark.createDataFrame([(99, base, 0)], "vec_id long, embedding array<double>, label int")
+    got = Q.knn_neighbours(train, query, k=3).orderBy("nn_rank").collect()
+    assert [r.t_id for r in got] == [39, 38, 37] and abs(got[0].d2 - 1e-10) < 1e-15
+
+
 def test_union_shards_by_name(spark):
     base = scratch_path(spark, "t-shards")
     a = spark.createDataFrame([("1", "x")], "a string, b string")
@@ -132,7 +151,7 @@ def test_knn_matches_brute_force(spark, monkeypatch, cells):
     training buckets) both give the exact neighbours."""
     import numpy as np
     if cells:
-        for name, v in zip(("KNN_QUERY_CELL", "KNN_TRAIN_CELL", "KNN_MIN_TRAIN_CELL"), cells):
+        for name, v in zip(("KNN_QUERY_CELL", "KNN_TRAIN_CELL", "KNN_MIN_TRAIN_CELL", "KNN_SLICE"), (*cells, 2)):
             monkeypatch.setattr(Q, name, v)
     rng = np.random.default_rng(0)
     vecs = rng.normal(size=(60, 8)).astype(np.float32)
@@ -161,11 +180,25 @@ def test_rate_limit_spaces_calls_within_a_task(spark):
     assert min(gaps) >= 0.045
 
 
-def test_large_sample_path_equals_top_n(spark, sf, monkeypatch):
-    """Above the merge bound the sample comes from ordered positions; it
-    must be the same rows as the single merged top-n."""
+def test_sample_is_the_top_n(spark, sf):
+    """The rows from ordered positions are those of one global sort."""
     ents = E.normalise(V.entities(spark, sf))
-    small = sorted(tuple(r) for r in E.sample_distinct(ents, 40, seed=3).collect())
-    monkeypatch.setattr(E, "TOP_N_MERGE_ROWS", 5)
-    large = sorted(tuple(r) for r in E.sample_distinct(ents, 40, seed=3).collect())
-    assert len(small) == 40 and small == large
+    sample = sorted(r.full for r in E.sample_distinct(ents, 40, seed=3).collect())
+    keys = ents.withColumn("k", E.sample_key(3)).groupBy("full").agg(F.min("k").alias("k"))
+    assert sample == sorted(r.full for r in keys.orderBy("k").limit(40).collect())
+
+
+def test_a_timeout_of_the_service_is_tried_again(spark):
+    def service(prompt, left=[2]):
+        if prompt == "always" or left[0]:
+            left[0] -= prompt != "always"
+            raise TimeoutError("x" * 600)
+        return "done"
+
+    df = spark.createDataFrame([("a", "twice"), ("b", "always")], "candid string, prompt string").coalesce(1)
+    for timeout in (None, 5.0):
+        pol = EN.Policy(tries=3, timeout=timeout, token_limit=None, **EN.NO_WAIT)
+        out = {r.candid: r for r in EN.enrich(df, service, "prompt", policy=pol).collect()}
+        assert (out["a"].status, out["a"].attempts) == ("ok", 3)
+        assert (out["b"].status, out["b"].attempts) == ("timeout", 3)
+        assert out["b"].reason == "TimeoutError: " + "x" * 600

@@ -41,3 +41,27 @@ def test_birth_year(spark):
     df = spark.createDataFrame([("1956",), ("Graduated in 1970",), ("N/A",), ("born 1940, graduated 1962",)],
                                "r string")
     assert [r[0] for r in df.select(birth_year("r")).collect()] == [1956, 1948, None, 1940]
+
+
+def test_malformed_replies_are_not_parsed(spark):
+    import json
+    texts = ['{"a":"x"} {"b":"y"}', '{"a":"x"} tail}', '{"a":"x"}}', '{"a":"x"},{"b":"y"}', "[]", '""', "[{}]", "{",
+             '{"a":"x"}', '{}', '{"a":NaN}', '{"a":-Infinity, "b":1}', '{"a":"x","a":"y"}', ' {"a": {"b": [1]}} ',
+             '{"a": ": NaN, "}', '{"a":1,}', "NaN"]
+
+    def strict(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, response string")
+    got = {r.i: r.parsed for r in parse_replies(df).collect()}
+    assert got == {i: strict(t) for i, t in enumerate(texts)}
+
+
+def test_failure_queue_is_one_defined_row_per_key(spark):
+    from dossier.operators import rerun as R
+    dead = spark.createDataFrame([("1", "prompt", "b"), ("1", "prompt", "a"), ("2", "prompt", "c"), ("3", "parse", "d")],
+                                 "candid string, stage string, reason string")
+    done = spark.createDataFrame([("2",), ("2",)], "candid string")
+    assert [tuple(r) for r in R.failure_queue(dead, done).collect()] == [("1", "prompt", "a")]

@@ -6,6 +6,8 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from dossier.functions import text as T
 from dossier.functions.states import decode_state
 from dossier.operators.entities import normalise
@@ -104,3 +106,33 @@ def test_excerpt_property(spark, pairs):
 def test_title_case_property(spark, words):
     got = one(spark, T.title_case("s"), [(w,) for w in words], "s string")
     assert got == [w.title() for w in words]
+
+
+def test_html_by_expected_strings(spark):
+    cases = {
+        "<p>Jos&eacute; &#8217;s &#x27;x&#X27; a&mdash;b</p>": "josé ’s 'x' a—b",
+        "a<script>var x = '<b>';": "a",
+        "a<style>p{}": "a",
+        'x <a title="a>b" href=\'c>d\'>link</a> y': "x link y",
+        "1 < 2 and 3 > 2": "1 < 2 and 3 > 2",
+        "&amp;lt; &lt;b&gt; &nosuch; &#0; &#xD800; &#99999999; & &": "&lt; <b> &nosuch; &#0; &#xd800; &#99999999; & &",
+        "<!-- <p>no</p> -->yes<!DOCTYPE html>": "yes",
+        "<p title='it>left": "left",
+        "a&nbsp;  b\n\nc": "a b c",
+        "&copy;2020 R&amp;D &#128512;": "©2020 r&d \U0001f600",
+        "": "", "<br>": "",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    got = {r.h: r.t for r in df.select("h", T.html_to_text("h").alias("t")).collect()}
+    assert got == cases
+
+
+def test_space_is_that_of_python(spark):
+    chars = [chr(c) for c in range(0x3100) if c != 10]
+    df = spark.createDataFrame([(i, c + "x" + c, "a" + c + "\n" + c + "b") for i, c in enumerate(chars)], "i int, s string, n string")
+    got = df.select("i", T.strip("s").alias("s"), F.regexp_replace("n", T.NEWLINE_SPACE, " ").alias("n")).collect()
+    import re
+    for r in got:
+        c = chars[r.i]
+        assert r.s == (c + "x" + c).strip(), hex(ord(c))
+        assert r.n == re.sub(r"\s*\n\s*", " ", "a" + c + "\n" + c + "b"), hex(ord(c))
