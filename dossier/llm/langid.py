@@ -18,8 +18,8 @@ broadcast: their size is languages x ``SAMPLE`` characters, whatever the
 corpus; more than ``MAX_LANGUAGES`` languages are an error. Whole texts count.
 
 Learning reads only rows with a language and a remainder of crc32(id) modulo 3
-other than 1. The sample takes the texts of least hash, each cut at ``PART``
-characters, so that no single document fills it.
+other than 1. The sample takes about ``PARTS`` texts drawn by hash, each cut at ``PART``
+characters so that no single document fills it, up to ``SAMPLE`` characters.
 
 Inputs and their results: null or empty texts and those without a letter are
 ``und`` with score 0; very long texts are parsed whole; repeated rows get the
@@ -146,14 +146,18 @@ class Parser:
 
 
 def samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, h, text): the distinct parts of least hash, about SAMPLE
+    """(lang, h, text): distinct parts drawn by their hash, about SAMPLE
     characters a language. Only hashes of all rows are shuffled."""
     learn = docs.where((fold(id_col, FOLDS) != HELD_OUT) & F.col(lang_col).isNotNull())
     parts = learn.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, PART).alias("text"))
     parts = parts.where("text != ''").withColumn("h", F.xxhash64("text"))
+    # the share of the hash range that holds about PARTS distinct parts
+    counts = parts.groupBy("lang").agg(F.count_distinct("h").alias("n")).select(
+        "lang", F.least(F.lit(1.0), F.lit(PARTS) / F.col("n")).alias("share"))
+    drawn = F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    # counts has a row a language, at most MAX_LANGUAGES
+    chosen = parts.join(F.broadcast(counts), "lang").where(drawn).groupBy("lang", "h").agg(F.min("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("h")
-    least = parts.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= PARTS)
-    chosen = parts.join(F.broadcast(least.drop("n")), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     before = F.sum(F.length("text")).over(order) - F.length("text")
     return chosen.withColumn("before", before).where(F.col("before") < SAMPLE).select("lang", "h", "text")
 

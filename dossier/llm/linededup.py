@@ -8,14 +8,16 @@ it (in an earlier document or further up; copies may overlap). Maximal later
 copies of at least ``min_words`` words are deleted. The first copy of a line
 always stays, so no line's content is lost.
 
-**Prefix doubling.** Lines that occur twice get a rank by the order of their
-128-bit hashes. Round k ranks the suffixes by their first 2^(k+1) lines, from
-the pair (rank of this position, rank of the position 2^k further on), by a
-range sort of the distinct pairs. A suffix whose prefix is unique has its
-final place in the suffix array and leaves the rounds, so they shrink fast;
-their number is the logarithm of the longest repeated run. An equal rank is an
-interval of the suffix array with a common prefix of at least 2^k; with each
-rank goes the first position that has it.
+**Prefix doubling.** Round k finds, for the suffix at each position, the class
+of its first 2^(k+1) lines from the pair (class of this position, class of the
+position 2^k further on), starting from the classes of equal lines (by 128-bit
+hash). A class is named by its first position. A suffix whose prefix is unique
+has its final place and leaves the rounds, so they shrink fast; their number
+is the logarithm of the longest repeated run. The suffix array has the
+suffixes in the order in which, wherever prefixes part, the one that occurs
+first comes first; every class is an interval of it with a common prefix of at
+least 2^k lines (``suffix_array`` lists it; the deletions need only its
+intervals).
 
 **Longest common prefixes.** For each suffix, the longest prefix that also
 starts at an earlier position is found from the top round down, one binary
@@ -24,7 +26,7 @@ the next 2^b lines form an interval of prefix l + 2^b. All but its first
 suffix move into it; the first stays where it is, and stands in the inner
 interval too, as the copy that the others repeat.
 
-**Scale.** Only numbers move in the rounds: positions, ranks and lengths.
+**Scale.** Only numbers move in the rounds: positions, classes and lengths.
 A line or run that fills a third of the corpus is counted by partial
 aggregates and joined against one row per key, which Spark's skew join splits.
 Every round is staged in the shared folder. Text moves once, at the end, to
@@ -69,41 +71,45 @@ def starts(docs: DataFrame) -> DataFrame:
         "rid", (F.col("before") + F.col("within")).alias("start"))
 
 
-def ranked(keys: DataFrame, by: list[str]) -> DataFrame:
-    """``keys`` with a rank in the order of ``by``, staged."""
-    ordered = keys.repartitionByRange(*by).sortWithinPartitions(*by)
-    return stage(ordered.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
+def redealt(grouped: DataFrame, keys: list[str]) -> DataFrame:
+    """The same rows under keys that Spark doesn't know to be dealt out
+    already. Joined back, they get an exchange of their own, right below the
+    join, and so Spark's skew join can split a key of many rows."""
+    return grouped.withColumns({k: F.col(k).bitwiseXOR(F.lit(0).cast("long")) for k in keys})
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(pos, rid, start, rank, first, words, cum) of every line that occurs
-    twice: cum is the number of words in such lines of the document before."""
+    """(pos, rid, start, first, words, cum) of every line that occurs twice:
+    cum is the number of words in such lines of the document before."""
     split = docs.where("text is not null").select("rid", F.posexplode(F.split("text", "\n", -1)).alias("line", "s"))
     trimmed = F.trim(F.col("s"), F.lit(SPACES))
     lines = stage(split.select("rid", "line", F.xxhash64(trimmed).alias("h1"), F.xxhash64(F.lit(1), trimmed).alias("h2"),
                                F.regexp_count("s", F.lit(WORD)).alias("words")), "lines")
     twice = lines.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
-    found = lines.join(ranked(twice, ["h1", "h2"]), ["h1", "h2"]).join(starts(docs), "rid")
-    found = found.select("rid", "start", (F.col("start") + F.col("line")).alias("pos"), "rank", "words")
+    found = lines.join(redealt(twice, ["h1", "h2"]), ["h1", "h2"]).join(starts(docs), "rid")
+    found = found.withColumn("pos", F.col("start") + F.col("line"))
     cum = F.sum("words").over(Window.partitionBy("rid").orderBy("pos")) - F.col("words")
-    found = stage(found.withColumn("cum", cum), "repeated-lines")
-    first = found.groupBy("rank").agg(F.min("pos").alias("first"))
-    return stage(found.join(first, "rank"), "repeated-lines")
+    found = stage(found.select("pos", "rid", "start", "h1", "h2", "words", cum.alias("cum")), "repeated-lines")
+    first = found.groupBy("h1", "h2").agg(F.min("pos").alias("first"))
+    return stage(found.join(redealt(first, ["h1", "h2"]), ["h1", "h2"]).drop("h1", "h2"), "repeated-lines")
 
 
 def doubled(level: DataFrame, step: int) -> DataFrame:
-    """From the suffixes (pos, rank, first) that share their first ``step``
-    lines with others to those that share twice as many."""
-    after = level.select((F.col("pos") - step).alias("pos"), F.col("rank").alias("r2"))
-    pairs = level.select("pos", F.col("rank").alias("r1")).join(after, "pos")
-    shared = pairs.groupBy("r1", "r2").agg(F.count("*").alias("c"), F.min("pos").alias("first")).where("c > 1")
-    return stage(pairs.join(ranked(shared.drop("c"), ["r1", "r2"]), ["r1", "r2"]).select("pos", "rank", "first"),
-                 "line-level")
+    """From the suffixes (pos, first) that share their first ``step`` lines
+    with others to those that share twice as many."""
+    sides = level.select("first", F.explode(F.array(
+        F.struct("pos", F.lit(True).alias("own")),
+        F.struct((F.col("pos") - step).alias("pos"), F.lit(False).alias("own")))).alias("s"))
+    pairs = sides.groupBy("s.pos").agg(F.max(F.when(F.col("s.own"), F.col("first"))).alias("c1"),
+                                       F.max(F.when(~F.col("s.own"), F.col("first"))).alias("c2"))
+    pairs = pairs.where("c1 is not null and c2 is not null")
+    shared = pairs.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min("pos").alias("first")).where("n > 1")
+    return stage(pairs.join(redealt(shared.drop("n"), ["c1", "c2"]), ["c1", "c2"]).select("pos", "first"), "line-level")
 
 
 def suffix_levels(lines: DataFrame) -> list[DataFrame]:
-    """Levels 0, 1, 2 ...: the suffixes whose first 2^k lines occur twice."""
-    levels = [lines.select("pos", "rank", "first")]
+    """Levels 0, 1, 2 ...: (pos, first) of the suffixes whose first 2^k lines occur twice."""
+    levels = [lines.select("pos", "first")]
     while True:
         following = doubled(levels[-1], 1 << (len(levels) - 1))
         if following.isEmpty():
@@ -111,31 +117,46 @@ def suffix_levels(lines: DataFrame) -> list[DataFrame]:
         levels.append(following)
 
 
+def suffix_array(levels: list[DataFrame]) -> DataFrame:
+    """The suffixes that share a line with another, in the order of the suffix
+    array: (pos, path), path the classes of their prefixes, shortest first."""
+    rows = None
+    for b, level in enumerate(levels):
+        named = level.select("pos", F.struct(F.lit(b).alias("level"), "first").alias("class"))
+        rows = named if rows is None else rows.unionByName(named)
+    path = F.transform(F.sort_array(F.collect_list("class")), lambda c: c["first"])
+    return rows.groupBy("pos").agg(path.alias("path")).orderBy("path", "pos")
+
+
 def longest_copies(levels: list[DataFrame], singles: DataFrame) -> DataFrame:
     """(pos, len): the longest run from each position that also starts
     earlier. ``singles`` are the suffixes of level 0 worth having at length 1."""
+    # each suffix enters at the longest level where it is a later copy, and
+    # beyond it as the first of its class; a position has a row a level
+    rows = singles.select(F.lit(0).alias("level"), "pos", "first")
+    for b, level in enumerate(levels[1:], 1):
+        rows = rows.unionByName(level.select(F.lit(b).alias("level"), "pos", "first"))
+    last = F.max(F.when(F.col("first") != F.col("pos"), F.col("level"))).over(Window.partitionBy("pos"))
+    entries = stage(rows.withColumn("last", last).where("last is null or level >= last").drop("last"), "line-entries")
     held = None
     for b in range(len(levels) - 1, -1, -1):
-        level = levels[b] if b else singles
-        if held is not None:
-            held = refined(held, levels[b], 1 << b)
-        if b + 1 < len(levels):  # later copies at a longer prefix are held already
-            level = level.join(levels[b + 1].where("pos != first").select("pos"), "pos", "left_anti")
-        entered = level.select("pos", F.lit(1 << b).cast("long").alias("len"), "first")
-        held = stage(entered if held is None else held.unionByName(entered), "line-copies")
+        entered = entries.where(F.col("level") == b).select("pos", F.lit(1 << b).cast("long").alias("len"), "first")
+        held = stage(entered if held is None else refined(held, levels[b], 1 << b).unionByName(entered), "line-copies")
     return held.where("pos != first").select("pos", "len")
 
 
 def refined(held: DataFrame, level: DataFrame, step: int) -> DataFrame:
     """Split the intervals (len, first) of ``held`` by the next ``step`` lines."""
     ahead = held.withColumn("at", F.col("pos") + F.col("len")).join(
-        level.select(F.col("pos").alias("at"), "rank"), "at", "left").drop("at")
-    key = ["len", "first", "rank"]
-    inner = ahead.where("rank is not null").groupBy(*key).agg(F.count("*").alias("c"), F.min("pos").alias("lead"))
-    known = ahead.join(inner.where("c > 1").drop("c"), key, "left")
-    stay = known.where("lead is null or pos = lead").select("pos", "len", "first")
-    move = known.where("lead is not null").select("pos", (F.col("len") + step).alias("len"), F.col("lead").alias("first"))
-    return stay.unionByName(move)
+        level.select(F.col("pos").alias("at"), F.col("first").alias("next")), "at", "left").drop("at")
+    key = ["len", "first", "next"]
+    inner = ahead.where("next is not null").groupBy(*key).agg(F.count("*").alias("n"), F.min("pos").alias("lead"))
+    known = ahead.join(redealt(inner.where("n > 1").drop("n"), key), key, "left")
+    # a follower moves; the first stays, and leads the inner interval too
+    stay, move = F.struct("len", "first"), F.struct((F.col("len") + step).alias("len"), F.col("lead").alias("first"))
+    places = F.when(F.col("lead").isNull(), F.array(stay)).when(F.col("pos") == F.col("lead"), F.array(stay, move)).otherwise(
+        F.array(move))
+    return known.select("pos", F.explode(places).alias("p")).select("pos", "p.len", "p.first")
 
 
 def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
@@ -143,7 +164,7 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     [from, to), parted and in order."""
     lines = repeated_lines(docs)
     levels = suffix_levels(lines)
-    singles = lines.where(F.col("words") >= min_words).select("pos", "rank", "first")
+    singles = lines.where(F.col("words") >= min_words).select("pos", "first")
     runs = longest_copies(levels, singles)
     head = lines.select("pos", "rid", "start", F.col("cum").alias("from_cum"))
     tail = lines.select(F.col("pos").alias("tail"), (F.col("cum") + F.col("words")).alias("to_cum"))
