@@ -8,6 +8,7 @@ the DuckDB oracle can use the very same pattern strings (see
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -80,25 +81,36 @@ def title_case(c) -> Column:
         "")
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)``, with ``value`` evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def decode_entities(c) -> Column:
     """Named and numeric character references decoded, once each; unknown
     names and numbers that are no character stay as they are."""
-    parts = F.split(col(c), "&", -1)
-    codes = F.create_map(*[F.lit(x) for kv in entity_codes().items() for x in kv])
+    # one literal, folded to a map once: 250 pairs of literals take long to plan
+    codes = F.from_json(F.lit(json.dumps(entity_codes())), "map<string,int>")
 
-    def decode(part: Column) -> Column:
-        name = F.regexp_extract(part, ENTITY, 1)
-        low = F.lower(name)
-        code = (F.when(low.startswith("#x"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
-                .when(low.startswith("#"), F.substring(name, 2, 7).cast("int"))
+    def code_of(name: Column) -> Column:
+        return (F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+                .when(name.startswith("#"), F.substring(name, 2, 7).cast("int"))
                 .otherwise(F.try_element_at(codes, name)))
+
+    def char_of(code: Column) -> Column:
         real = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = part.substr(F.length(name) + 2, F.length(part))
-        return F.when(real, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+        return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def decode(part: Column) -> Column:
+        return let(F.regexp_extract(part, ENTITY, 1), lambda name: F.when(name != "", let(code_of(name), lambda code: F.concat(
+            char_of(code), part.substr(F.length(name) + 2, F.length(part))))))
+
+    def whole(text: Column) -> Column:
+        parts = F.split(text, "&", -1)
+        decoded = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.coalesce(decode(p), F.concat(F.lit("&"), p))))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
-    decoded = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decode)
-    return F.when(F.contains(col(c), F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))).otherwise(col(c))
+    return let(col(c), whole)
 
 
 def html_to_text(c) -> Column:
