@@ -71,8 +71,9 @@ def linked_text(links: DataFrame, entities: DataFrame, corpus,
     name parts. ``links`` (key, page_id, url, rank) has r rows per entity;
     the corpus is filtered to linked documents map-side, their text is
     computed once each, and a document linked by very many entities is
-    split over several copies (``Corpus.text_for``)."""
-    names = entities.select(key, "first", "middle", "last")
+    split over several copies (``Corpus.text_for``). Entities that share a
+    key are linked once; ``with_context`` gives each its own row again."""
+    names = entities.select(key, "first", "middle", "last").dropDuplicates([key])
     pairs = links.select(key, "page_id", "url", "rank").join(names, key)
     return as_corpus(corpus).text_for(pairs)
 

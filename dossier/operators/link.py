@@ -1,19 +1,22 @@
 """Entity -> document linking (re-aimed web search: S-11, J-5, W-1, A-4).
 
-A document's score for an entity is a sum of non-negative weights over the
-entity's name terms it contains (1 per term for overlap, the BM25 weight of
-the term in the document for BM25); the top ``r`` documents per entity are
-kept, score descending, ties by document id.
+A name part (first, middle, last) is split into its letter runs, in lower
+case, so ``Mary Ann``, ``O'Neil`` and ``Smith-Jones`` are parts of two terms
+each; a document contains a part when it contains all of its terms. Its score
+for an entity is the number of contained parts (overlap), or the sum of the
+BM25 weights of their distinct terms; the top ``r`` documents per entity are
+kept, score descending, ties by document id. Entities that share a key are
+one entity: repeated rows neither add to a score nor repeat a link.
 
 Exact top r without emitting (entity, document) pairs per shared term.
-Let S(e, d) be the set of e's terms that d contains. If d is among e's top
+Let S(e, d) be the set of e's parts that d contains. If d is among e's top
 r, then d is also among the top r of *all* documents containing S(e, d),
 ranked by their partial score over S(e, d): every document that beats d
 there contains S(e, d) too, scores at least as much for e, and so also
 beats d for e. Hence:
 
-1. each entity yields its (at most 7) non-empty term subsets; distinct
-   subsets are what is searched, however many entities share one;
+1. each entity yields its (at most 7) non-empty subsets of parts; distinct
+   sets of their terms are what is searched, however many entities share one;
 2. each subset is keyed by its rarest term (document frequency), and a
    document reaches a subset only through that term, then is verified to
    hold the subset's other terms by a join on the unique (document, term)
@@ -41,7 +44,7 @@ from dossier.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_count, hint_
 from dossier.session import materialize
 
 MAX_R = 4
-# name terms per entity (first, middle, last): at most 7 subsets each
+# name parts per entity (first, middle, last): at most 7 subsets each
 MAX_SUBSET = 3
 
 
@@ -50,15 +53,17 @@ def check_r(r: int) -> None:
         raise ValueError(f"r must be in 1..{MAX_R}, got {r}")
 
 
-def entity_terms(entities: DataFrame, key: str = "candid",
+def entity_parts(entities: DataFrame, key: str = "candid",
                  name_cols=("first", "middle", "last")) -> DataFrame:
-    """(key, term): the distinct non-empty name parts of each entity (at
-    most MAX_SUBSET of them, which bounds the subsets per entity)."""
+    """(key, part): the distinct non-empty name parts of each entity, each as
+    the sorted array of its terms (at most MAX_SUBSET parts, which bounds the
+    subsets per entity)."""
     if not 1 <= len(name_cols) <= MAX_SUBSET:
         raise ValueError(f"1..{MAX_SUBSET} name columns, got {len(name_cols)}")
-    parts = F.array(*[F.col(c) for c in name_cols])
-    terms = F.array_distinct(F.filter(parts, lambda x: x.isNotNull() & (x != "")))
-    return entities.select(key, F.explode(terms).alias("term"))
+    parts = F.array(*[F.array_sort(F.array_distinct(T.letter_terms(F.lower(F.coalesce(F.col(c), F.lit(""))))))
+                      for c in name_cols])
+    return entities.dropDuplicates([key]).select(
+        key, F.explode(F.array_distinct(F.filter(parts, lambda x: F.size(x) > 0))).alias("part"))
 
 
 def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
@@ -70,6 +75,10 @@ def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
             .filter(F.col("rank") <= r))
 
 
+def _terms(parts: DataFrame) -> DataFrame:
+    return parts.select(F.explode("part").alias("term")).distinct()
+
+
 def _postings_overlap(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """(page_id, term, w = 1): distinct vocabulary terms per document."""
     return (docs.select("page_id", F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
@@ -79,15 +88,15 @@ def _postings_overlap(docs: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
                  key: str = "candid") -> DataFrame:
-    """Top r documents per entity by the number of distinct name terms the
+    """Top r documents per entity by the number of distinct name parts the
     document contains. corpus: a Corpus or (page_id, url, text). Returns
     (key, page_id, url, score, rank); entities without any match are absent."""
     check_r(r)
-    terms = entity_terms(entities, key)
-    n_terms = bounded_count(terms)
-    vocab = hint_if(terms.select("term").distinct(), n_terms <= DEFAULT_BROADCAST_ROWS)
+    parts = entity_parts(entities, key)
+    n_parts = bounded_count(parts)
+    vocab = hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS)
     post = materialize(_postings_overlap(as_corpus(corpus).texts(), vocab), "overlap-postings")
-    return with_urls(top_r(subset_candidates(terms, post, key, r, n_terms), key, r), corpus, r, n_terms)
+    return with_urls(top_r(subset_candidates(parts, post, key, r, n_parts, by_parts=True), key, r), corpus, r, n_parts)
 
 
 def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
@@ -102,10 +111,10 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     as the term-frequency table. The corpus size N, the average length and
     the per-(document, term) weights read that table, not the corpus."""
     check_r(r)
-    terms = entity_terms(entities, key)
-    n_terms = bounded_count(terms)
-    small = n_terms <= DEFAULT_BROADCAST_ROWS   # vocabulary and df table are no larger
-    vocab = hint_if(terms.select("term").distinct(), small)
+    parts = entity_parts(entities, key)
+    n_parts = bounded_count(parts)
+    small = n_parts <= DEFAULT_BROADCAST_ROWS
+    vocab = hint_if(_terms(parts), small)
     docs = (as_corpus(corpus).texts()
             .select("page_id", T.letter_terms("text").alias("terms"))
             .withColumn("dl", F.size("terms")))
@@ -129,33 +138,38 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
     weight = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     post = (tf.join(hint_if(df_, small), "term")
             .select("page_id", "term", weight.alias("w")))
-    scored = subset_candidates(terms, post, key, r, n_terms)
+    scored = subset_candidates(parts, post, key, r, n_parts)
     # rank on a rounded score so that float summation order cannot reorder ties
-    return with_urls(top_r(scored.withColumn("score", F.round("score", 9)), key, r), corpus, r, n_terms)
+    return with_urls(top_r(scored.withColumn("score", F.round("score", 9)), key, r), corpus, r, n_parts)
 
 
-def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
-                      n_terms: int) -> DataFrame:
+def subset_candidates(parts: DataFrame, postings: DataFrame, key: str, r: int,
+                      n_parts: int, by_parts: bool = False) -> DataFrame:
     """(key, page_id, score): for every entity, the union of the top r
-    documents of each of its term subsets (see the module notes), scored by
-    the best partial score found. ``terms`` is (key, term) with at most
-    three terms per key; ``postings`` is (page_id, term, w) with one
-    row per (document, vocabulary term) and w >= 0. ``n_terms`` is the
-    (bounded) row count of ``terms``: the frequency table has at most that
-    many rows and the subset table at most 7/3 of it (3 terms -> 7 subsets),
-    which decides both broadcasts without another count."""
-    small = n_terms <= DEFAULT_BROADCAST_ROWS
-    sub_small = 7 * n_terms <= 3 * DEFAULT_BROADCAST_ROWS
+    documents of each of its subsets of parts (see the module notes), scored
+    by the best partial score found: the sum of the weights of the subset's
+    distinct terms, or with ``by_parts`` its number of parts. ``parts`` is
+    (key, part) with at most three parts per key; ``postings`` is (page_id,
+    term, w) with one row per (document, vocabulary term) and w >= 0.
+    ``n_parts`` is the (bounded) row count of ``parts``: the subset table has
+    at most 7/3 of it (3 parts -> 7 subsets), which decides the broadcasts
+    without another count."""
+    small = n_parts <= DEFAULT_BROADCAST_ROWS
+    sub_small = 7 * n_parts <= 3 * DEFAULT_BROADCAST_ROWS
     freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    # each entity's matchable terms, rarest first (document frequency, then
-    # the term itself: one global order, so equal sets give equal arrays)
-    ordered = (terms.join(hint_if(freq, small), "term")
-               .groupBy(key)
-               .agg(F.transform(F.array_sort(F.collect_list(F.struct("_df", "term"))),
-                                lambda x: x["term"]).alias("_ts")))
-    subsets = (ordered.select(key, "_ts", F.explode(F.expr("sequence(1, shiftleft(1, size(_ts)) - 1)")).alias("_m"))
-               .select(key, F.expr("filter(_ts, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_s"))
-               .select(key, F.concat_ws(" ", "_s").alias("_sid"), "_s"))
+    # parts all of whose terms occur, each term with its document frequency
+    known = (parts.withColumn("term", F.explode("part")).join(hint_if(freq, small), "term")
+             .groupBy(key, "part").agg(F.collect_list(F.struct("_df", "term")).alias("_t"))
+             .where(F.size("_t") == F.size("part")))
+    grouped = known.groupBy(key).agg(F.collect_list("_t").alias("_ps"))
+    chosen = (grouped.select(key, "_ps", F.explode(F.expr("sequence(1, shiftleft(1, size(_ps)) - 1)")).alias("_m"))
+              .select(key, F.expr("filter(_ps, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_c")))
+    # a subset's distinct terms, rarest first (document frequency, then the
+    # term itself: one global order, so equal sets give equal arrays); of
+    # subsets with equal terms the one with the most parts counts
+    ordered = F.transform(F.array_sort(F.array_distinct(F.flatten("_c"))), lambda x: x["term"])
+    subsets = (chosen.select(key, ordered.alias("_s"), F.size("_c").alias("_np"))
+               .select(key, F.concat_ws(" ", "_s").alias("_sid"), "_s", "_np"))
     probes = (subsets.select("_sid", "_s").distinct()
               .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, F.size("_s")).alias("_rest")))
     hits = postings.join(hint_if(probes, sub_small), "term")   # reached through the rarest term only
@@ -175,18 +189,19 @@ def subset_candidates(terms: DataFrame, postings: DataFrame, key: str, r: int,
     # at most r rows per subset; broadcast under the same proven bound, the
     # entity side keeps its hash partitioning by key, so the max per
     # (entity, document) and the caller's top-r window need no exchange
-    best = hint_if(best, r * 7 * n_terms <= 3 * DEFAULT_BROADCAST_ROWS)
-    return (subsets.select(key, "_sid").join(best, "_sid")
-            .groupBy(key, "page_id").agg(F.max("score").alias("score")))
+    best = hint_if(best, r * 7 * n_parts <= 3 * DEFAULT_BROADCAST_ROWS)
+    score = F.col("_np").cast("long") if by_parts else F.col("score")
+    return (subsets.select(key, "_sid", "_np").join(best, "_sid")
+            .groupBy(key, "page_id").agg(F.max(score).alias("score")))
 
 
-def with_urls(links: DataFrame, corpus, r: int, n_terms: int) -> DataFrame:
+def with_urls(links: DataFrame, corpus, r: int, n_parts: int) -> DataFrame:
     """Adds each linked document's url. Postings and candidates carry only
-    the document id; the (at most r per entity, so at most r x n_terms)
+    the document id; the (at most r per entity, so at most r x n_parts)
     link rows are broadcast under that bound and a (page_id, url)
     projection of the corpus streams past them, so the link plan runs once
     and the corpus is not shuffled."""
     out = links.columns
     pages = as_corpus(corpus).df.select("page_id", "url")
-    joined = pages.join(hint_if(links, r * n_terms <= DEFAULT_BROADCAST_ROWS), "page_id")
+    joined = pages.join(hint_if(links, r * n_parts <= DEFAULT_BROADCAST_ROWS), "page_id")
     return joined.select(*out[:2], "url", *out[2:])

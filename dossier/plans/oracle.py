@@ -137,14 +137,20 @@ def first_words(x: str, n: int = 3) -> list[str]:
     return [f"nullif(regexp_extract({x}, {pat}, {i}), '')" for i in range(1, n + 1)]
 
 
-_W = first_words("lower(text)")
-TEXT_ENTITIES = f"""text_entities AS (
-  SELECT item_id AS "row", CAST(item_id AS VARCHAR) AS candid,
-         {_W[0]} AS first, {_W[1]} AS middle, {_W[2]} AS last,
-         concat_ws(' ', {_W[0]}, {_W[1]}, {_W[2]}) AS "full",
+_W = first_words("lower(text)", 4)
+TEXT_ENTITIES = f"""name_words AS (
+  SELECT item_id, {_W[0]} AS w1, {_W[1]} AS w2, {_W[2]} AS w3, {_W[3]} AS w4 FROM benchmark),
+names AS (
+  SELECT item_id,
+         CASE item_id % 4 WHEN 1 THEN w1 || ' ' || w2 WHEN 3 THEN upper(w1) ELSE w1 END AS first,
+         CASE item_id % 4 WHEN 1 THEN w3 WHEN 3 THEN w2 || chr(39) || w3 ELSE w2 END AS middle,
+         CASE item_id % 4 WHEN 2 THEN w3 || '-' || w4 WHEN 0 THEN w3 ELSE w4 END AS last FROM name_words),
+text_entities AS (
+  SELECT item_id AS "row", CAST(item_id AS VARCHAR) AS candid, first, middle, last,
+         concat_ws(' ', first, middle, last) AS "full",
          CAST(1967 + item_id % 51 AS INTEGER) AS min_year,
          {decode_state(sab_for('item_id'))} AS state
-  FROM benchmark)"""
+  FROM names)"""
 
 PAGE_CORPUS = f"""corpus AS (
   SELECT page_id, url, {html_to_text('html')} AS text FROM pages)"""
@@ -159,41 +165,48 @@ EN_US_PAGES = f"""corpus AS (
     AND ends_with(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '.com'))"""
 
 
-def links_overlap(r: int = 4, ents: str = "text_entities", corpus: str = "corpus") -> str:
-    return f"""ent_terms AS (
-  SELECT DISTINCT candid, term FROM (SELECT candid, unnest([first, middle, last]) AS term FROM {ents})
-  WHERE term IS NOT NULL AND term <> ''),
-doc_terms AS (
-  SELECT DISTINCT page_id, url, term FROM (SELECT page_id, url, unnest({letter_terms('text')}) AS term FROM {corpus})),
-scored AS (
-  SELECT e.candid, d.page_id, d.url, count(*) AS score
-  FROM doc_terms d JOIN ent_terms e ON d.term = e.term GROUP BY e.candid, d.page_id, d.url),
-links AS (
+def _matched(ents: str, corpus: str) -> str:
+    """Every document that holds all words of some part of an entity's name."""
+    return f"""docs AS (SELECT page_id, url, regexp_extract_all(text, '\\p{{L}}+') AS terms FROM {corpus}),
+parts AS (
+  SELECT DISTINCT candid, words FROM (
+    SELECT candid, list_sort(list_distinct(regexp_extract_all(lower(part), '\\p{{L}}+'))) AS words
+    FROM (SELECT candid, unnest([first, middle, last]) AS part FROM {ents}) WHERE part IS NOT NULL) WHERE len(words) > 0),
+heads AS (SELECT DISTINCT page_id, unnest(terms) AS head FROM docs),
+matched AS (
+  SELECT p.candid, d.page_id, d.url, p.words
+  FROM parts p JOIN heads h ON h.head = p.words[1] JOIN docs d ON d.page_id = h.page_id
+  WHERE list_has_all(d.terms, p.words))"""
+
+
+def _ranked(r: int) -> str:
+    return f"""links AS (
   SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS INTEGER) AS rank FROM scored)
   WHERE rank <= {r})"""
 
 
+def links_overlap(r: int = 4, ents: str = "text_entities", corpus: str = "corpus") -> str:
+    return f"""{_matched(ents, corpus)},
+scored AS (SELECT candid, page_id, url, count(*) AS score FROM matched GROUP BY candid, page_id, url),
+{_ranked(r)}"""
+
+
 def links_bm25(r: int = 4, ents: str = "text_entities", corpus: str = "corpus",
                k1: float = 1.2, b: float = 0.75) -> str:
-    return f"""ent_terms AS (
-  SELECT DISTINCT candid, term FROM (SELECT candid, unnest([first, middle, last]) AS term FROM {ents})
-  WHERE term IS NOT NULL AND term <> ''),
-docs AS (SELECT page_id, url, {letter_terms('text')} AS terms FROM {corpus}),
+    return f"""{_matched(ents, corpus)},
 stats AS (SELECT count(*) AS n, avg(len(terms)) AS avgdl FROM docs),
 tf AS (
-  SELECT page_id, url, dl, term, count(*) AS tf FROM (
-    SELECT page_id, url, len(terms) AS dl, unnest(terms) AS term FROM docs)
-  WHERE term IN (SELECT term FROM ent_terms) GROUP BY page_id, url, dl, term),
+  SELECT page_id, dl, term, count(*) AS tf FROM (SELECT page_id, len(terms) AS dl, unnest(terms) AS term FROM docs)
+  GROUP BY page_id, dl, term),
 dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+hit AS (SELECT DISTINCT candid, page_id, url, unnest(words) AS term FROM matched),
 scored AS (
-  SELECT e.candid, tf.page_id, tf.url,
+  SELECT h.candid, tf.page_id, h.url,
          round(sum(ln(1.0 + (s.n - dfs.df + 0.5) / (dfs.df + 0.5)) * tf.tf * {k1 + 1.0}
                    / (tf.tf + {k1} * ({1.0 - b} + {b} * tf.dl / s.avgdl))), 9) AS score
-  FROM tf JOIN dfs ON tf.term = dfs.term JOIN ent_terms e ON tf.term = e.term, stats s
-  GROUP BY e.candid, tf.page_id, tf.url),
-links AS (
-  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY candid ORDER BY score DESC, page_id) AS INTEGER) AS rank FROM scored)
-  WHERE rank <= {r})"""
+  FROM hit h JOIN tf USING (page_id, term) JOIN dfs USING (term), stats s
+  GROUP BY h.candid, tf.page_id, h.url),
+{_ranked(r)}"""
 
 
 def excerpts(corpus: str = "corpus", ents: str = "text_entities") -> str:

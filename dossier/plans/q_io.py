@@ -157,8 +157,9 @@ def q_resume_stream(spark, sf_dir):
 
 # --- whole runs -----------------------------------------------------------------
 
-SMOKE_ITEMS = (126073, 0, 27, 44, 46)
-_IN = ", ".join(f"'{i}'" for i in SMOKE_ITEMS)
+# a row that no table has, six that all have, one of them twice
+SMOKE_ITEMS = (126073, 0, 27, 5, 14, 27, 31, 38)
+_VALUES = ", ".join(f"('{i}')" for i in SMOKE_ITEMS)
 _STUB_FIELDS = """
   CASE WHEN len(w) > 0 THEN w[1] ELSE 'N/A' END AS college_major,
   CASE WHEN len(w) > 1 THEN w[2] || ' university' ELSE 'N/A' END AS undergraduate_institution,
@@ -176,9 +177,9 @@ def _run(spark, sf_dir, entities, token_limit):
 
 
 @register("profile_rows", STUB_SQL + f"""
-SELECT c.candid, p."full", p.state, p.min_year, p.sources, c.status, {_STUB_FIELDS.strip().replace(chr(10), ' ')}
-FROM called c JOIN prompts p ON c.candid = p.candid
-WHERE c.candid IN ({_IN}) AND c.status = 'ok'""")
+SELECT candid, p."full", p.state, p.min_year, p.sources, c.status, {_STUB_FIELDS.strip().replace(chr(10), ' ')}
+FROM (VALUES {_VALUES}) v(candid) JOIN called c USING (candid) JOIN prompts p USING (candid)
+WHERE c.status = 'ok'""")
 def q_profile_rows(spark, sf_dir):
     """Selected rows only (by row number), then the whole chain: link,
     excerpt, prompt, enrich, parse; the results table."""

@@ -51,11 +51,17 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities for linking: words 1-3 of the lower-cased benchmark text are
-    the first, middle and last name; state and year follow the item id."""
+    """Entities for linking: the first words of the benchmark text are the
+    first, middle and last name; item_id modulo 4 picks plain names, a first
+    name of two words, a hyphenated last name, or a capitalised first and an
+    apostrophe in the middle name. State and year follow the item id."""
     b = table(spark, sf_dir, "benchmark")
     k = F.col("item_id")
-    first, middle, last = T.first_words(F.lower("text"), 3)
+    w = T.first_words(F.lower("text"), 4)
+    v = k % 4
+    first = F.when(v == 1, F.concat(w[0], F.lit(" "), w[1])).when(v == 3, F.upper(w[0])).otherwise(w[0])
+    middle = F.when(v == 1, w[2]).when(v == 3, F.concat(w[1], F.lit("'"), w[2])).otherwise(w[1])
+    last = F.when(v == 2, F.concat(w[2], F.lit("-"), w[3])).when(v == 0, w[2]).otherwise(w[3])
     return b.select(
         k.alias("row"),
         k.cast("string").alias("candid"),

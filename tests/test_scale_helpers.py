@@ -145,3 +145,26 @@ def test_text_for_splits_a_hot_document_without_changing_rows(spark):
     want = sorted((k, p, r, "alpha beta" if p == 1 else "gamma") for k, p, r in
                   [(f"e{i}", 1 if i % 10 else 2, i) for i in range(50)] + [("x", 1, 99), ("x", 1, 99)])
     assert got == want
+
+
+def test_names_of_several_words_and_repeated_rows(spark):
+    pages = [(1, "u1", "mary ann o'neil was born"), (2, "u2", "ann smith jones"), (3, "u3", "mary smith"), (4, "u4", "jones, smith"),
+             (5, "u5", "o neil")]
+    corpus = spark.createDataFrame(pages, "page_id long, url string, text string")
+    ents = spark.createDataFrame([("a", "Mary Ann", None, "O'Neil"), ("a", "Mary Ann", None, "O'Neil"), ("b", "Ann", "", "Smith-Jones"),
+                                  ("c", "Zed", "--", "Smith")], "candid string, first string, middle string, last string")
+    want = {("a", 1): 2, ("a", 5): 1, ("b", 2): 2, ("b", 1): 1, ("b", 4): 1, ("c", 2): 1, ("c", 3): 1, ("c", 4): 1}
+    got = [(r.candid, r.page_id, r.score) for r in L.link_overlap(ents, corpus, r=4).collect()]
+    assert len(got) == len(want) and {(c, p): s for c, p, s in got} == want
+    bm = L.link_bm25(ents, corpus, r=4).collect()
+    assert {(r.candid, r.page_id) for r in bm} == set(want) and len(bm) == len(want)
+
+
+def test_each_copy_of_an_entity_gets_its_own_row(spark):
+    from dossier.plans.profiles import gather_contexts
+    corpus = spark.createDataFrame([(1, "u1", "lee x"), (2, "u2", "ann zed")], "page_id long, url string, text string")
+    row = ("a", "ann", None, "lee", "ann lee", "Ohio", 1990)
+    ents = spark.createDataFrame([row, row, ("b", "zed", None, "q", "zed q", "Ohio", 1990)],
+                                 "candid string, first string, middle string, last string, full string, state string, min_year int")
+    got = [(r.candid, r.context, list(r.sources)) for r in gather_contexts(ents, corpus).collect()]
+    assert sorted(got) == [("a", "lee x ann zed", ["u1", "u2"])] * 2 + [("b", "zed", ["u2"])]
