@@ -76,11 +76,15 @@ def title_case(c) -> Column:
     ``initcap`` which splits on spaces only)."""
     pieces = F.regexp_extract_all(F.lower(col(c)), F.lit(TITLE_PIECES), 1)
     return F.array_join(
-        F.transform(pieces, lambda t: F.concat(F.upper(F.substring(t, 1, 1)),
-                                               t.substr(F.lit(2), F.length(t)))),
+        F.transform(pieces, lambda t: F.concat(_title(F.upper(F.substring(t, 1, 1))), t.substr(F.lit(2), F.length(t)))),
         "")
 
 
+def _title(upper: Column) -> Column:
+    """An upper-cased letter in title case: some are several (``ß`` -> ``SS`` -> ``Ss``)."""
+    return F.concat(F.substring(upper, 1, 1), F.lower(F.substring(upper, 2, 2)))
+
+
 def let(value: Column, then) -> Column:
     """``then(value)``, with ``value`` evaluated once however often it is used."""
     return F.get(F.transform(F.array(value), then), F.lit(0))

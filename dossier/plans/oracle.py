@@ -26,7 +26,7 @@ def strip(x: str) -> str:
 
 def title_case(x: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all(lower({x}), {q(T.TITLE_PIECES)}, 1), "
-            f"lambda t: upper(substr(t, 1, 1)) || substr(t, 2)), '')")
+            f"lambda t: replace(upper(substr(t, 1, 1)), 'ẞ', 'Ss') || substr(t, 2)), '')")
 
 
 def html_to_text(x: str) -> str:

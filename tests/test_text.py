@@ -19,6 +19,7 @@ def one(spark, expr, rows, schema):
 
 
 def test_title_case(spark):
+    assert one(spark, T.title_case("s"), [("ßen weiß",)], "s string") == ["ßen weiß".title()]
     got = one(spark, T.title_case("s"), [("o'neil smith-jones 3rd",), ("",), (None,)], "s string")
     assert got == ["O'Neil Smith-Jones 3Rd", "", None]
 
