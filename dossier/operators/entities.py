@@ -80,6 +80,24 @@ def range_group(row_col: str = "row", width: int = RANGE_GROUP_WIDTH,
         .otherwise(F.concat(lo.cast("string"), F.lit("-"), (lo + width - 1).cast("string")))
 
 
+def completeness(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Adds ``status`` ('ok' or 'incomplete') and ``missing``, the required
+    columns that are null, comma-joined; an absent column is an error."""
+    absent = [c for c in required if c not in df.columns]
+    if absent or not required:
+        raise ValueError(f"required columns that the table lacks: {absent}" if absent else "no required columns")
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    return df.withColumn("missing", missing).withColumn(
+        "status", F.when(F.col("missing") == "", "ok").otherwise("incomplete"))
+
+
+def split_complete(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(complete rows, rejects with what they miss)."""
+    checked = completeness(df, required)
+    return (checked.filter("status = 'ok'").select(*df.columns),
+            checked.filter("status <> 'ok'").select(*df.columns, "missing"))
+
+
 def batch_number(row_col: str = "row", size: int = BATCH_SIZE) -> F.Column:
     if size <= 0:
         raise ValueError("size must be > 0")

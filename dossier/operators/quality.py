@@ -109,6 +109,19 @@ def coverage_by(df: DataFrame, by: str, flag: str) -> DataFrame:
             .withColumn("coverage", F.round(F.col("covered") / F.col("entities"), 6)))
 
 
+#: Which labelled rows to include: all, those with an answer, those from a year on.
+INCLUDE = ("all", "output", "years")
+
+
+def include(df: DataFrame, which: str, answers: Sequence[str], year: str = "min_year", since: int = 1998) -> DataFrame:
+    """The labelled rows of one of the INCLUDE kinds; any other is an error."""
+    if which not in INCLUDE:
+        raise ValueError(f"include must be one of {INCLUDE}, got {which!r}")
+    if which == "output":
+        return df.dropna(how="all", subset=list(answers))
+    return df.filter(F.col(year) >= since) if which == "years" else df
+
+
 # --- exact k nearest neighbours ----------------------------------------------------
 
 # Rows of each side that one task holds for one cell (a query block paired

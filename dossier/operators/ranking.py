@@ -26,12 +26,12 @@ def ordered_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     group in ``order`` (ascending). ``order`` must be a total order (end it
     with a unique key). ``by`` should have few distinct values."""
     spark = df.sparkSession
-    # as many ranges as the input has partitions (file splits grow with the
-    # data), at least the session's shuffle partitions: an explicit count is
-    # never split by AQE, so it must grow with the input itself
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    # the session's shuffle partitions are set for its data
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by, *order]
     pid = F.spark_partition_id()
+    # the input runs once: sampling the ranges and dealing them read this copy
+    df = materialize(df, "unordered")
     # positions are fixed by writing the range-partitioned, sorted rows once
     x = materialize(
         df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -46,17 +46,6 @@ def ordered_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
             .drop("_pid", "_pos", "_off", "_start"))
 
 
-def dense_codes(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Category codes: distinct non-null values in code-point order get
-    0..k-1, null gets -1. Codes are computed over the distinct values only
-    and joined back on the value."""
-    name = name or f"{column}_code"
-    vals = df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    codes = ordered_index(vals, ["_v"], name=name)
-    out = df.join(codes, df[column].eqNullSafe(codes["_v"]), "left").drop("_v")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("int"))
-
-
 def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fitted code table (_col, _v, _code) for several string columns in one pass:
     the distinct (column, value) pairs of all columns are numbered
@@ -84,7 +73,8 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix:
 
 
 def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """``dense_codes`` for several string columns, fitted on ``df`` itself."""
+    """Category codes of several string columns, fitted on ``df`` itself:
+    distinct non-null values in code-point order get 0..k-1, null gets -1."""
     if not columns:
         return df
     return apply_codes(df, fit_codes(df, columns), columns, suffix)

@@ -93,9 +93,7 @@ SELECT candid, CASE WHEN middle IS NULL THEN 'incomplete' ELSE 'ok' END AS statu
        CASE WHEN middle IS NULL THEN 'middle' ELSE '' END AS missing FROM norm""")
 def q_completeness_guard(spark, sf_dir):
     n = E.normalise(V.entities(spark, sf_dir))
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
-    return n.select("candid", F.when(missing == "", "ok").otherwise("incomplete").alias("status"),
-                    missing.alias("missing"))
+    return E.completeness(n, REQUIRED).select("candid", "status", "missing")
 
 
 # --- enrichment over the page prompts with the rule-based stub -------------------

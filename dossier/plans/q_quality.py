@@ -34,11 +34,11 @@ RULE_SQL = "CASE WHEN n_chars >= 1000 AND toxic = 0 THEN 1 ELSE 0 END"
 
 
 def labelled(spark, sf_dir):
-    """Parsed replies (N/A answers as null) joined with their labels."""
-    parsed = P.null_answer_tokens(P.parse_replies(V.replies(spark, sf_dir), "response"))
-    lab = V.table(spark, sf_dir, "labels")
-    j = parsed.join(lab, parsed["row"] == lab["doc_id"])
-    return j.select("candid", "row", "name", "state", "min_year", *P.FOUR_FIELDS, "sources",
+    """Labelled replies, parsed (N/A answers as null); labels are joined
+    first, so that only labelled replies are parsed."""
+    replies, lab = V.replies(spark, sf_dir), V.table(spark, sf_dir, "labels")
+    j = replies.join(lab, replies["row"] == lab["doc_id"])
+    return P.null_answer_tokens(P.parse_replies(j, "response")).select("candid", "row", "name", "state", "min_year", *P.FOUR_FIELDS, "sources",
                     F.col("lang").alias("party"), "source", "n_chars", "toxic",
                     F.col("quality").alias("accuracy"))
 
@@ -65,12 +65,12 @@ def q_labelled_all(spark, sf_dir):
 WHERE college_major IS NOT NULL OR undergraduate_institution IS NOT NULL
    OR highest_degree IS NOT NULL OR work_history IS NOT NULL""")
 def q_labelled_output_only(spark, sf_dir):
-    return labelled(spark, sf_dir).dropna(how="all", subset=list(P.FOUR_FIELDS)).select(*LABELLED_COLS)
+    return Q.include(labelled(spark, sf_dir), "output", P.FOUR_FIELDS).select(*LABELLED_COLS)
 
 
 @register("labelled_since_year", LABELLED_SQL + f"SELECT {_LCOLS} FROM labelled WHERE min_year >= {SINCE_YEAR}")
 def q_labelled_since_year(spark, sf_dir):
-    return labelled(spark, sf_dir).filter(F.col("min_year") >= SINCE_YEAR).select(*LABELLED_COLS)
+    return Q.include(labelled(spark, sf_dir), "years", P.FOUR_FIELDS, since=SINCE_YEAR).select(*LABELLED_COLS)
 
 
 def _codes_sql(cols, src="labelled"):

@@ -41,7 +41,7 @@ def test_parameter_guards():
 
 def test_category_codes(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(["b", None, "a", "B", "é"])], "i int, v string")
-    got = {r.i: r.v_code for r in RK.dense_codes(df, "v").collect()}
+    got = {r.i: r.v_code for r in RK.dense_codes_many(df, ["v"]).collect()}
     assert [got[i] for i in range(5)] == [2, -1, 1, 0, 3]
 
 
@@ -202,3 +202,16 @@ def test_a_timeout_of_the_service_is_tried_again(spark):
         assert (out["a"].status, out["a"].attempts) == ("ok", 3)
         assert (out["b"].status, out["b"].attempts) == ("timeout", 3)
         assert out["b"].reason == "TimeoutError: " + "x" * 600
+
+
+def test_include_and_completeness_guard_their_arguments(spark):
+    df = spark.createDataFrame([("1", None, 1990), ("2", "x", 2000)], "candid string, a string, min_year int")
+    assert [r.candid for r in Q.include(df, "output", ["a"]).collect()] == ["2"]
+    assert Q.include(df, "all", ["a"]).count() == 2 and Q.include(df, "years", ["a"]).count() == 1
+    with pytest.raises(ValueError):
+        Q.include(df, "some", ["a"])
+    ok, rejects = E.split_complete(df, ["candid", "a"])
+    assert [r.candid for r in ok.collect()] == ["2"] and [(r.candid, r.missing) for r in rejects.collect()] == [("1", "a")]
+    for bad in ([], ["nope"]):
+        with pytest.raises(ValueError):
+            E.completeness(df, bad)
