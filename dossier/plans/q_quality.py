@@ -12,6 +12,7 @@ from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register
 from dossier.plans.q_parse import REPLIES_SQL
+from dossier.session import materialize
 from dossier.sources.tables import spread
 
 SINCE_YEAR = 1998
@@ -87,6 +88,13 @@ def q_encode_categories(spark, sf_dir):
     return df.select("row", *[f"{c}_code" for c in CATEGORY_COLS], "min_year", "accuracy")
 
 
+def ml_raw(spark, sf_dir):
+    d = V.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = V.table(spark, sf_dir, "labels")
+    return lab.join(d, "doc_id").select("doc_id", "lang", "source", "n_chars", "toxic",
+                                        F.col("quality").alias("label"))
+
+
 def ml_set(spark, sf_dir):
     """labels x documents with encoded categorical features (all rows)."""
     return RK.dense_codes_many(ml_raw(spark, sf_dir), ("lang", "source")).drop("lang", "source")
@@ -257,38 +265,71 @@ def q_knn_classify(spark, sf_dir):
     return _knn(spark, sf_dir).select("q_id", "actual", "predicted", "votes")
 
 
-# --- MLlib models (rows-only check: no SQL states a trained forest) -----------------
+# --- MLlib models: fit, cross-validate, validate --------------------------------------
 
-def ml_raw(spark, sf_dir):
-    d = V.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = V.table(spark, sf_dir, "labels")
-    return lab.join(d, "doc_id").select("doc_id", "lang", "source", "n_chars", "toxic",
-                                        F.col("quality").alias("label"))
+MODEL_FEATURES = (*(f"{c}_code" for c in CATEGORY_COLS), "min_year")
+
+
+def model_rows(spark, sf_dir):
+    """The labelled set, written once: every split and model reads it."""
+    rows = labelled(spark, sf_dir).select("row", *CATEGORY_COLS, "min_year", F.col("accuracy").alias("y"))
+    return materialize(rows, "model-rows")
+
+
+def fitted_on(kind):
+    """(train, test) -> test with a prediction ``p``; category codes are
+    fitted on the training rows only."""
+    def fit(train, test):
+        codes = RK.fit_codes(train, CATEGORY_COLS)
+        train, test = (RK.apply_codes(x, codes, CATEGORY_COLS) for x in (train, test))
+        return M.fit_predict(train, test, MODEL_FEATURES, "y", kind).select(
+            "row", F.col("y").cast("int").alias("y"), F.col("prediction").alias("p"))
+    return fit
+
+
+def held_out_predictions(spark, sf_dir, kind):
+    s = RK.holdout_split(model_rows(spark, sf_dir), "row", TEST_FRACTION, SPLIT_SEED)
+    return fitted_on(kind)(s.filter(F.col("part") == "train"), s.filter(F.col("part") == "test"))
 
 
 def _model(spark, sf_dir, kind):
-    """Split first, fit the category codes on the training rows only (no
-    leakage from the test rows), then train and predict."""
-    s = RK.holdout_split(ml_raw(spark, sf_dir), "doc_id", TEST_FRACTION, SPLIT_SEED)
-    train, test = s.filter(F.col("part") == "train"), s.filter(F.col("part") == "test")
-    codes = RK.fit_codes(train, ("lang", "source"))
-    train, test = (RK.apply_codes(x, codes, ("lang", "source")) for x in (train, test))
-    out = M.fit_predict(train, test, ML_FEATURES, "label", kind, seed=0)
-    return out.select("doc_id", F.col("label").cast("int").alias("label"), "prediction")
+    out = held_out_predictions(spark, sf_dir, kind)
+    return out.select("row", F.col("y").alias("label"), F.col("p").isin(0, 1).cast("int").alias("known_class"))
 
 
-@register("ml_random_forest")
+#: SQL states no trained model: the test rows, their labels, and that the prediction is a class.
+MODEL_SQL = SCORED_SQL.rstrip() + f""",
+h AS (SELECT "row", y, row_number() OVER (ORDER BY md5('{SPLIT_SEED}:' || CAST("row" AS VARCHAR)), "row") - 1 AS r,
+             count(*) OVER () AS n FROM scored)
+SELECT "row", CAST(y AS INTEGER) AS label, CAST(1 AS INTEGER) AS known_class FROM h WHERE r < ceil({TEST_FRACTION} * n)"""
+
+
+@register("ml_random_forest", MODEL_SQL)
 def q_ml_random_forest(spark, sf_dir):
     return _model(spark, sf_dir, "RF")
 
 
-@register("ml_gbt")
+@register("ml_gbt", MODEL_SQL)
 def q_ml_gbt(spark, sf_dir):
     return _model(spark, sf_dir, "XG")
 
 
-@register("ml_mlp")
+@register("ml_mlp", MODEL_SQL)
 def q_ml_mlp(spark, sf_dir):
     return _model(spark, sf_dir, "NN")
 
 
+@register("ml_cross_validation")
+def q_ml_cross_validation(spark, sf_dir):
+    """f1 of the forest per fold, fitted anew on the other folds, and the mean."""
+    folds = RK.stratified_folds(model_rows(spark, sf_dir), "y", "row", FOLDS, FOLD_SEED)
+    scored = M.cross_validated(folds, fitted_on("RF"), folds=FOLDS)
+    return Q.fold_f1(scored.join(folds.select("row", "fold"), "row"))
+
+
+@register("ml_validation")
+def q_ml_validation(spark, sf_dir):
+    """Report of the forest trained on the rows before VALIDATION_ROW, on those from it on."""
+    rows = model_rows(spark, sf_dir)
+    late = F.col("row") >= VALIDATION_ROW
+    return Q.report(materialize(fitted_on("RF")(rows.filter(~late), rows.filter(late)), "validated"))
