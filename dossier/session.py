@@ -7,10 +7,12 @@ import atexit
 import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN_DIRS: dict[str, str] = {}
+_COLLECTING: list[list[str]] = []
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
@@ -75,7 +77,20 @@ def _run_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path in this run's part of the shared folder."""
-    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _COLLECTING:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def collected_paths(into: list[str]) -> Iterator[None]:
+    """Also notes in ``into`` the paths handed out meanwhile, for their later deletion."""
+    _COLLECTING.append(into)
+    try:
+        yield
+    finally:
+        _COLLECTING.remove(into)
 
 
 def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
