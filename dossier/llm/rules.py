@@ -29,6 +29,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,15 +102,19 @@ def statistics(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, schema)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+def base_failed(of: dict[str, Column] | None = None) -> Column:
+    """Whether the base rules reject; ``of`` has the counts' columns where they aren't top-level."""
+    of = of or {c: F.col(c) for c in COUNTS}
+    return (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MAX_REPEATED * of["n_words"])
 
 
-def shares() -> list[Column]:
+def shares(of: dict[str, Column] | None = None) -> list[Column]:
     """What the forest splits on. Length and repetition are left to the base
     rules: among short clean texts they scatter as widely as in bad ones."""
+    of = of or {c: F.col(c) for c in COUNTS}
+
     def share(a: str, b: str) -> Column:
-        return F.coalesce(F.col(a) / F.when(F.col(b) > 0, F.col(b)), F.lit(0.0))
+        return F.coalesce(of[a] / F.when(of[b] > 0, of[b]), F.lit(0.0))
     return [share("word_chars", "n_words"), share("n_symbols", "word_chars"), share("n_upper", "n_letters"),
             share("n_letters", "word_chars"), share("n_marks", "word_chars")]
 
@@ -186,7 +191,8 @@ def fitted(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
     good = known.where("good").select(*[c.alias(f"x{i}") for i, c in enumerate(shares())])
     share = min(1.0, POOL / max(1, good.count()))
     drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < F.lit(share * (1 << 30))
-    pool = good.where(drawn).toPandas().to_numpy()
+    sample = good.where(drawn).toArrow()
+    pool = np.stack([c.to_numpy() for c in sample.columns], axis=1)
     if not len(pool):
         return None, 1.0
     forest = Forest(pool, TREES, DRAWN)
@@ -220,12 +226,30 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              good: str = "quality = 1") -> DataFrame:
-    """The rows of ``docs`` that are kept. The same row is always judged
-    alike, so verdicts are joined on a row number of the staged rows."""
-    rid = fresh(docs, "rid")
-    rows = stage(docs.withColumn(rid, F.monotonically_increasing_id()), "rule-docs")
-    verdicts = judged(rows, labels, id_col, text_col, good, [rid])
-    return rows.join(verdicts.where("kept").select(rid), rid, "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that are kept. Counts and scores are columns beside
+    the row (Python sees only what it needs of it), so nothing is joined and no
+    text is shuffled; the rows are staged once with their counts, so that texts
+    are read once."""
+    inside = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+
+    @F.pandas_udf(inside)
+    def counted(text: pd.Series) -> pd.DataFrame:
+        rows = [counts(t or "") for t in text]
+        return pd.DataFrame(np.array(rows, np.int64).reshape(-1, len(COUNTS)), columns=COUNTS)
+
+    own = fresh(docs, "counts")
+    rows = stage(docs.withColumn(own, counted(F.col(text_col))), "rule-docs")
+    stats = rows.select(F.col(id_col).alias("id"), f"{own}.*")
+    forest, threshold = fitted(stats, labels.select(F.col(id_col).alias("id"), F.expr(good).alias("good")))
+
+    @F.pandas_udf(T.DoubleType())
+    def anomaly(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(forest.score(x.to_numpy(float)) if forest else np.zeros(len(x)))
+
+    given = {c: F.col(own)[c] for c in COUNTS}
+    score = anomaly(F.struct(*[c.alias(f"x{i}") for i, c in enumerate(shares(given))]))
+    kept = ~base_failed(given) & (F.floor(score * BINS) < round(threshold * BINS))
+    return rows.where(kept).select(*docs.columns)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,7 +196,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     order = F.struct(F.isnull("id").alias("none"), "id", "rid")
     first = rows.groupBy("fp").agg(F.min(order).alias("o"))
     stay = grouped(rows, max_bits, segments).join(first, "fp").groupBy("root").agg(F.min("o").alias("o"))
-    return docs_n.join(stay.select(F.col("o.rid").alias(rid)), rid, "left_semi").select(*docs.columns)
+    # a row a component: not bounded, so never broadcast
+    stay = stay.select(F.col("o.rid").alias(rid)).hint("merge")
+    return docs_n.join(stay, rid, "left_semi").select(*docs.columns)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
