@@ -40,8 +40,12 @@ from dossier.llm.base import table
 BETWEEN = 3
 TOP, SIMILARITY, LEVEL, CACHE = 5, 0.8, 9, 20_000
 
-#: What a line must hold to be a candidate, in lower case.
-CUES = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain", "spdx")
+#: What a candidate must hold, in lower case. Every wording below
+#: holds one; GAP is whatever stands between two words, a line break too.
+GAP = r"[\W_]+"
+CUES = ("licen", "copyright", "permission", "warrant", "redistribut", f"public{GAP}domain", "spdx",
+        f"(?:released|distributed|available){GAP}under", f"under{GAP}the{GAP}terms{GAP}of")
+CUE = re.compile("|".join(CUES))
 
 #: How a short notice begins.
 FORMS = ("Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under",
@@ -160,12 +164,14 @@ def templates() -> tuple[zstandard.ZstdCompressor, list[Template], set[str]]:
 
 def blocks(text: str) -> Iterator[tuple[int, int, str]]:
     """(first line, last line, text) of each candidate block."""
-    lines = text.split("\n")
+    lines, low = text.split("\n"), text.lower()
+    cued, at, i = set(), 0, 0
+    for m in CUE.finditer(low):
+        i += low.count("\n", at, m.start())
+        at = m.start()
+        cued.update(range(i, i + 1 + m[0].count("\n")))
     first = last = -1
-    for i, line in enumerate(lines):
-        low = line.lower()
-        if not any(c in low for c in CUES):
-            continue
+    for i in sorted(cued):
         if first >= 0 and i - last > BETWEEN + 1:
             yield first, last, "\n".join(lines[first:last + 1])
             first = -1
@@ -218,9 +224,8 @@ def verdict(block: str) -> tuple[str, float, float, list[str]] | None:
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, first_line, last_line, license, saved, similarity, n_differences,
     differences) per confirmed block; lines count from 0."""
-    low = F.lower("text")
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cued = plain.where(functools.reduce(lambda a, b: a | b, [low.contains(c) for c in CUES]))
+    cued = plain.where(F.lower("text").rlike(CUE.pattern))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("first_line", T.IntegerType()),
                            T.StructField("last_line", T.IntegerType()), T.StructField("license", T.StringType()),
                            T.StructField("saved", T.DoubleType()), T.StructField("similarity", T.DoubleType()),

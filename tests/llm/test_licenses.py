@@ -65,3 +65,11 @@ def test_corpus(spark):
                   for i, x in enumerate(r.text.split("\n")) if x in planted)
     assert len(want) > 200
     assert sorted((r.doc_id, r.first_line, r.license) for r in L.op10_license_scans(spark, sf).collect()) == want
+
+
+def test_every_wording_passes_the_cues(spark):
+    """Each wording alone; a cue may be broken over lines."""
+    rows = [(i, w, 1, n, 1) for i, (n, w) in enumerate((n, w) for n in L.LICENSES for w in L.wordings(n))]
+    got = {r.doc_id: r.license for r in L.scanned(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+    assert [(a, b) for a, b, _ in L.blocks("x\nReleased\nunder CC BY 4.0.\nx")] == [(1, 2)]
