@@ -1,12 +1,13 @@
 """License scans by conditional compression (operator 10).
 
-Lines with a license cue, and the lines between cue lines that are near each
-other, form candidate blocks. A block is compressed alone and with each
-license's wordings as a raw zstandard dictionary; the licenses are ranked by
-the share of bytes that the dictionary saves. The wordings of the best
-``TOP`` are then compared with the block word by word. A wording is confirmed
-if ``SIMILARITY`` of the words agree and no name or number that tells licenses
-apart differs; the one with the most equal words less differing ones wins.
+The words around each license cue, as many at either side as a notice may
+have, are searched for the wordings of every license, word by word; cues near
+each other share their words, whatever else a line holds. A wording is
+confirmed if ``SIMILARITY`` of the words agree and no name or number that
+tells licenses apart differs. The stretch that it fits is compressed alone and
+with the license's wordings as a raw zstandard dictionary; the one with the
+most equal words less differing ones wins, then the one whose dictionary saves
+the largest share of bytes.
 
 Texts without a cue are put aside by Spark's own string functions. The others
 are scanned whole where they are; nothing is shuffled, so it doesn't matter
@@ -22,12 +23,15 @@ empty table gives an empty one; other columns are neither read nor returned.
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import functools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +42,9 @@ from dossier.llm.base import table
 
 #: Lines without a cue that a block may hold between two lines with one.
 BETWEEN = 3
-TOP, SIMILARITY, LEVEL, CACHE = 5, 0.8, 9, 20_000
+SIMILARITY, LEVEL, CACHE = 0.8, 9, 20_000
+#: Longer candidates are not kept in the cache.
+CACHED = 4000
 
 #: What a candidate must hold, in lower case. Every wording below
 #: holds one; GAP is whatever stands between two words, a line break too.
@@ -143,6 +149,8 @@ def normal(text: str) -> str:
 class Template:
     name: str
     forms: list[list[str]]
+    #: Per form the words that may not differ.
+    musts: list[set[str]]
     compressor: zstandard.ZstdCompressor
 
 
@@ -156,9 +164,12 @@ def compressor(content: str | None = None) -> zstandard.ZstdCompressor:
 def templates() -> tuple[zstandard.ZstdCompressor, list[Template], set[str]]:
     """The plain compressor, the licenses', and the words that tell them
     apart; built once per worker."""
-    known = [Template(n, [words(w) for w in wordings(n)], compressor("\n".join(map(normal, wordings(n)))))
-             for n in sorted(LICENSES)]
     telling = {w for names, _ in LICENSES.values() for n in names for w in words(n)} - COMMON
+    known = []
+    for n in sorted(LICENSES):
+        forms = [words(w) for w in wordings(n)]
+        known.append(Template(n, forms, [{w for w in f if w in telling or w[0].isdigit()} for f in forms],
+                              compressor("\n".join(map(normal, wordings(n))))))
     return compressor(), known, telling
 
 
@@ -188,36 +199,128 @@ def ranked(block: str) -> list[tuple[float, Template]]:
     return sorted(((1 - len(t.compressor.compress(data)) / alone, t) for t in known), key=lambda x: (-x[0], x[1].name))
 
 
-def differences(form: list[str], block: list[str]) -> tuple[int, float, list[str]]:
-    """The number and share of equal words, and the words that differ, between
-    a wording and the stretch of the block that it fits best: around their
-    longest common run, from the first to the last equal word."""
-    run = difflib.SequenceMatcher(None, form, block, autojunk=False).find_longest_match()
-    slack = len(form) // 5 + 1
-    near = block[max(0, run.b - run.a - slack):run.b - run.a + len(form) + slack]
-    ops = difflib.SequenceMatcher(None, form, near, autojunk=False).get_matching_blocks()[:-1]
-    if not ops:
-        return 0, 0.0, []
-    part = near[ops[0].b:ops[-1].b + ops[-1].size]
-    diff = difflib.SequenceMatcher(None, form, part, autojunk=False)
-    changed = [f"{sign}{w}" for tag, a, z, b, y in diff.get_opcodes() if tag != "equal"
-               for sign, ws in (("-", form[a:z]), ("+", part[b:y])) for w in ws]
-    return sum(m.size for m in diff.get_matching_blocks()), diff.ratio(), changed
+@functools.lru_cache(CACHE)
+def savings(stretch: str) -> dict[str, float]:
+    return {t.name: saved for saved, t in ranked(stretch)}
+
+
+@functools.cache
+def least_run(n: int) -> int:
+    """The longest common run that a wording of ``n`` words has at least with a similar stretch."""
+    return min(-(-equal // (n + part - 2 * equal + 1)) for part in range(1, longest(n) + 1)
+               for equal in range(1, min(n, part) + 1) if 2 * equal >= SIMILARITY * (n + part))
+
+
+def longest(n: int) -> int:
+    """The most words of a stretch that is similar to a wording of ``n`` words."""
+    return int(n * (2 / SIMILARITY - 1) + 1e-9)
+
+
+def dense(form: list[str], at: dict[str, list[int]], lo: int, hi: int) -> list[tuple[int, int]]:
+    """The parts of the block's words ``lo`` to ``hi`` where so many are the
+    wording's that a stretch may be similar: equal words less half of
+    SIMILARITY a word reach half of SIMILARITY for each of the wording."""
+    worth = np.full(hi - lo, -SIMILARITY / 2)
+    for w in set(form):
+        for i in at.get(w, ()):
+            if lo <= i < hi:
+                worth[i - lo] += 1
+    size = longest(len(form))
+    sums = np.append(0, worth.cumsum())
+    most = np.lib.stride_tricks.sliding_window_view(np.append(sums, np.full(size, sums[-1])), size + 1).max(axis=1)
+    out: list[tuple[int, int]] = []
+    for i in np.flatnonzero(most - sums >= SIMILARITY / 2 * len(form) - 1e-9).tolist():
+        end = min(hi, lo + i + size)
+        out.append((out.pop()[0] if out and out[-1][1] >= lo + i else lo + i, end))
+    return out
+
+
+def fits(form: list[str], must: set[str], block: list[str], lo: int, hi: int) -> Iterator[tuple[int, int, int, float, list[str]]]:
+    """(first word, end, number and share of equal words, words that differ) of
+    each stretch of the block's words ``lo`` to ``hi`` that the wording
+    confirms. A stretch lies around a longest common run, from the first to
+    the last equal word; the search goes on at both sides of it, or of the run
+    if that isn't confirmed."""
+    telling, slack, todo = templates()[2], len(form) // 5 + 1, [(lo, hi)]
+    while todo:
+        a, z = todo.pop()
+        if not must.issubset(block[a:z]):
+            continue
+        run = difflib.SequenceMatcher(None, form, block[a:z], autojunk=False).find_longest_match()
+        if run.size < least_run(len(form)):
+            continue
+        start = a + run.b - run.a
+        side = max(a, start - slack)
+        near = block[side:min(z, start + len(form) + slack)]
+        ops = difflib.SequenceMatcher(None, form, near, autojunk=False).get_matching_blocks()[:-1]
+        first, end = side + ops[0].b, side + ops[-1].b + ops[-1].size
+        part = block[first:end]
+        diff = difflib.SequenceMatcher(None, form, part, autojunk=False)
+        changed = [f"{sign}{w}" for tag, i, j, k, m in diff.get_opcodes() if tag != "equal"
+                   for sign, ws in (("-", form[i:j]), ("+", part[k:m])) for w in ws]
+        if diff.ratio() >= SIMILARITY and not any(w[1:] in telling or w[1].isdigit() for w in changed):
+            yield first, end, sum(m.size for m in diff.get_matching_blocks()), diff.ratio(), changed
+            todo += [(a, first), (end, z)]
+        else:
+            todo += [(a, a + run.b), (a + run.b + run.size, z)]
+
+
+Found = tuple[int, float, str, int, int, float, list[str]]
+
+
+def confirmed(block: list[str], lo: int, hi: int) -> list[Found]:
+    """(differing less equal words, - share saved, license, first word, end,
+    similarity, differing words) of each stretch that a license confirms, best first."""
+    found, at = [], defaultdict(list)
+    for i in range(lo, hi):
+        at[block[i]].append(i)
+    for t in templates()[1]:
+        for form, must in zip(t.forms, t.musts):
+            if must <= at.keys():
+                for a, z in dense(form, at, lo, hi):
+                    for first, end, equal, alike, changed in fits(form, must, block, a, z):
+                        saved = savings(" ".join(block[first:end]))[t.name]
+                        found.append((len(changed) - equal, -saved, t.name, first, end, alike, changed))
+    return sorted(found)
 
 
 @functools.lru_cache(CACHE)
+def best(near: str) -> list[Found]:
+    block = near.split(" ")
+    return confirmed(block, 0, len(block))[:1]
+
+
+def reach() -> int:
+    """Words beside a cue that may be of the same notice."""
+    return max(longest(len(f)) for t in templates()[1] for f in t.forms)
+
+
+def notices(text: str) -> list[tuple[int, int, Found]]:
+    """(first line, last line, what is confirmed) near the cues of a text."""
+    low = text.lower()
+    marks = list(TOKEN.finditer(low))
+    starts, mine = [m.start() for m in marks], [m[0] for m in marks]
+    ends = [m.start() for m in re.finditer("\n", low)]
+    near: list[tuple[int, int]] = []
+    for m in CUE.finditer(low):
+        a = max(0, bisect.bisect_right(starts, m.start()) - 1 - reach())
+        z = min(len(mine), bisect.bisect_left(starts, m.end()) + reach())
+        near.append((near.pop()[0] if near and near[-1][1] >= a else a, z))
+    out = []
+    for a, z in near:
+        words_near = " ".join(mine[a:z])
+        for f in (best if len(words_near) <= CACHED else best.__wrapped__)(words_near):
+            first, last = (bisect.bisect_left(ends, starts[a + i]) for i in (f[3], f[4] - 1))
+            out.append((first, last, f))
+    return out
+
+
 def verdict(block: str) -> tuple[str, float, float, list[str]] | None:
-    """(license, share saved, similarity, differing words) of the winner, if it is confirmed."""
-    mine, found = words(block), []
-    telling = templates()[2]
-    for saved, t in ranked(block)[:TOP]:
-        for form in t.forms:
-            equal, alike, changed = differences(form, mine)
-            if alike >= SIMILARITY and not any(w[1:] in telling or w[1].isdigit() for w in changed):
-                found.append((len(changed) - equal, -saved, t.name, alike, changed))
+    """(license, share saved, similarity, differing words) of the winner, if one is confirmed."""
+    found = [f for _, _, f in notices(block)]
     if not found:
         return None
-    _, saved, name, alike, changed = min(found)
+    _, saved, name, _, _, alike, changed = min(found)
     return name, -saved, alike, changed
 
 
@@ -237,10 +340,14 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for b in batches:
             at, found = [], []
             for i, text in enumerate(b.column("text").to_pylist()):
-                for first, last, block in blocks(text):
-                    if v := verdict(block):
-                        at.append(i)
-                        found.append((first, last, v[0], v[1], v[2], len(v[3]), " ".join(v[3])))
+                lines = text.split("\n")
+                for first, last, _ in blocks(text):
+                    # a notice may go on in the lines beside its cue's
+                    above = max(0, first - BETWEEN)
+                    for a, z, (_, saved, name, _, _, alike, changed) in notices("\n".join(lines[above:last + BETWEEN + 1])):
+                        if above + a <= last and above + z >= first:
+                            at.append(i)
+                            found.append((above + a, above + z, name, -saved, alike, len(changed), " ".join(changed)))
             columns = list(zip(*found)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(pa.array(at, pa.int64()))] + [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:])],

@@ -1,5 +1,7 @@
 """Op10: planted wordings, changed wordings, look-alikes."""
 
+import random
+
 from dossier.llm import licenses as L
 
 SCHEMA = "doc_id long, text string, id int, license string, First_Line int"
@@ -73,3 +75,12 @@ def test_every_wording_passes_the_cues(spark):
     got = {r.doc_id: r.license for r in L.scanned(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {r[0]: r[3] for r in rows}
     assert [(a, b) for a, b, _ in L.blocks("x\nReleased\nunder CC BY 4.0.\nx")] == [(1, 2)]
+
+
+def test_every_wording_inside_a_long_line():
+    rng = random.Random(2)
+    syllables = ["er", "lyt", "ion", "thae", "ous", "esh", "at", "in", "re"]
+    for name in L.LICENSES:
+        for w in L.wordings(name):
+            left, right = (" ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(n)) for n in (2500, 2500))
+            assert L.verdict(f"{left} {w} {right}")[0] == name, w
