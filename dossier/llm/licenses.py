@@ -15,9 +15,9 @@ how often a block or a source occurs. Equal blocks are looked up in a bounded
 cache of the worker.
 
 Inputs and their results: a null or empty text has no license; whole texts of
-any length are scanned; a block of several licenses names the best one for
-each of its parts between lines without a cue; equal scores go by the name of
-the license; repeated rows give the same rows again; a null id is kept; an
+any length are scanned; several notices give a row each, on one line or next
+to each other, and of those that overlap only the best; equal scores go by the
+name of the license; repeated rows give the same rows again; a null id is kept; an
 empty table gives an empty one; other columns are neither read nor returned.
 """
 
@@ -285,9 +285,22 @@ def confirmed(block: list[str], lo: int, hi: int) -> list[Found]:
 
 
 @functools.lru_cache(CACHE)
-def best(near: str) -> list[Found]:
+def apart(near: str) -> list[Found]:
+    """The confirmed stretches that don't overlap a better one; what is left
+    between them is searched again."""
     block = near.split(" ")
-    return confirmed(block, 0, len(block))[:1]
+    todo, out = [(0, len(block))], []
+    while todo:
+        lo, hi = todo.pop()
+        taken: list[tuple[int, int]] = []
+        for f in confirmed(block, lo, hi):
+            at = bisect.bisect(taken, (f[3], f[4]))
+            if (at == 0 or taken[at - 1][1] <= f[3]) and (at == len(taken) or f[4] <= taken[at][0]):
+                taken.insert(at, (f[3], f[4]))
+                out.append(f)
+        if taken:
+            todo += zip([lo, *(z for _, z in taken)], [*(a for a, _ in taken), hi])
+    return out
 
 
 def reach() -> int:
@@ -309,7 +322,7 @@ def notices(text: str) -> list[tuple[int, int, Found]]:
     out = []
     for a, z in near:
         words_near = " ".join(mine[a:z])
-        for f in (best if len(words_near) <= CACHED else best.__wrapped__)(words_near):
+        for f in (apart if len(words_near) <= CACHED else apart.__wrapped__)(words_near):
             first, last = (bisect.bisect_left(ends, starts[a + i]) for i in (f[3], f[4] - 1))
             out.append((first, last, f))
     return out
@@ -326,7 +339,7 @@ def verdict(block: str) -> tuple[str, float, float, list[str]] | None:
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, first_line, last_line, license, saved, similarity, n_differences,
-    differences) per confirmed block; lines count from 0."""
+    differences) per confirmed notice; lines count from 0."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cued = plain.where(F.lower("text").rlike(CUE.pattern))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("first_line", T.IntegerType()),

@@ -84,3 +84,24 @@ def test_every_wording_inside_a_long_line():
         for w in L.wordings(name):
             left, right = (" ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(n)) for n in (2500, 2500))
             assert L.verdict(f"{left} {w} {right}")[0] == name, w
+
+
+def test_several_notices(spark):
+    """Next to each other, on one line, far apart on one line, changed beside a decoy; a notice with its cue a line before."""
+    two = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0."]
+    far = two[0] + " " + (FILLER + " ") * 300 + L.wordings("GPL-2.0")[-1] + " " + (FILLER + " ") * 300 + two[1]
+    listed = [f"Licensed under {names[0]}." for names, _ in L.LICENSES.values()]
+    decoy = ("Licensed under the Apache License, Version 1.1, or licensed under the newer Apache License, Version 2.0.")
+    texts = ["\n".join(two), " ".join(two), far, "; ".join(listed), "\n".join(listed * 2), decoy, "Licensed under\nCC BY 4.0.",
+             two[0] + " " + L.wordings("MIT")[-1]]
+    want = [["Apache-2.0", "MIT"]] * 2 + [["Apache-2.0", "GPL-2.0", "MIT"], sorted(L.LICENSES), sorted([*L.LICENSES] * 2),
+                                          ["Apache-2.0"], ["CC-BY-4.0"], ["MIT", "MIT"]]
+    out = L.scanned(spark.createDataFrame([(i, t, 1, "", 1) for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert [sorted(r.license for r in out if r.doc_id == i) for i in range(len(texts))] == want
+    assert sorted((r.first_line, r.last_line, r.license) for r in out if r.doc_id == 0) == [(0, 0, "MIT"), (1, 1, "Apache-2.0")]
+    assert [r.first_line for r in sorted((r for r in out if r.doc_id == 4), key=lambda r: r.first_line)] == [*range(2 * len(listed))]
+
+
+def test_many_notices_in_bounded_time():
+    text = "\n".join(f"part {i}: {w}" for i, w in enumerate([w for n in L.LICENSES for w in L.wordings(n)] * 2))
+    assert len(L.notices(text)) >= 650
