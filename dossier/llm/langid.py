@@ -15,7 +15,10 @@ where the next phrase begins, with a mark. Texts are cut into blocks of
 ``BLOCK`` characters (a phrase never crosses a block) and all blocks of a
 batch advance together, one letter a step, by array lookups. Tables are
 broadcast: their size is languages x ``SAMPLE`` characters, whatever the
-corpus; more than ``MAX_LANGUAGES`` languages are an error. Whole texts count.
+corpus. Up to ``MAX_LANGUAGES`` learned languages take one pass; more are
+taken in groups of so many, one group's tables in memory at a time: the texts
+are staged with a row number, each pass adds a row's best language and the sum
+of its score, and these are merged by row. Whole texts count.
 
 Learning reads only rows with a language and a remainder of crc32(id) modulo 3
 other than 1. The sample takes about ``PARTS`` texts drawn by hash, each cut at ``PART``
@@ -31,22 +34,26 @@ are neither read nor returned.
 
 from __future__ import annotations
 
+import functools
 import pickle
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dossier.llm.base import fold, table
+from dossier.llm.base import count_over, fold, numbered, stage, table
 
 SAMPLE, PART, PARTS = 40_000, 2000, 800
 BLOCK, AT_ONCE, SPAN = 1024, 4096, 100
-#: Each table takes some 15 MB of a Python worker.
+#: Languages whose tables are in memory at a time: each takes some 15 MB of a Python worker.
 MAX_LANGUAGES = 30
+#: So many languages are few enough to broadcast their counts.
+FEW = 100_000
 HELD_OUT, FOLDS = 1, 3
 UNKNOWN = "und"
 #: A letter that the sample lacks, the break between words, and the first letter.
@@ -152,28 +159,24 @@ def samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
     parts = learn.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, PART).alias("text"))
     parts = parts.where("text != ''").withColumn("h", F.xxhash64("text"))
     # the share of the hash range that holds about PARTS distinct parts
-    counts = parts.groupBy("lang").agg(F.count_distinct("h").alias("n")).select(
-        "lang", F.least(F.lit(1.0), F.lit(PARTS) / F.col("n")).alias("share"))
+    counts = stage(parts.groupBy("lang").agg(F.count_distinct("h").alias("n")).select(
+        "lang", F.least(F.lit(1.0), F.lit(PARTS) / F.col("n")).alias("share")), "languages")
+    few = not count_over(docs.sparkSession, counts, FEW)
     drawn = F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)
-    # counts has a row a language, at most MAX_LANGUAGES
-    chosen = parts.join(F.broadcast(counts), "lang").where(drawn).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    chosen = parts.join(F.broadcast(counts) if few else counts, "lang").where(drawn).groupBy("lang", "h").agg(F.min("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("h")
     before = F.sum(F.length("text")).over(order) - F.length("text")
     return chosen.withColumn("before", before).where(F.col("before") < SAMPLE).select("lang", "h", "text")
 
 
-def parsers(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, Parser]:
-    """A parser per learned language, by name."""
-    langs = docs.select(lang_col).distinct().limit(MAX_LANGUAGES + 2).count()
-    if langs > MAX_LANGUAGES + 1:  # one of them may be null
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-
+def parsers(sample: DataFrame) -> dict[str, Parser]:
+    """A parser per language of the sample, by name."""
     def build(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.sort_by("h")
         letters = np.concatenate([np.append(Folder.codes(x), np.uint32(BREAK)) for x in t.column("text").to_pylist()])
         return pa.table({"lang": [key[0].as_py()], "parser": pa.array([pickle.dumps(Parser(letters[:SAMPLE]))], pa.binary())})
 
-    rows = samples(docs, id_col, text_col, lang_col).groupBy("lang").applyInArrow(build, "lang string, parser binary")
+    rows = sample.groupBy("lang").applyInArrow(build, "lang string, parser binary")
     return {r.lang: pickle.loads(r.parser) for r in sorted(rows.collect())}
 
 
@@ -207,32 +210,66 @@ def entropies(texts: list[str], models: list[Parser]) -> np.ndarray:
     return total / sizes[:, None]
 
 
-def predicted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, held_out, lang_pred, score) per row."""
-    found = parsers(docs, id_col, text_col, lang_col)
-    shared = docs.sparkSession.sparkContext.broadcast(list(found.values()))
-    names = list(found)
+def parsed(texts: DataFrame, models: Broadcast[dict[str, Parser]]) -> DataFrame:
+    """``texts`` with bits instead of the text, those a letter of the best of
+    the models, lang, its name, and total, the sum of which the score is the
+    inverse; null for a text without a letter."""
+    kept = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = list(models.value)
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            bits = entropies(texts, shared.value)
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            bits = entropies([t or "" for t in b.column("text").to_pylist()], list(models.value.values()))
+            least: list[tuple] = [(None, None, None)] * len(bits)
             for i in np.flatnonzero(bits.any(axis=1)):
                 k = int(bits[i].argmin())
-                langs[i], scores[i] = names[k], float(1 / np.exp2((bits[i, k] - bits[i]) * SPAN).sum())
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             ["id", "lang_pred", "score"])
-
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+                least[i] = float(bits[i, k]), names[k], float(np.exp2((bits[i, k] - bits[i]) * SPAN).sum())
+            columns = list(zip(*least)) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in kept), pa.array(columns[0], pa.float64()), pa.array(columns[1], pa.string()),
+                 pa.array(columns[2], pa.float64())], [*kept, "bits", "lang", "total"])
+
+    schema = T.StructType([*(texts.schema[c] for c in kept), T.StructField("bits", T.DoubleType()),
+                           T.StructField("lang", T.StringType()), T.StructField("total", T.DoubleType())])
+    return texts.mapInArrow(run, schema)
+
+
+def merged(passes: list[DataFrame], rid: str) -> DataFrame:
+    """The rows of all passes over different languages as one a row number."""
+    rows = functools.reduce(DataFrame.union, passes)
+    best = F.min(F.when(F.col("bits").isNotNull(), F.struct("bits", "lang"))).alias("best")
+    rows = rows.groupBy(rid).agg(F.first("id").alias("id"), best, F.collect_list(F.struct("bits", "total")).alias("parts"))
+    total = F.aggregate("parts", F.lit(0.0), lambda n, p: n + p["total"] * F.pow(F.lit(2.0), (F.col("best.bits") - p["bits"]) * SPAN))
+    return rows.select("id", F.col("best.lang").alias("lang"), total.alias("total"))
+
+
+def predicted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              limit: int | None = MAX_LANGUAGES) -> DataFrame:
+    """(id, held_out, lang_pred, score) per row. More distinct languages than
+    ``limit`` are an error; with None there may be any number."""
+    if limit is not None and docs.select(lang_col).distinct().limit(limit + 2).count() > limit + 1:  # one of them may be null
+        raise ValueError(f"more than {limit} languages")
+    sc = docs.sparkSession.sparkContext
+    sample = stage(samples(docs, id_col, text_col, lang_col), "language-samples")
+    names = sorted(r.lang for r in sample.select("lang").distinct().collect())
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if len(names) <= MAX_LANGUAGES:
+        rows = parsed(texts, sc.broadcast(parsers(sample)))
+    else:
+        texts, rid = numbered(texts, "language-texts")
+        passes = []
+        for at in range(0, len(names), MAX_LANGUAGES):
+            models = sc.broadcast(parsers(sample.where(F.col("lang").isin(names[at:at + MAX_LANGUAGES]))))
+            passes.append(stage(parsed(texts, models), "language-pass"))
+            models.destroy()
+        rows = merged(passes, rid)
     return rows.select(F.col("id").alias(id_col), F.coalesce(fold("id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
-                       "lang_pred", "score")
+                       F.coalesce("lang", F.lit(UNKNOWN)).alias("lang_pred"),
+                       F.coalesce(1 / F.col("total"), F.lit(0.0)).alias("score"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predicted(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return predicted(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), limit=None)
 
 
 QUERIES = {"op9_language_id": op9_language_id}

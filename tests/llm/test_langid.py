@@ -89,3 +89,16 @@ def test_edges(spark):
     many = spark.createDataFrame([(i, "a", f"l{i}", 0, "") for i in range(40)], SCHEMA)
     with pytest.raises(ValueError):
         L.predicted(many)
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    """In groups as in one pass; more than MAX_LANGUAGES are no error without a limit."""
+    rows = [(i, f"{chr(97 + i % 40 // 2)}{'xyz'[i % 3]}{i % 40} " .translate({48 + d: 107 + d for d in range(10)}) * 20, f"l{i % 40}", 0, "")
+            for i in range(200)]
+    rows += [(900, None, None, 0, ""), (901, "123", "l1", 0, ""), (None, "ax b", None, 0, ""), (1, rows[1][1], "l1", 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    grouped = sorted(map(str, ((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in L.predicted(docs, limit=None).collect())))
+    assert len(grouped) == len(rows) and len({g.split(", ")[2] for g in grouped}) > L.MAX_LANGUAGES
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 50)
+    whole = sorted(map(str, ((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in L.predicted(docs, limit=None).collect())))
+    assert grouped == whole
