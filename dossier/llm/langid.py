@@ -25,7 +25,7 @@ other than 1. The sample takes about ``PARTS`` texts drawn by hash, each cut at
 characters so that no single document fills it, up to ``SAMPLE`` characters.
 
 Inputs and their results: null or empty texts and those without a letter are
-``und`` with score 0; very long texts are parsed whole; repeated rows get the
+``und`` with score 0, whatever marks, symbols or digits they have; very long texts are parsed whole; repeated rows get the
 same result and count once in the sample; a null id is neither learned from
 nor held out; languages of equal entropy go by name; with nothing to learn
 from every text is ``und``; an empty table gives an empty one; other columns
@@ -63,26 +63,34 @@ SHIFT = 28
 TABLE_END = 0x110000
 
 
-def lowered() -> np.ndarray:
-    """Code point to that of its lower-case letter; the break for non-letters.
-    Letters beyond the basic plane stand for themselves."""
-    out = np.arange(TABLE_END, dtype=np.uint32)
-    for c in range(0x10000):
-        ch = chr(c)
-        low = ch.lower()
-        out[c] = ord(low[0]) if unicodedata.category(ch)[0] in "LM" else BREAK
-    return out
+def lowered() -> tuple[np.ndarray, np.ndarray]:
+    """Code point to that of its lower-case letter, the break for all but
+    letters and their marks; and whether it is a letter."""
+    out = np.full(TABLE_END, BREAK, np.uint32)
+    letter = np.zeros(TABLE_END, bool)
+    for c in range(TABLE_END):
+        kind = unicodedata.category(ch := chr(c))[0]
+        if kind in "LM":
+            out[c] = ord(ch.lower()[0])
+            letter[c] = kind == "L"
+    return out, letter
 
 
 class Folder:
-    """The lazily built table, once per process."""
-    table: np.ndarray | None = None
+    """The lazily built tables, once per process."""
+    tables: tuple[np.ndarray, np.ndarray] | None = None
+
+    @classmethod
+    def read(cls, text: str) -> tuple[np.ndarray, bool]:
+        """The text's folded letters, and whether it has any."""
+        if cls.tables is None:
+            cls.tables = lowered()
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        return cls.tables[0][points], bool(cls.tables[1][points].any())
 
     @classmethod
     def codes(cls, text: str) -> np.ndarray:
-        if cls.table is None:
-            cls.table = lowered()
-        return cls.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+        return cls.read(text)[0]
 
 
 def automaton(letters: list[int]) -> list[dict[int, int]]:
@@ -198,8 +206,8 @@ def entropies(texts: list[str], models: list[Parser]) -> np.ndarray:
         held.clear()
 
     for i, text in enumerate(texts):
-        letters = Folder.codes(text)
-        if (letters != BREAK).any():
+        letters, any_letter = Folder.read(text)
+        if any_letter:
             sizes[i] = len(letters)
             for at in range(0, len(letters), BLOCK):
                 held.append((i, letters[at:at + BLOCK]))

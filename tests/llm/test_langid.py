@@ -102,3 +102,11 @@ def test_any_number_of_languages(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_LANGUAGES", 50)
     whole = sorted(map(str, ((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in L.predicted(docs, limit=None).collect())))
     assert grouped == whole
+
+
+def test_letters_beyond_the_basic_plane():
+    """Symbols and marks alone are no letters; letters fold and count."""
+    models = [L.Parser(L.Folder.codes("ab abc cab b"))]
+    assert not L.entropies(["\U0001F600\U0001F680 \U0001F600", "\u0301\u0302", "\U0001D7D8\U0001D6C1", "\U0010FFFF"], models).any()
+    assert L.entropies(["\U00010400", "a\u0301", "\U00020000"], models).all()
+    assert L.Folder.codes("\U00010400\U0001F600").tolist() == [0x10428, L.BREAK]
