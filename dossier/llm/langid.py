@@ -21,8 +21,9 @@ are staged with a row number, each pass adds a row's best language and the sum
 of its score, and these are merged by row. Whole texts count.
 
 Learning reads only rows with a language and a remainder of crc32(id) modulo 3
-other than 1. The sample takes about ``PARTS`` texts drawn by hash, each cut at ``PART``
-characters so that no single document fills it, up to ``SAMPLE`` characters.
+other than 1. The sample takes about ``PARTS`` texts drawn by hash, of each ``PART``
+characters at a place that its hash gives, so that neither a single document
+nor what all begin with fills it, up to ``SAMPLE`` characters.
 
 Inputs and their results: null or empty texts and those without a letter are
 ``und`` with score 0, whatever marks, symbols or digits they have; very long texts are parsed whole; repeated rows get the
@@ -164,7 +165,9 @@ def samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
     """(lang, h, text): distinct parts drawn by their hash, about SAMPLE
     characters a language. Only hashes of all rows are shuffled."""
     learn = docs.where((fold(id_col, FOLDS) != HELD_OUT) & F.col(lang_col).isNotNull())
-    parts = learn.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, PART).alias("text"))
+    places = F.greatest(F.length(text_col) - PART, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64(text_col), places) + 1).cast("int")
+    parts = learn.select(F.col(lang_col).alias("lang"), F.substring(text_col, start, F.lit(PART)).alias("text"))
     parts = parts.where("text != ''").withColumn("h", F.xxhash64("text"))
     # the share of the hash range that holds about PARTS distinct parts
     counts = stage(parts.groupBy("lang").agg(F.count_distinct("h").alias("n")).select(

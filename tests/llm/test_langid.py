@@ -110,3 +110,14 @@ def test_letters_beyond_the_basic_plane():
     assert not L.entropies(["\U0001F600\U0001F680 \U0001F600", "\u0301\u0302", "\U0001D7D8\U0001D6C1", "\U0010FFFF"], models).any()
     assert L.entropies(["\U00010400", "a\u0301", "\U00020000"], models).all()
     assert L.Folder.codes("\U00010400\U0001F600").tolist() == [0x10428, L.BREAK]
+
+
+def test_sample_reads_beyond_a_shared_beginning(spark):
+    banner = "the cat and the dog sit here " * 80  # longer than a part
+    rows = [(i, banner + f"der hund und katze nummer {chr(97 + i)} " * 300, "de", 0, "") for i in range(26)]
+    rows += [(100 + i, "the cat and a mouse " * 30 + chr(97 + i), "en", 0, "") for i in range(26)]
+    docs = spark.createDataFrame([*rows, (900, "der hund und katze " * 5, None, 0, ""), (901, "the cat and the mouse", None, 0, "")], SCHEMA)
+    parts = L.samples(docs, "doc_id", "text", "lang").where("lang = 'de'").collect()
+    assert sum("hund" in r.text for r in parts) > len(parts) / 2 and all(len(r.text) == L.PART for r in parts)
+    got = {r.doc_id: r.lang_pred for r in L.predicted(docs).collect()}
+    assert got[900] == "de" and got[901] == "en"
