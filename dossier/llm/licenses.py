@@ -277,7 +277,10 @@ def confirmed(block: list[str], lo: int, hi: int) -> list[Found]:
     for t in templates()[1]:
         for form, must in zip(t.forms, t.musts):
             if must <= at.keys():
-                for a, z in dense(form, at, lo, hi):
+                size = longest(len(form))
+                # overlapping windows, so that the time is linear: each stretch is whole in one
+                near = [(i, min(z, i + 2 * size)) for a, z in dense(form, at, lo, hi) for i in range(a, max(a + 1, z - size), size)]
+                for a, z in near:
                     for first, end, equal, alike, changed in fits(form, must, block, a, z):
                         saved = savings(" ".join(block[first:end]))[t.name]
                         found.append((len(changed) - equal, -saved, t.name, first, end, alike, changed))
@@ -292,6 +295,8 @@ def apart(near: str) -> list[Found]:
     todo, out = [(0, len(block))], []
     while todo:
         lo, hi = todo.pop()
+        if lo == hi:
+            continue
         taken: list[tuple[int, int]] = []
         for f in confirmed(block, lo, hi):
             at = bisect.bisect(taken, (f[3], f[4]))

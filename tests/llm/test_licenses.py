@@ -105,3 +105,5 @@ def test_several_notices(spark):
 def test_many_notices_in_bounded_time():
     text = "\n".join(f"part {i}: {w}" for i, w in enumerate([w for n in L.LICENSES for w in L.wordings(n)] * 2))
     assert len(L.notices(text)) >= 650
+    same = L.notices("Released under the MIT License.\n" * 2000)
+    assert [(a, z, f[2]) for a, z, f in sorted(same)] == [(i, i, "MIT") for i in range(2000)]
