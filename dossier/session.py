@@ -15,6 +15,12 @@ _RUN_DIRS: dict[str, str] = {}
 _COLLECTING: list[list[str]] = []
 
 
+def half_memory() -> str:
+    """Half of the machine's memory, 16 GB at most: the rest is for Python workers."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return f"{max(1024, min(16 << 10, total // (2 << 20)))}m"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "dossier") -> SparkSession:
     """Session for tests and the bench. On a cluster, the cluster's own
@@ -30,7 +36,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("DOSSIER_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("DOSSIER_DRIVER_MEMORY") or half_memory())
         .config("spark.speculation", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -18,6 +18,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from dossier.session import get_spark
+    os.environ.setdefault("DOSSIER_DRIVER_MEMORY", "3g")
     s = get_spark("local[4]", shuffle_partitions=8)
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="test-stages-"))
     yield s
