@@ -47,3 +47,16 @@ def count_over(spark: SparkSession, df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has more than ``limit`` rows, read no further than that."""
     return df.limit(limit + 1).count() > limit
 
+
+#: DuckDB has no crc32: its table of 256 steps (``steps.t``), as common tables of
+#: a WITH RECURSIVE. Fixed value: the polynomial of zlib's crc32.
+CRC_SQL = """crc(b, c, k) AS (
+  SELECT i::UBIGINT, i::UBIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+steps AS (SELECT list(c ORDER BY b) AS t FROM crc WHERE k = 8)"""
+
+
+def crc32_sql(expr: str) -> str:
+    """DuckDB SQL for crc32 of an ASCII string, beside ``steps``."""
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({expr}, ''), "
+            "lambda x: ascii(x)::UBIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)")
