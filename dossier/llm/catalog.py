@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and their DuckDB SQL."""
+"""The queries op1 to op13 and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import brown, decontaminate, langid, licenses, linededup, packing, quality, rules, simhash, warc
+from dossier.llm import (brown, conversation, decontaminate, langid, licenses, linededup, merkle, packing, pieces,
+                         quality, rules, simhash, warc)
 
-MODULES = (linededup, packing, warc, brown, rules, decontaminate, quality, simhash, langid, licenses)
+MODULES = (linededup, packing, warc, brown, rules, decontaminate, quality, simhash, langid, licenses, pieces, merkle,
+           conversation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
