@@ -140,7 +140,7 @@ def _topk_schema():
                           TY.StructField("t_label", TY.IntegerType()), TY.StructField("d2", TY.DoubleType())])
 
 
-def _nearest(qm: np.ndarray, tm: np.ndarray, tid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def nearest_rows(qm: np.ndarray, tm: np.ndarray, tid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Exact squared distances and places of the k nearest rows of ``tm`` for
     each row of ``qm`` (ties by ``tid``). Products give rough distances, off
     by the rounding of large terms; a few more than k of the least are
@@ -188,7 +188,7 @@ def _cell_topk(k: int):
             best_d, best_t = np.full((len(qm), 0), np.inf), np.zeros((len(qm), 0), np.int64)
             for t0 in range(0, len(tid), 8 * KNN_SLICE):
                 tm = np.stack(tv[t0:t0 + 8 * KNN_SLICE]).astype(np.float64)
-                d, at = _nearest(qm, tm, tid[t0:t0 + 8 * KNN_SLICE], k)
+                d, at = nearest_rows(qm, tm, tid[t0:t0 + 8 * KNN_SLICE], k)
                 cd, ct = np.hstack([best_d, d]), np.hstack([best_t, at + t0])
                 order = np.lexsort((tid[ct], cd), axis=1)[:, :k]   # by distance, then id
                 best_d, best_t = np.take_along_axis(cd, order, 1), np.take_along_axis(ct, order, 1)

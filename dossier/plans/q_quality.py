@@ -8,6 +8,7 @@ from dossier.operators import ml as M
 from dossier.operators import parse as P
 from dossier.operators import quality as Q
 from dossier.operators import ranking as RK
+from dossier.operators.knn import knn_pivots
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register
@@ -256,7 +257,7 @@ best AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY votes DESC, t_l
 
 def _knn(spark, sf_dir):
     train, test = vectors(spark, sf_dir)
-    pred = Q.knn_vote(Q.knn_neighbours(train, test, k=KNN_K))
+    pred = Q.knn_vote(knn_pivots(train, test, k=KNN_K))
     return pred.join(test.select(F.col("vec_id").alias("q_id"), F.col("label").alias("actual")), "q_id")
 
 
