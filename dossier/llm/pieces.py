@@ -11,9 +11,10 @@ the text. Three facts carry it:
 * So at most one sequence ends at any place of the text, and a place that was
   once found to lead nowhere stays so: a bitfield keeps these places, and a
   text takes time in proportion to its length.
-* No piece goes on after a character with the mark of a blank, so a text falls
-  into segments (blanks and the word after them) that are encoded one by one;
-  ``Model`` checks this of the file, and takes the text whole where it fails.
+* Where no piece holds two neighbouring characters side by side, no merge can
+  cross between them. So a text falls into segments that are encoded one by one
+  (``segments``); the borders are read off the file's pieces, and nothing is
+  assumed of words.
 
 The pieces that start at each place, longest first, come from an Aho-Corasick
 automaton of the reversed pieces over the reversed segment. The longest goes
@@ -39,7 +40,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import public_tokenizers
@@ -53,12 +54,43 @@ from dossier.llm.base import table
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: The library's mark for a blank.
 BLANK = "▁"
-#: Blanks and what follows them up to the next blank.
-SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 #: Segments and pairs a Python worker keeps before it starts anew, and the
 #: longest segment it keeps (about 100 MB in all).
-CACHE, KEPT_CHARS = 300_000, 64
+CACHE, KEPT_CHARS = 250_000, 64
 ROWS = 500
+GROUPS = 12
+NONE: dict[str, bool] = {}
+
+
+def segments(pieces: Iterable[str]) -> re.Pattern[str]:
+    """A pattern that cuts a text only where no piece can stand across the cut.
+
+    Characters that stand side by side in some piece belong together; groups of
+    such characters (letters of a script, say) never merge with each other. A
+    segment is blanks and a run of one group after them; the largest ``GROUPS``
+    are told apart, all other characters that merge make one more group, and
+    those that never merge the last. If a piece has a blank after another
+    character, a text stays whole."""
+    group: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while group.setdefault(c, c) != c:
+            group[c] = group[group[c]]
+            c = group[c]
+        return c
+    for p in pieces:
+        bare = p.lstrip(BLANK)
+        if BLANK in bare:
+            return re.compile("(?s).+")
+        for a, b in zip(bare, bare[1:] or bare * (p != bare), strict=False):
+            group[top(a)] = top(b)
+    members: dict[str, list[str]] = {}
+    for c in group:
+        members.setdefault(top(c), []).append(c)
+    ranked = sorted(members.values(), key=lambda m: (-len(m), m))
+    named = [*ranked[:GROUPS], [c for m in ranked[GROUPS:] for c in m]]
+    classes = [re.escape("".join(sorted(m))) for m in named if m]
+    return re.compile("|".join([*(f"{BLANK}*[{c}]+" for c in classes), f"{BLANK}+", f"[^{BLANK}{''.join(classes)}]+"]))
 
 
 class Model:
@@ -80,7 +112,7 @@ class Model:
         if "".join(lib.encode_as_pieces("  x  \ufb01")) != f"{self.prefix}{BLANK * 2}x{BLANK * 2}\ufb01".replace(
                 "\ufb01", "".join(f"<0x{b:02X}>" for b in "\ufb01".encode()) if "\ufb01" not in self.ids else "\ufb01"):
             raise ValueError("a file that changes texts before it parts them is not supported")
-        self.parted = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.ids)
+        self.segment = segments(self.ids)
         # a piece that its own characters don't merge to never occurs
         self.reach = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
         #: Per piece: itself and the pieces it begins with, longest first, to its first character.
@@ -89,8 +121,13 @@ class Model:
         for p in self.reach:
             self.trie.add_word(p[::-1], self.choices[p])
         self.trie.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.bytes_of = [bytes([self.value[i]]) if i in self.value else self.piece.get(i, "").replace(BLANK, " ").encode()
+                         for i in ids]
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
+        #: Segments met, and those met before them: when the first is full, it becomes the second.
         self.segments: dict[str, tuple[str, int, bytes]] = {}
+        self.before: dict[str, tuple[str, int, bytes]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merging by its definition: the neighbours whose union has the best
@@ -108,40 +145,48 @@ class Model:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether the two stay as they are when their characters are merged anew."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > 4 * CACHE:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+        if self.n_pairs > 4 * CACHE:
+            self.pairs.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        known = self.merged(left + right) == [left, right]
+        self.pairs.setdefault(left, {})[right] = known
         return known
 
     def cut(self, text: str) -> list[str]:
         """The pieces of ``text``, and single characters where no piece starts."""
-        n = len(text)
-        starting: list[list[str] | None] = [None] * n
-        for end, choice in self.trie.iter(text[::-1]):  # the longest that ends there comes first
-            if starting[n - 1 - end] is None:
-                starting[n - 1 - end] = choice
-        failed = bytearray(n // 8 + 1)
+        end = len(text)
+        # the longest piece that ends at a place of the reversed text comes first of those there
+        starting = dict(list(self.trie.iter(text[::-1]))[::-1])
+        failed: bytearray | None = None
         found: list[str] = []
         ranks: list[int] = []  # which of the pieces that start there each of ``found`` is
         at = rank = 0
-        while at < n:
-            choice = starting[at] or text[at]
-            while rank < len(choice):
-                p, end = choice[rank], at + len(choice[rank])
-                if not failed[end >> 3] >> (end & 7) & 1 and (not found or self.fits(found[-1], p)):
-                    break
+        fitting: dict[str, bool] | None = None  # what is known to fit the last of ``found``
+        while at < end:
+            choice = starting.get(end - 1 - at) or text[at]
+            size = len(choice)
+            while rank < size:
+                p = choice[rank]
+                if failed is None or not failed[at + len(p) >> 3] >> (at + len(p) & 7) & 1:
+                    if fitting is None:
+                        break
+                    fits = fitting.get(p)
+                    if self.fits(found[-1], p) if fits is None else fits:
+                        break
                 rank += 1
-            if rank < len(choice):
-                found.append(choice[rank])
+            if rank < size:
+                found.append(p)
                 ranks.append(rank)
-                at, rank = at + len(choice[rank]), 0
+                at, rank = at + len(p), 0
             else:
+                if failed is None:
+                    failed = bytearray(end // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 if not found:
                     raise ValueError("a text that merging cannot have made")
                 at, rank = at - len(found.pop()), ranks.pop() + 1
+            fitting = self.pairs.get(found[-1], NONE) if found else None
         return found
 
     def encode(self, segment: str) -> list[int]:
@@ -156,30 +201,38 @@ class Model:
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         """The text of ``ids`` in UTF-8, the dummy blank still before it."""
-        return b"".join([bytes([self.value[i]]) if i in self.value else
-                         self.piece[i].replace(BLANK, " ").encode() for i in ids])
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The library's ``decode(ids)`` for ids that ``encode`` can give."""
         raw = self.decode_bytes(ids)
         return (raw[1:] if self.prefix and raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
-    def text(self, text: str) -> Iterator[tuple[str, int, bytes]]:
+    def text(self, text: str) -> list[tuple[str, int, bytes]]:
         """Per segment: its ids as decimals with commas between, their number, and
         what they decode to."""
         if not text:
-            return
-        marked = self.prefix + text.replace(" ", BLANK)
-        for segment in SEGMENT.findall(marked) if self.parted else [marked]:
-            got = self.segments.get(segment)
-            if got is None:
-                ids = self.encode(segment)
-                got = ",".join(map(str, ids)), len(ids), self.decode_bytes(ids)
-                if len(segment) <= KEPT_CHARS:
-                    if len(self.segments) > CACHE:
-                        self.segments.clear()
-                    self.segments[segment] = got
-            yield got
+            return []
+        if len(self.segments) > CACHE:
+            self.segments, self.before = {}, self.segments
+        known = self.segments
+        found = self.segment.findall(self.prefix + text.replace(" ", BLANK))
+        out = list(map(known.get, found))
+        if None in out:
+            for at, got in enumerate(out):
+                if got is None:
+                    segment = found[at]
+                    out[at] = known.get(segment) or self.met(segment)
+        return out
+
+    def met(self, segment: str) -> tuple[str, int, bytes]:
+        got = self.before.get(segment)
+        if got is None:
+            ids = self.encode(segment)
+            got = ",".join(map(str, ids)), len(ids), self.decode_bytes(ids)
+        if len(segment) <= KEPT_CHARS:
+            self.segments[segment] = got
+        return got
 
     def ids_of(self, text: str) -> list[int]:
         return [int(i) for part, _, _ in self.text(text) for i in part.split(",")]
@@ -216,7 +269,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         for b in batches:
             n, ids_hash, text_hash = [], [], []
             for text in b.column(1).to_pylist():
-                parts = list(m.text(text or ""))
+                parts = m.text(text or "")
                 raw = b"".join([p[2] for p in parts])
                 n.append(sum([p[1] for p in parts]))
                 ids_hash.append(hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest())
