@@ -1,8 +1,8 @@
 """A document table plus the expression that yields each document's text.
 
-The text is computed where it is used: over every document when linking,
-and only for linked documents (once each) when cutting excerpts, so the
-expensive HTML -> text rewrite never runs twice over the corpus."""
+The text is computed where it is used. A run that uses it twice, for linking
+and for excerpts, writes it once (``staged``), so the expensive HTML -> text
+rewrite never runs twice over a document."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.operators.joins import checked_broadcast
+from dossier.session import materialize
 from dossier.sources.tables import spread
 
 
@@ -25,6 +26,11 @@ class Corpus:
         over all cores first (``spread``), since every document is worked on."""
         return spread(self.df).select("page_id", "url", self.text.alias("text"))
 
+    def staged(self) -> Corpus:
+        """The same documents with their text written once, for a run that
+        links and cuts excerpts: neither computes it again."""
+        return Corpus(materialize(self.texts(), "texts"), F.col("text"))
+
     def text_for(self, pairs: DataFrame, on: str = "page_id",
                  rows_per_copy: int = 10_000) -> DataFrame:
         """Rows of ``pairs`` joined to their document's text.

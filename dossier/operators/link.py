@@ -8,30 +8,29 @@ BM25 weights of their distinct terms; the top ``r`` documents per entity are
 kept, score descending, ties by document id. Entities that share a key are
 one entity: repeated rows neither add to a score nor repeat a link.
 
+With ``state`` the search text has a fourth part, the state's name, whose terms
+weigh ``STATE_WEIGHT`` of a name's (a term that is both counts as a name's).
+
 Exact top r without emitting (entity, document) pairs per shared term.
 Let S(e, d) be the set of e's parts that d contains. If d is among e's top
 r, then d is also among the top r of *all* documents containing S(e, d),
 ranked by their partial score over S(e, d): every document that beats d
-there contains S(e, d) too, scores at least as much for e, and so also
-beats d for e. Hence:
-
-1. each entity yields its (at most 7) non-empty subsets of parts; distinct
-   sets of their terms are what is searched, however many entities share one;
-2. each subset is keyed by its rarest term (document frequency), and a
-   document reaches a subset only through that term, then is verified to
-   hold the subset's other terms by a join on the unique (document, term)
-   key; a stop word ("the") thus keys only the subsets made of stop words;
-3. the top r documents per subset come from a window with Spark's partial
-   group limit, so a subset matched by a third of all documents still sends
-   at most r rows per map task to its reducer;
-4. each entity takes the union of its subsets' top r (at most 7 r rows) and
+there contains S(e, d) too, scores at least as much for e (more parts add
+weights, and can only raise a term's factor), and so also beats d for e. Hence:
+
+1. each entity yields its non-empty subsets of parts (at most 7, with a state
+   15); distinct weighted sets of their terms are what is searched, however
+   many entities share one;
+2. each is answered exactly by ``postings.search``: block maxima bound the
+   scores of ranges of documents, the rarest term leads, and no posting is
+   joined with another;
+3. each entity takes the union of its subsets' top r (at most 15 r rows) and
    keeps the best r. A candidate found through a smaller subset can only be
    under-scored, never over-scored, so the result equals the exhaustive one.
 
 The corpus is read once: its vocabulary-only postings (document id, term,
-weight; no url) are written once to the shared checkpoint folder and
-reused by the frequency count, the subset probe and the verification join.
-Urls are attached to the final top r rows only."""
+weight; no url) are written once as a block index in the shared checkpoint
+folder. Urls are attached to the final top r rows only."""
 
 from __future__ import annotations
 
@@ -39,13 +38,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.functions import text as T
+from dossier.operators import postings as PO
 from dossier.operators.corpus import as_corpus
 from dossier.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_count, hint_if
 from dossier.session import materialize
 
 MAX_R = 4
-# name parts per entity (first, middle, last): at most 7 subsets each
+# name parts per entity (first, middle, last): at most 7 subsets each, 15 with a state
 MAX_SUBSET = 3
+# what a term of the state weighs beside one of the name
+STATE_WEIGHT = 0.5
 
 
 def check_r(r: int) -> None:
@@ -53,17 +55,20 @@ def check_r(r: int) -> None:
         raise ValueError(f"r must be in 1..{MAX_R}, got {r}")
 
 
-def entity_parts(entities: DataFrame, key: str = "candid",
-                 name_cols=("first", "middle", "last")) -> DataFrame:
-    """(key, part): the distinct non-empty name parts of each entity, each as
-    the sorted array of its terms (at most MAX_SUBSET parts, which bounds the
-    subsets per entity)."""
+def entity_parts(entities: DataFrame, key: str = "candid", name_cols=("first", "middle", "last"),
+                 state: str | None = None) -> DataFrame:
+    """(key, part, weak): the distinct non-empty name parts of each entity, each
+    as the sorted array of its terms (at most MAX_SUBSET parts, which bounds the
+    subsets per entity), and the state's, which is weak unless a name has it too."""
     if not 1 <= len(name_cols) <= MAX_SUBSET:
         raise ValueError(f"1..{MAX_SUBSET} name columns, got {len(name_cols)}")
-    parts = F.array(*[F.array_sort(F.array_distinct(T.letter_terms(F.lower(F.coalesce(F.col(c), F.lit(""))))))
-                      for c in name_cols])
-    return entities.dropDuplicates([key]).select(
-        key, F.explode(F.array_distinct(F.filter(parts, lambda x: F.size(x) > 0))).alias("part"))
+
+    def terms(c):
+        return F.array_sort(F.array_distinct(T.letter_terms(F.lower(F.coalesce(F.col(c), F.lit(""))))))
+    parts = F.array(*[F.struct(terms(c).alias("part"), F.lit(c == state).alias("weak"))
+                      for c in (*name_cols, *([state] if state else []))])
+    rows = entities.dropDuplicates([key]).select(key, F.inline(F.filter(parts, lambda x: F.size(x["part"]) > 0)))
+    return rows.groupBy(key, "part").agg(F.min("weak").alias("weak"))
 
 
 def top_r(scored: DataFrame, key: str, r: int, score: str = "score",
@@ -79,119 +84,102 @@ def _terms(parts: DataFrame) -> DataFrame:
     return parts.select(F.explode("part").alias("term")).distinct()
 
 
-def _postings_overlap(docs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(page_id, term, w = 1): distinct vocabulary terms per document."""
-    return (docs.select("page_id", F.explode(F.array_distinct(T.letter_terms("text"))).alias("term"))
-            .join(vocab, "term")
-            .withColumn("w", F.lit(1).cast("long")))
+def _blocks(corpus, vocab: DataFrame, once: bool) -> DataFrame:
+    """Staged blocks of the vocabulary's postings, ``once`` without counting how
+    often. One pass over the corpus: every document gives one row of the null
+    term, which carries its length, and its words that are in the vocabulary."""
+    terms = T.letter_terms("text")
+    docs = as_corpus(corpus).texts().select("page_id", terms.alias("terms"))
+    words = F.array_distinct("terms") if once else F.col("terms")
+    rows = (docs.select("page_id", F.size("terms").alias("dl"), F.explode(F.concat(
+        F.array(F.lit(None).cast("string")), words)).alias("term"))
+        .join(vocab.withColumn("_in_vocab", F.lit(True)), "term", "left")
+        .filter(F.col("term").isNull() | F.col("_in_vocab")).select("term", "page_id", "dl"))
+    return materialize(PO.block_rows(rows), "blocks")
 
 
 def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
-                 key: str = "candid") -> DataFrame:
+                 key: str = "candid", prune_from: int = PO.PRUNE_FROM) -> DataFrame:
     """Top r documents per entity by the number of distinct name parts the
     document contains. corpus: a Corpus or (page_id, url, text). Returns
     (key, page_id, url, score, rank); entities without any match are absent."""
     check_r(r)
     parts = entity_parts(entities, key)
     n_parts = bounded_count(parts)
-    vocab = hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS)
-    post = materialize(_postings_overlap(as_corpus(corpus).texts(), vocab), "overlap-postings")
-    return with_urls(top_r(subset_candidates(parts, post, key, r, n_parts, by_parts=True), key, r), corpus, r, n_parts)
+    blocks = _blocks(corpus, hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS), once=True).where("term is not null")
+    index = PO.block_index(blocks, lambda d: F.lit(1))
+    freq = blocks.groupBy("term").agg(F.sum("n").alias("_df"))
+    found = subset_candidates(parts, freq, index, key, r, n_parts, by_parts=True, prune_from=prune_from)
+    return with_urls(top_r(found, key, r), corpus, r, n_parts)
 
 
-def link_bm25(entities: DataFrame, corpus, r: int = MAX_R,
-              key: str = "candid", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """Top r documents per entity by Okapi BM25 of the name terms, with the
+def link_bm25(entities: DataFrame, corpus, r: int = MAX_R, key: str = "candid", k1: float = 1.2, b: float = 0.75,
+              state: str | None = None, prune_from: int = PO.PRUNE_FROM) -> DataFrame:
+    """Top r documents per entity by Okapi BM25 of the name terms, and with
+    ``state`` (a column) of the state's at STATE_WEIGHT, with the
     always-positive idf ln(1 + (N - df + 0.5) / (df + 0.5)); no term and no
-    candidate is dropped. Returns (key, page_id, url, score, rank).
-
-    One pass over the corpus: documents are tokenised once, and only
-    occurrences of vocabulary terms (broadcast join with the entity
-    vocabulary) plus one length row per document are aggregated and written
-    as the term-frequency table. The corpus size N, the average length and
-    the per-(document, term) weights read that table, not the corpus."""
+    candidate is dropped. Returns (key, page_id, url, score, rank). The corpus
+    size N, the average length and the weights read the staged blocks, not the
+    corpus."""
     check_r(r)
-    parts = entity_parts(entities, key)
+    parts = entity_parts(entities, key, state=state)
     n_parts = bounded_count(parts)
     small = n_parts <= DEFAULT_BROADCAST_ROWS
-    vocab = hint_if(_terms(parts), small)
-    docs = (as_corpus(corpus).texts()
-            .select("page_id", T.letter_terms("text").alias("terms"))
-            .withColumn("dl", F.size("terms")))
-    # every document emits one sentinel row (null term) carrying its length,
-    # plus its vocabulary-term occurrences; the broadcast left join marks
-    # vocabulary terms and the sentinel survives the filter
-    marked = vocab.withColumn("_in_vocab", F.lit(True))
-    rows = (docs.select("page_id", "dl",
-                        F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
-            .join(marked, "term", "left")
-            .filter(F.col("term").isNull() | F.col("_in_vocab")))
-    table = materialize(rows.groupBy("page_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")),
-                        "bm25-tf")
-    got = table.filter(F.col("term").isNull()).agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total")).first()
+    every = _blocks(corpus, hint_if(_terms(parts), small), once=False)
+    got = every.filter(F.col("term").isNull()).agg(F.sum("n").alias("n"), F.sum("dl").alias("total")).first()
     n_docs = int(got["n"] or 0)
     avgdl = float(got["total"] or 0) / n_docs if n_docs else 1.0
-    tf = table.filter(F.col("term").isNotNull())
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
-    weight = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    post = (tf.join(hint_if(df_, small), "term")
-            .select("page_id", "term", weight.alias("w")))
-    scored = subset_candidates(parts, post, key, r, n_parts)
-    # rank on a rounded score so that float summation order cannot reorder ties
-    return with_urls(top_r(scored.withColumn("score", F.round("score", 9)), key, r), corpus, r, n_parts)
-
-
-def subset_candidates(parts: DataFrame, postings: DataFrame, key: str, r: int,
-                      n_parts: int, by_parts: bool = False) -> DataFrame:
-    """(key, page_id, score): for every entity, the union of the top r
-    documents of each of its subsets of parts (see the module notes), scored
-    by the best partial score found: the sum of the weights of the subset's
-    distinct terms, or with ``by_parts`` its number of parts. ``parts`` is
-    (key, part) with at most three parts per key; ``postings`` is (page_id,
-    term, w) with one row per (document, vocabulary term) and w >= 0.
-    ``n_parts`` is the (bounded) row count of ``parts``: the subset table has
-    at most 7/3 of it (3 parts -> 7 subsets), which decides the broadcasts
-    without another count."""
-    small = n_parts <= DEFAULT_BROADCAST_ROWS
-    sub_small = 7 * n_parts <= 3 * DEFAULT_BROADCAST_ROWS
-    freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    blocks = every.filter(F.col("term").isNotNull())
+    freq = blocks.groupBy("term").agg(F.sum("n").alias("_df"))
+    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+
+    def weight(d):
+        norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * d["dl"] / F.lit(avgdl or 1.0))
+        return idf * d["tf"] * F.lit(k1 + 1.0) / (d["tf"] + norm)
+    index = PO.block_index(blocks.join(hint_if(freq, small), "term"), weight)
+    found = subset_candidates(parts, freq, index, key, r, n_parts, prune_from=prune_from)
+    return with_urls(top_r(found, key, r), corpus, r, n_parts)
+
+
+def subset_searches(parts: DataFrame, freq: DataFrame, key: str, small: bool) -> DataFrame:
+    """(key, sid, terms, n_parts) per entity and subset of its parts; terms are
+    (term, f), the rarest first (document frequency, then the term itself: one
+    global order, so equal sets give equal arrays)."""
     # parts all of whose terms occur, each term with its document frequency
     known = (parts.withColumn("term", F.explode("part")).join(hint_if(freq, small), "term")
-             .groupBy(key, "part").agg(F.collect_list(F.struct("_df", "term")).alias("_t"))
+             .groupBy(key, "part").agg(F.collect_list(F.struct("_df", "term", "weak")).alias("_t"))
              .where(F.size("_t") == F.size("part")))
     grouped = known.groupBy(key).agg(F.collect_list("_t").alias("_ps"))
     chosen = (grouped.select(key, "_ps", F.explode(F.expr("sequence(1, shiftleft(1, size(_ps)) - 1)")).alias("_m"))
-              .select(key, F.expr("filter(_ps, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_c")))
-    # a subset's distinct terms, rarest first (document frequency, then the
-    # term itself: one global order, so equal sets give equal arrays); of
-    # subsets with equal terms the one with the most parts counts
-    ordered = F.transform(F.array_sort(F.array_distinct(F.flatten("_c"))), lambda x: x["term"])
-    subsets = (chosen.select(key, ordered.alias("_s"), F.size("_c").alias("_np"))
-               .select(key, F.concat_ws(" ", "_s").alias("_sid"), "_s", "_np"))
-    probes = (subsets.select("_sid", "_s").distinct()
-              .select("_sid", F.col("_s")[0].alias("term"), F.slice("_s", 2, F.size("_s")).alias("_rest")))
-    hits = postings.join(hint_if(probes, sub_small), "term")   # reached through the rarest term only
-    single = (hits.filter(F.size("_rest") == 0)
-              .select("_sid", "page_id", F.col("w").alias("score")))
-    multi = (hits.filter(F.size("_rest") > 0)
-             .select("_sid", "page_id", F.col("w").alias("_w0"), F.size("_rest").alias("_need"),
-                     F.explode("_rest").alias("term"))
-             .join(postings.select("page_id", "term", F.col("w").alias("_wo")), ["page_id", "term"])
-             .groupBy("_sid", "page_id", "_w0", "_need")
-             .agg(F.count(F.lit(1)).alias("_got"), F.sum("_wo").alias("_ws"))
-             .filter(F.col("_got") == F.col("_need"))
-             .select("_sid", "page_id", (F.col("_w0") + F.col("_ws")).alias("score")))
-    w = Window.partitionBy("_sid").orderBy(F.col("score").desc(), F.col("page_id").asc())
-    best = (single.unionByName(multi).withColumn("_n", F.row_number().over(w))
-            .filter(F.col("_n") <= r).drop("_n"))
+              .select(key, F.expr("filter(_ps, (x, i) -> (shiftright(_m, i) & 1) = 1)").alias("_c"))
+              .select(key, F.array_sort(F.array_distinct(F.flatten("_c"))).alias("_s"), F.size("_c").alias("n_parts")))
+    # a term that a name and the state share stands twice, the name's (not weak) first
+    once = F.filter("_s", lambda x, i: (i == 0) | (x["term"] != F.get("_s", i - 1)["term"]))
+    terms = F.transform(once, lambda x: F.struct(x["term"].alias("term"), F.when(x["weak"], STATE_WEIGHT).otherwise(1.0).alias("f")))
+    named = chosen.select(key, terms.alias("terms"), "n_parts")
+    sid = F.array_join(F.transform("terms", lambda x: F.concat(x["term"], F.when(x["f"] < 1, "*").otherwise(""))), " ")
+    return named.select(key, sid.alias("sid"), "terms", "n_parts")
+
+
+def subset_candidates(parts: DataFrame, freq: DataFrame, index: DataFrame, key: str, r: int, n_parts: int,
+                      by_parts: bool = False, prune_from: int = PO.PRUNE_FROM) -> DataFrame:
+    """(key, page_id, score): for every entity, the union of the top r
+    documents of each of its subsets of parts (see the module notes), scored
+    by the best partial score found, or with ``by_parts`` by the number of parts.
+    ``n_parts`` is the (bounded) row count of ``parts``: the subset table has
+    at most 15/4 of it (4 parts -> 15 subsets), which decides the broadcasts
+    without another count."""
+    most = -(-15 * n_parts // 4)
+    small = n_parts <= DEFAULT_BROADCAST_ROWS
+    subsets = materialize(subset_searches(parts, freq, key, small), "subsets")
+    searches = subsets.select("sid", "terms").dropDuplicates(["sid"])
+    best = PO.search(searches, index, r, most, prune_from)
     # at most r rows per subset; broadcast under the same proven bound, the
     # entity side keeps its hash partitioning by key, so the max per
     # (entity, document) and the caller's top-r window need no exchange
-    best = hint_if(best, r * 7 * n_parts <= 3 * DEFAULT_BROADCAST_ROWS)
-    score = F.col("_np").cast("long") if by_parts else F.col("score")
-    return (subsets.select(key, "_sid", "_np").join(best, "_sid")
+    best = hint_if(best, r * most <= DEFAULT_BROADCAST_ROWS)
+    score = F.col("n_parts").cast("long") if by_parts else F.col("score")
+    return (subsets.select(key, "sid", "n_parts").join(best, "sid")
             .groupBy(key, "page_id").agg(F.max(score).alias("score")))
 
 

@@ -165,16 +165,18 @@ EN_US_PAGES = f"""corpus AS (
     AND ends_with(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '.com'))"""
 
 
-def _matched(ents: str, corpus: str) -> str:
-    """Every document that holds all words of some part of an entity's name."""
+def _matched(ents: str, corpus: str, state: str = "NULL") -> str:
+    """Every document that holds all words of some part of an entity's name, or
+    of its state, which is weak unless a name part has the same words."""
     return f"""docs AS (SELECT page_id, url, regexp_extract_all(text, '\\p{{L}}+') AS terms FROM {corpus}),
 parts AS (
-  SELECT DISTINCT candid, words FROM (
-    SELECT candid, list_sort(list_distinct(regexp_extract_all(lower(part), '\\p{{L}}+'))) AS words
-    FROM (SELECT candid, unnest([first, middle, last]) AS part FROM {ents}) WHERE part IS NOT NULL) WHERE len(words) > 0),
+  SELECT candid, words, min(weak) AS weak FROM (
+    SELECT candid, weak, list_sort(list_distinct(regexp_extract_all(lower(part), '\\p{{L}}+'))) AS words
+    FROM (SELECT candid, unnest([first, middle, last]) AS part, 0 AS weak FROM {ents}
+          UNION ALL SELECT candid, {state}, 1 FROM {ents}) WHERE part IS NOT NULL) WHERE len(words) > 0 GROUP BY candid, words),
 heads AS (SELECT DISTINCT page_id, unnest(terms) AS head FROM docs),
 matched AS (
-  SELECT p.candid, d.page_id, d.url, p.words
+  SELECT p.candid, d.page_id, d.url, p.words, p.weak
   FROM parts p JOIN heads h ON h.head = p.words[1] JOIN docs d ON d.page_id = h.page_id
   WHERE list_has_all(d.terms, p.words))"""
 
@@ -192,17 +194,18 @@ scored AS (SELECT candid, page_id, url, count(*) AS score FROM matched GROUP BY
 
 
 def links_bm25(r: int = 4, ents: str = "text_entities", corpus: str = "corpus",
-               k1: float = 1.2, b: float = 0.75) -> str:
-    return f"""{_matched(ents, corpus)},
+               k1: float = 1.2, b: float = 0.75, state_weight: float = 0.5) -> str:
+    return f"""{_matched(ents, corpus, "state")},
 stats AS (SELECT count(*) AS n, avg(len(terms)) AS avgdl FROM docs),
 tf AS (
   SELECT page_id, dl, term, count(*) AS tf FROM (SELECT page_id, len(terms) AS dl, unnest(terms) AS term FROM docs)
   GROUP BY page_id, dl, term),
 dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-hit AS (SELECT DISTINCT candid, page_id, url, unnest(words) AS term FROM matched),
+hit AS (SELECT candid, page_id, url, term, CASE WHEN min(weak) = 1 THEN {state_weight} ELSE 1.0 END AS f
+        FROM (SELECT candid, page_id, url, weak, unnest(words) AS term FROM matched) GROUP BY candid, page_id, url, term),
 scored AS (
   SELECT h.candid, tf.page_id, h.url,
-         round(sum(ln(1.0 + (s.n - dfs.df + 0.5) / (dfs.df + 0.5)) * tf.tf * {k1 + 1.0}
+         round(sum(h.f * ln(1.0 + (s.n - dfs.df + 0.5) / (dfs.df + 0.5)) * tf.tf * {k1 + 1.0}
                    / (tf.tf + {k1} * ({1.0 - b} + {b} * tf.dl / s.avgdl))), 9) AS score
   FROM hit h JOIN tf USING (page_id, term) JOIN dfs USING (term), stats s
   GROUP BY h.candid, tf.page_id, h.url),

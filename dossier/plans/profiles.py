@@ -3,10 +3,13 @@ one context and prompt per entity (SURVEY §3.1 steps 2-9 as one lazy plan)."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 
 from dossier.operators import assemble as A
 from dossier.operators import link as L
+from dossier.operators.corpus import as_corpus
 from dossier.session import materialize
 
 
@@ -19,7 +22,8 @@ def gather_contexts(entities: DataFrame, corpus, r: int = 4,
 
     The link table is materialised once (it is the stage hand-off of the
     reference, and the broadcast check below counts it cheaply)."""
-    link_fn = {"overlap": L.link_overlap, "bm25": L.link_bm25}[ranker]
+    link_fn = {"overlap": L.link_overlap, "bm25": functools.partial(L.link_bm25, state="state")}[ranker]
+    corpus = as_corpus(corpus).staged()
     links = materialize(link_fn(entities, corpus, r=r, key=key))
     ex = A.source_excerpts(links, entities, corpus, key=key)
     ctx = A.assemble_context(ex, key=key)

@@ -28,8 +28,8 @@ def page_prompts(spark, sf_dir):
     return gather_contexts(V.text_entities(spark, sf_dir), V.page_corpus(spark, sf_dir), r=4)
 
 
-def _links(spark, sf_dir, corpus, ranker=L.link_overlap):
-    return ranker(V.text_entities(spark, sf_dir), corpus, r=4)
+def _links(spark, sf_dir, corpus):
+    return L.link_overlap(V.text_entities(spark, sf_dir), corpus, r=4)
 
 
 LINK_COLS = ("candid", "rank", "page_id", "url", "score")
@@ -49,7 +49,7 @@ def q_link_top_r(spark, sf_dir):
 @register("link_bm25", O.with_(O.TEXT_ENTITIES, O.PAGE_CORPUS, O.links_bm25(4))
           + "SELECT candid, rank, page_id, url, round(score, 6) AS score FROM links")
 def q_link_bm25(spark, sf_dir):
-    out = _links(spark, sf_dir, V.page_corpus(spark, sf_dir), L.link_bm25)
+    out = L.link_bm25(V.text_entities(spark, sf_dir), V.page_corpus(spark, sf_dir), r=4, state="state")
     return out.select("candid", "rank", "page_id", "url", F.round("score", 6).alias("score"))
 
 

@@ -109,10 +109,46 @@ def test_codes_fitted_on_train_only(spark):
     assert got == [0, -1, -1]
 
 
+@pytest.mark.parametrize("prune_from", [500_000, 0])
+def test_bm25_with_state_matches_brute_force(spark, monkeypatch, prune_from):
+    """The state's terms count half, unless a name has them too; ranges of 8
+    documents, opened at once or as far as their bounds reach."""
+    monkeypatch.setattr(L.PO, "RANGE_BITS", 3)
+    rng = random.Random(6)
+    vocab = ["ann", "bo", "cy", "dee", "eli", "new", "york", "the", "the", "the"]
+    docs = {i: " ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 25))) for i in range(120)}
+    ents = {f"e{i}": (rng.choice(vocab), rng.choice([None, *vocab]), f"{rng.choice(vocab)}-{rng.choice(vocab)}",
+                      rng.choice(["New York", "york", None, "the", "Zed"])) for i in range(40)}
+    terms = {p: T_re(t) for p, t in docs.items()}
+    n, avgdl = len(terms), sum(map(len, terms.values())) / len(terms)
+    df = Counter(w for v in terms.values() for w in set(v))
+    want = {}
+    for e, (*names, state) in ents.items():
+        for p, ws in terms.items():
+            tf, factor = Counter(ws), {}
+            for part, f in [(state, 0.5), *((x, 1.0) for x in names)]:
+                part = T_re((part or "").lower())
+                if part and all(tf[w] for w in part):
+                    factor |= {w: max(f, factor.get(w, 0)) for w in part}
+            if factor:
+                s = sum(f * math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.2 /
+                        (tf[w] + 1.2 * (0.25 + 0.75 * len(ws) / avgdl)) for w, f in factor.items())
+                want.setdefault(e, []).append((-round(s, 9), p))
+    edf = spark.createDataFrame([(k, *v) for k, v in ents.items()],
+                                "candid string, first string, middle string, last string, state string")
+    cdf = spark.createDataFrame([(p, f"u{p}", t) for p, t in docs.items()], "page_id long, url string, text string")
+    got = {}
+    for row in L.link_bm25(edf, cdf, r=3, state="state", prune_from=prune_from).collect():
+        got.setdefault(row.candid, []).append((row.rank, row.page_id))
+    assert {e: [p for _, p in sorted(v)] for e, v in got.items()} == {e: [p for _, p in sorted(v)[:3]] for e, v in want.items()}
+
+
 @pytest.mark.parametrize("r", [1, 4])
-def test_overlap_links_match_brute_force_with_hot_terms(spark, r):
+@pytest.mark.parametrize("prune_from", [500_000, 0])
+def test_overlap_links_match_brute_force_with_hot_terms(spark, monkeypatch, r, prune_from):
     """Many entities share a stop word that most documents contain; scores
     tie often. The subset-candidate ranking must equal the exhaustive one."""
+    monkeypatch.setattr(L.PO, "RANGE_BITS", 2)
     rng = random.Random(11)
     vocab = ["the", "the", "the", "of", "ann", "bo", "cy", "dee", "eli", "fay"]
     docs = {i: " ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 12))) for i in range(80)}
@@ -123,7 +159,7 @@ def test_overlap_links_match_brute_force_with_hot_terms(spark, r):
                                 "candid string, first string, middle string, last string")
     cdf = spark.createDataFrame([(p, f"u{p}", t) for p, t in docs.items()], "page_id long, url string, text string")
     got = {}
-    for row in L.link_overlap(edf, cdf, r=r).collect():
+    for row in L.link_overlap(edf, cdf, r=r, prune_from=prune_from).collect():
         got.setdefault(row.candid, []).append((row.rank, row.page_id, row.score))
     want = {}
     for e, ns in ents.items():
