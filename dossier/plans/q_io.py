@@ -30,10 +30,11 @@ DOC_SCHEMA = TY.StructType([TY.StructField("doc_id", TY.LongType()), TY.StructFi
 
 @register("scan_csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_scan_csv_roundtrip(spark, sf_dir):
-    """Multi-line prose with quotes and commas written as CSV and read back."""
+    """Multi-line prose with quotes and commas written as CSV and read back, the
+    files by blocks, in as many tasks as they have."""
     path = scratch_path(spark, "documents-csv")
     C.write_csv(V.table(spark, sf_dir, "documents").select(*DOC_COLS), path)
-    return C.read_csv(spark, path, DOC_SCHEMA)
+    return C.read_csv(spark, path, DOC_SCHEMA, split=True)
 
 
 _LINK_SQL = PIPE + """

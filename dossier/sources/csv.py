@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from dossier.functions import text as T
+from dossier.sources.csv_splits import read_splits
 
 # Options that keep any text intact: standard double-quote quoting and
 # escaping, multi-line records, no trimming of leading/trailing spaces, and
@@ -41,9 +42,12 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "ov
 
 
 def read_csv(spark: SparkSession, path: str, schema: TY.StructType | None = None,
-             encoding: str = "UTF-8") -> DataFrame:
+             encoding: str = "UTF-8", split: bool = False) -> DataFrame:
     """Read with a declared schema (no inference). Without one, every
-    column is a string and must be cast by name by the caller."""
+    column is a string and must be cast by name by the caller. With ``split``
+    a file is read by many tasks (``csv_splits``) instead of one."""
+    if split:
+        return read_splits(spark, [path], CSV_OPTIONS, encoding, schema)
     r = spark.read.options(**CSV_OPTIONS).option("encoding", encoding)
     if schema is not None:
         r = r.schema(schema).option("enforceSchema", "false")
@@ -102,33 +106,23 @@ def list_shards(spark: SparkSession, folder: str, pattern: str = "*.csv") -> lis
     return sorted(shards)
 
 
-def cast_by_name(df: DataFrame, schema: TY.StructType) -> DataFrame:
-    """String columns cast to the schema's types by name; columns the file
-    lacks become typed nulls."""
-    have = set(df.columns)
-    return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in have
-                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
-
-
 def union_shards(spark: SparkSession, paths: Sequence[str], schema: TY.StructType) -> DataFrame:
     """Concatenate CSV shards whose headers may differ in order or content:
-    each file is read on its own (a single glob read would align columns
-    by position), columns are matched by name, missing ones are null and
-    duplicates are kept."""
+    columns are matched by name (a plain glob read would align them by
+    position), missing ones are null and duplicates are kept. One scan reads
+    all files, large ones in several tasks."""
     if not paths:
         raise ValueError("no shard files")
-    parts = [cast_by_name(read_csv(spark, p), schema) for p in paths]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return read_splits(spark, paths, CSV_OPTIONS, schema=schema)
 
 
 def write_family(df: DataFrame, path: str, keys: Sequence[str] = ("kind", "grp"),
                  mode: str = "overwrite") -> None:
     """Results of every family and group in one table, one folder per key
-    value, so that reading one family/group prunes all other folders."""
-    df.write.mode(mode).partitionBy(*keys).parquet(path)
+    value, so that reading one family/group prunes all other folders. Rows are
+    dealt by their folder first, so a folder gets few files, not one of every
+    task; AQE splits a folder that holds very many rows."""
+    df.hint("rebalance", *[F.col(k) for k in keys]).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def read_family(spark: SparkSession, path: str, where: Mapping[str, str]) -> DataFrame:
