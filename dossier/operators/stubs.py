@@ -46,3 +46,16 @@ class RecordedService:
         if self.limit is not None and int(size) > self.limit:
             raise TimeoutError(f"{size} characters")
         return reply
+
+
+class FailsFirst:
+    """Fails the first n tries of a prompt, n being the number its last word
+    ends with, modulo ``of``; then names the profile."""
+
+    def __init__(self, of: int = 4):
+        self.of = of
+
+    def __call__(self, prompt: str, attempt: int) -> str:
+        if attempt <= int(prompt.rsplit("#", 1)[-1]) % self.of:
+            raise ConnectionError(f"try {attempt}")
+        return f"profile of {prompt}"

@@ -11,16 +11,18 @@ from dossier.operators import enrich as EN
 from dossier.operators import entities as E
 from dossier.operators import parse as P
 from dossier.operators import rerun as R
-from dossier.operators.stubs import rule_reply
+from dossier.operators.stubs import FailsFirst, rule_reply
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register, sources_text
 from dossier.plans.profiles import gather_contexts
+from dossier.plans.q_entities import NORM
 from dossier.plans.q_parse import REPLIES_SQL, RERUN_TOKEN_LIMIT, STUB_SQL, parsed_replies
 from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
 from dossier.sources import csv as C
 from dossier.streaming.resume import run_available
+from dossier.streaming.retry import outcomes, run_retrying
 
 DOC_COLS = ("doc_id", "text", "lang", "source", "n_chars")
 DOC_SCHEMA = TY.StructType([TY.StructField("doc_id", TY.LongType()), TY.StructField("text", TY.StringType()),
@@ -135,25 +137,55 @@ def q_union_family(spark, sf_dir):
     return fam.select(*[f.name for f in WIDE_SCHEMA.fields])
 
 
-@register("resume_stream")
+_RESUME_SQL = "WITH " + NORM + """,
+called AS (SELECT *, list_filter(string_split(concat_ws(' ', "full", state), ' '), lambda x: x <> '') AS w FROM norm)
+SELECT candid, CAST("row" % 2 AS INTEGER) AS arrival, 'ok' AS status,
+  CASE WHEN len(w) > 0 THEN w[1] ELSE 'N/A' END AS college_major,
+  CASE WHEN len(w) > 1 THEN w[2] || ' university' ELSE 'N/A' END AS undergraduate_institution,
+  CASE WHEN len(w) > 2 THEN w[3] ELSE 'N/A' END AS work_history FROM called"""
+
+
+@register("resume_stream", _RESUME_SQL)
 def q_resume_stream(spark, sf_dir):
     """Two arrivals of input files processed by two runs of the same
     streaming query; the second run only takes the new files."""
     ents = E.normalise(V.entities(spark, sf_dir)).select("candid", "row", "full", "state", "min_year")
     base = scratch_path(spark, "resume")
     inp, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
-    split = ents.agg(F.percentile_approx("row", 0.5).alias("m")).first()["m"]
 
     def job(batch):
         prompts = batch.withColumn("prompt", F.concat_ws(" ", "full", "state"))
         pol = EN.Policy(tries=1, timeout=None, token_limit=None, **EN.NO_WAIT)
         return EN.enrich(prompts, rule_reply, "prompt", policy=pol).select("candid", "status", "response")
 
-    ents.filter(F.col("row") <= split).write.mode("append").parquet(inp)
-    run_available(spark, inp, ents.schema, out, ckpt, job)
-    ents.filter(F.col("row") > split).write.mode("append").parquet(inp)
-    run_available(spark, inp, ents.schema, out, ckpt, job)
-    return spark.read.parquet(out)
+    for arrival in (0, 1):
+        ents.filter(F.col("row") % 2 == arrival).write.mode("append").parquet(inp)
+        run_available(spark, inp, ents.schema, out, ckpt, job)
+    got = P.parse_replies(spark.read.parquet(out).withColumnRenamed("batch_id", "arrival"), "response")
+    return got.select("candid", F.col("arrival").cast("int").alias("arrival"), "status", "college_major",
+                      "undergraduate_institution", "work_history")
+
+
+@register("retry_stream", "WITH " + NORM + """,
+asked AS (SELECT *, concat_ws(' ', "full", state, '#' || candid) AS prompt FROM norm)
+SELECT candid, CASE WHEN "row" % 4 < 3 THEN 'ok' ELSE 'error' END AS status,
+  CAST(least("row" % 4 + 1, 3) AS INTEGER) AS attempts,
+  CASE WHEN "row" % 4 < 3 THEN 'profile of ' || prompt END AS response FROM asked""")
+def q_retry_stream(spark, sf_dir):
+    """The retry queue as stream state: two arrivals, the second with every
+    request of the first again, a stop between them, failures tried again by
+    timer; one outcome per request."""
+    ents = E.normalise(V.entities(spark, sf_dir))
+    asked = ents.select("row", F.col("candid").alias("key"), F.concat_ws(
+        " ", "full", "state", F.concat(F.lit("#"), "candid")).alias("prompt"))
+    base = scratch_path(spark, "retries")
+    inp, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    pol = EN.Policy(tries=3, wait_min=0.1, wait_max=0.4, timeout=None)
+    asked.filter(F.col("row") % 2 == 0).select("key", "prompt").write.parquet(inp)
+    run_retrying(spark, inp, out, ckpt, FailsFirst(), pol, seconds=3)
+    asked.select("key", "prompt").write.mode("append").parquet(inp)
+    run_retrying(spark, inp, out, ckpt, FailsFirst(), pol)
+    return outcomes(spark, out).select(F.col("key").alias("candid"), "status", "attempts", "response")
 
 
 # --- whole runs -----------------------------------------------------------------
