@@ -39,18 +39,18 @@ EDGE_SPACE = f"^{SPACE}+|{SPACE}+$"
 NEWLINE_SPACE = rf"{SPACE}*\n{SPACE}*"
 JSON_OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
 
-# HTML -> text as regex replace-all steps. Script and style bodies (to the end
-# of the page if they are never closed), comments and tags go first. A tag
-# starts with a letter, a slash or a mark of declarations, and its quoted
-# attributes may hold ">"; what is left of a tag whose quotes don't pair goes
-# at its first ">". Then entities are decoded, each once, and white space is
-# collapsed.
+# HTML -> text: one pattern for all markup, taken in the order it stands in the
+# page, as a parser does: script and style with their bodies (to the end of the
+# page if they are never closed), comments, tags. A tag starts with a letter, a
+# slash or a mark of declarations, and its quoted attributes may hold ">"; a tag
+# whose quotes don't pair ends at its first ">". Then entities are decoded, each
+# once, and white space is collapsed.
 HTML_MARKUP = (
-    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)",
-    r"(?is)<style\b[^>]*>.*?(?:</style\s*>|\z)",
-    r"(?s)<!--.*?-->",
-    r"""<[a-zA-Z/!?][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>""",
-    r"<[a-zA-Z/!?][^>]*>",
+    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<!--.*?-->"
+    r"""|<[a-z/!?][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>"""
+    r"|<[a-z/!?][^>]*>",
 )
 # an entity, at the start of what follows an ampersand
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
@@ -122,7 +122,7 @@ def html_to_text(c) -> Column:
     t = col(c)
     for pattern in HTML_MARKUP:
         t = F.regexp_replace(t, pattern, " ")
-    return F.lower(strip(F.regexp_replace(decode_entities(t), f"{SPACE}+", " ")))
+    return F.lower(F.trim(F.regexp_replace(decode_entities(t), f"{SPACE}+", " ")))
 
 
 def first_words_pattern(n: int) -> str:
