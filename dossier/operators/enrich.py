@@ -13,6 +13,7 @@ same reason."""
 
 from __future__ import annotations
 
+import math
 import random
 import threading
 import time
@@ -20,6 +21,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as TY
 
@@ -33,7 +35,8 @@ class Policy:
     """tries: total attempts per row (1 = no retry); waits between tries are
     random exponential, drawn from [wait_min, min(wait_max, wait_min*2^n)];
     timeout: seconds per call (None = none); rate: calls per second per
-    task (None = unlimited; the global rate is tasks x rate); token_limit:
+    task (None = unlimited); job_rate: calls per second of the whole job,
+    however many of its tasks run; token_limit:
     prompts whose estimate exceeds it are routed as 'prompt' errors without
     a call (None = no check); concurrency: calls in flight per task (the
     service is I/O bound, so one task keeps several calls open; the global
@@ -43,6 +46,7 @@ class Policy:
     wait_max: float = 60.0
     timeout: float | None = 200.0
     rate: float | None = None
+    job_rate: float | None = None
     token_limit: int | None = PROMPT_TOKEN_LIMIT
     concurrency: int = 1
 
@@ -53,8 +57,8 @@ class Policy:
             raise ValueError("tries must be >= 1")
         if self.timeout is not None and self.timeout <= 0:
             raise ValueError("timeout must be > 0")
-        if self.rate is not None and self.rate <= 0:
-            raise ValueError("rate must be > 0")
+        if any(r is not None and r <= 0 for r in (self.rate, self.job_rate)):
+            raise ValueError("rates must be > 0")
         if self.wait_min < 0 or self.wait_max < self.wait_min:
             raise ValueError("need 0 <= wait_min <= wait_max")
 
@@ -89,6 +93,35 @@ class _Pacer:
             time.sleep(start - now)
 
 
+class _Slots:
+    """The job's rate as a grid of call slots in wall-clock time, ``rate`` a
+    second. Slots are dealt by position: of every ``parts`` in a row, partition
+    ``part`` owns one, as the round-robin exchange deals it every so-manieth row. A
+    call takes the next slot of its own, so no two calls of the job share one,
+    whichever tasks run, and early or late. (Executors' clocks are taken to agree.)"""
+
+    def __init__(self, rate: float, part: int, parts: int):
+        self.rate, self.part, self.parts = rate, part, parts
+        self.last, self.lock = -1, threading.Lock()
+
+    def wait(self):
+        with self.lock:
+            first = max(math.ceil(time.time() * self.rate), self.last + 1)
+            self.last = slot = first + (self.part - first) % self.parts
+        time.sleep(max(0.0, slot / self.rate - time.time()))
+
+
+class _Both:
+    """Waits for each of several pacers."""
+
+    def __init__(self, *pacers):
+        self.pacers = pacers
+
+    def wait(self):
+        for p in self.pacers:
+            p.wait()
+
+
 class DeadlineError(Exception):
     """The call overran the policy's deadline."""
 
@@ -153,6 +186,8 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
     to share a task: a hot key or a large group of identical rows is spread
     like any other, and Spark's sort before a round-robin exchange gives a
     retried task the same rows."""
+    if policy.job_rate and not partitions:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
     if partitions:
         df = df.repartition(partitions)
     schema = TY.StructType(list(df.schema.fields) + ENRICH_FIELDS)
@@ -160,6 +195,8 @@ def enrich(df: DataFrame, fn: Callable, prompt_col: str = "prompt",
 
     def run(batches):
         pacer = _Pacer(policy.rate)
+        if policy.job_rate:
+            pacer = _Both(pacer, _Slots(policy.job_rate, TaskContext.get().partitionId(), partitions))
         pool = ThreadPoolExecutor(policy.concurrency) if policy.concurrency > 1 else None
         calls = _Calls(policy.concurrency)
 

@@ -1,17 +1,20 @@
 """Dead letters, failure queues, reruns and appends (R-6..R-8, J-7, J-8,
-U-B, K-3, K-5..K-7, K-10)."""
+U-B, K-3, K-5..K-7, K-10); the table of the latest attempts is ``sources.attempts``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dossier.operators import enrich as EN
 from dossier.operators import ranking as RK
-from dossier.operators.parse import parse_replies
+from dossier.operators.parse import parse_replies, reply_map
 
 # dead-letter stages
 STAGE_PROMPT, STAGE_ENRICH, STAGE_TIMEOUT, STAGE_PARSE = "prompt", "enrich", "timeout", "parse"
+# what becomes of a row
+STAGE_FINAL = "final"
+OUTCOMES = (STAGE_FINAL, STAGE_PROMPT, STAGE_ENRICH, STAGE_TIMEOUT, STAGE_PARSE)
 PARSE_REASON = "reply is not one JSON object"
 
 
@@ -75,16 +78,28 @@ def offset_queue(queue: DataFrame, k: int = 0, order: str = "row") -> DataFrame:
     return RK.ordered_index(queue, [order], name="_q").filter(F.col("_q") >= k).drop("_q")
 
 
+def outcome_counts(enriched: DataFrame, reply: str = "response") -> tuple[DataFrame, Observation]:
+    """``enriched`` and an observation of it: rows in all and per outcome (final,
+    or the stage that failed). The counts come with the one write of the run, so
+    no report has to scan its table."""
+    status, parsed = F.col("status"), reply_map(reply).isNotNull()
+    stage = (F.when(status == EN.STATUS_PROMPT, STAGE_PROMPT).when(status == EN.STATUS_TIMEOUT, STAGE_TIMEOUT)
+             .when(status != EN.STATUS_OK, STAGE_ENRICH).when(parsed, STAGE_FINAL).otherwise(STAGE_PARSE))
+    seen = Observation()
+    return enriched.observe(seen, F.count(F.lit(1)).alias("entities"), *[
+        F.coalesce(F.sum((stage == s).cast("long")), F.lit(0)).alias(s) for s in OUTCOMES]), seen
+
+
 def append_attempt(df: DataFrame, path: str, attempt: int) -> None:
-    """Append one attempt's rows to a Parquet table; mode 'overwrite' for
-    the first attempt, 'append' afterwards (re-running an attempt = write it
-    again under a new attempt number, nothing is lost)."""
+    """Append one attempt's rows to a Parquet table that keeps every attempt;
+    mode 'overwrite' for the first attempt, 'append' afterwards (re-running an
+    attempt = write it again under a new attempt number, nothing is lost)."""
     mode = "overwrite" if attempt == 1 else "append"
     df.withColumn("attempt", F.lit(attempt)).write.mode(mode).parquet(path)
 
 
 def latest_attempt(table: DataFrame, key: str = "candid") -> DataFrame:
-    """Latest row per key. Groups hold one row per attempt (bounded)."""
+    """Latest row per key of such a table. Groups hold one row per attempt (bounded)."""
     w = Window.partitionBy(key).orderBy(F.col("attempt").desc())
     return table.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 

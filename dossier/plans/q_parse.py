@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dossier.operators import assemble as A
@@ -17,6 +16,7 @@ from dossier.plans.catalog import register
 from dossier.plans.q_entities import NORM
 from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
+from dossier.sources import attempts as AT
 
 ANSWERS = list(P.ANSWER_COLS)
 #: Documents beyond so many characters time out in the first run.
@@ -150,10 +150,21 @@ def route_prompts(spark, sf_dir):
         "candid", "row", "full", "state", "min_year", "given", A.query_text("full", "state").alias("prompt"))
 
 
-def route_run(spark, sf_dir, tries=3):
+def route_calls(spark, sf_dir, tries=3):
     pol = EN.Policy(tries=tries, timeout=None, token_limit=None, concurrency=CALLS_PER_TASK, **EN.NO_WAIT)
-    return materialize(EN.enrich(route_prompts(spark, sf_dir), RecordedService(SIZE_LIMIT), "prompt", key_col="given",
-                                 policy=pol, partitions=spark.sparkContext.defaultParallelism))
+    return EN.enrich(route_prompts(spark, sf_dir), RecordedService(SIZE_LIMIT), "prompt", key_col="given",
+                     policy=pol, partitions=spark.sparkContext.defaultParallelism)
+
+
+def route_run(spark, sf_dir, tries=3):
+    return materialize(route_calls(spark, sf_dir, tries))
+
+
+def route_counts(spark, sf_dir):
+    """The run's counts by outcome, observed on its one write."""
+    calls, seen = R.outcome_counts(route_calls(spark, sf_dir))
+    materialize(calls)
+    return seen.get
 
 
 ROUTE_SQL = O.with_(NORM, O.REPLIES, f"""parsed AS (
@@ -194,11 +205,9 @@ def q_missing_entities(spark, sf_dir):
 SELECT stage, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM outcome GROUP BY stage""")
 def q_loss_funnel(spark, sf_dir):
-    results, dead = R.split_outcomes(route_run(spark, sf_dir))
-    allrows = results.select(F.lit("final").alias("stage")).unionByName(dead.select("stage"))
-    counts = allrows.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
-    # the grand total is a window over the (at most five) stage rows
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
+    counts = {k: v for k, v in route_counts(spark, sf_dir).items() if k != "entities" and v}
+    total = sum(counts.values())
+    return spark.createDataFrame([(k, n, round(n / total, 6)) for k, n in counts.items()], "stage string, n long, share double")
 
 
 @register("stage_counts", ROUTE_SQL + """
@@ -206,12 +215,10 @@ SELECT 'entities' AS stage, count(*) AS n FROM outcome
 UNION ALL SELECT 'results', count(*) FROM outcome WHERE stage = 'final'
 UNION ALL SELECT 'dead_letters', count(*) FROM outcome WHERE stage <> 'final'""")
 def q_stage_counts(spark, sf_dir):
-    run = route_run(spark, sf_dir)
-    results, dead = R.split_outcomes(run)
-
-    def c(df, name):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-    return c(run, "entities").unionByName(c(results, "results")).unionByName(c(dead, "dead_letters"))
+    seen = route_counts(spark, sf_dir)
+    dead = seen["entities"] - seen[R.STAGE_FINAL]
+    return spark.createDataFrame([("entities", seen["entities"]), ("results", seen[R.STAGE_FINAL]), ("dead_letters", dead)],
+                                 "stage string, n long")
 
 
 @register("rerun_offset", ROUTE_SQL + f"""
@@ -237,10 +244,10 @@ FROM outcome""")
 def q_rerun_append(spark, sf_dir):
     first = route_run(spark, sf_dir)
     path = scratch_path(spark, "reruns")
-    R.append_attempt(first.select("candid", "status"), path, 1)
+    AT.upsert(first.select("candid", "status"), path, 1)
     # replay only calls without a successful reply (keyed by entity + prompt hash)
     failed = R.pending(first.drop("response", "status", "reason", "attempts"), first)
     pol = EN.Policy(tries=3, timeout=30.0, token_limit=None, **EN.NO_WAIT)
     second = EN.enrich(failed, RecordedService(otherwise="{}"), "prompt", key_col="given", policy=pol)
-    R.append_attempt(second.select("candid", "status"), path, 2)
-    return R.latest_attempt(spark.read.parquet(path)).select("candid", "attempt", "status")
+    AT.upsert(second.select("candid", "status"), path, 2)
+    return AT.read(spark, path).select("candid", "attempt", "status")

@@ -10,6 +10,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from dossier.functions import text as T
+from dossier.operators import enrich as EN
 from dossier.operators import link as L
 from dossier.operators import ranking as RK
 from dossier.operators import rerun as R
@@ -204,3 +205,17 @@ def test_each_copy_of_an_entity_gets_its_own_row(spark):
                                  "candid string, first string, middle string, last string, full string, state string, min_year int")
     got = [(r.candid, r.context, list(r.sources)) for r in gather_contexts(ents, corpus).collect()]
     assert sorted(got) == [("a", "lee x ann zed", ["u1", "u2"])] * 2 + [("b", "zed", ["u2"])]
+
+
+@pytest.mark.parametrize("tasks", [1, 2, 4])
+def test_job_rate_holds_whatever_tasks_run(spark, tasks):
+    """20 calls at 20 a second over 1, 2 and 4 tasks: never more than the rate in any half second."""
+    df = spark.range(20).select(F.col("id").cast("string").alias("prompt"))
+
+    def now(prompt):
+        import time
+        return str(time.time())
+    pol = EN.Policy(tries=1, timeout=None, job_rate=20.0, **EN.NO_WAIT)
+    at = sorted(float(r.response) for r in EN.enrich(df, now, "prompt", policy=pol, partitions=tasks).collect())
+    assert len(at) == 20 and at[-1] - at[0] >= 18 / 20
+    assert all(sum(t <= x < t + 0.5 for x in at) <= 12 for t in at)
