@@ -107,7 +107,7 @@ def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
     parts = entity_parts(entities, key)
     n_parts = bounded_count(parts)
     blocks = _blocks(corpus, hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS), once=True).where("term is not null")
-    index = PO.block_index(blocks, lambda d: F.lit(1))
+    index = PO.block_index(blocks, lambda d: F.lit(1), r)
     freq = blocks.groupBy("term").agg(F.sum("n").alias("_df"))
     found = subset_candidates(parts, freq, index, key, r, n_parts, by_parts=True, prune_from=prune_from)
     return with_urls(top_r(found, key, r), corpus, r, n_parts)
@@ -136,7 +136,7 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R, key: str = "candid",
     def weight(d):
         norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * d["dl"] / F.lit(avgdl or 1.0))
         return idf * d["tf"] * F.lit(k1 + 1.0) / (d["tf"] + norm)
-    index = PO.block_index(blocks.join(hint_if(freq, small), "term"), weight)
+    index = PO.block_index(blocks.join(hint_if(freq, small), "term"), weight, r)
     found = subset_candidates(parts, freq, index, key, r, n_parts, prune_from=prune_from)
     return with_urls(top_r(found, key, r), corpus, r, n_parts)
 

@@ -1,9 +1,9 @@
 """A stored index of postings with block maxima, and exact top-r search in it.
 
 ``block_index`` keeps, per term and range of 2 ** ``RANGE_BITS`` document ids,
-one row: the documents with their weights, and the greatest weight (``top``). Rows
-lie sorted by term and range in their files, so a search reads the row groups
-of its terms.
+one row: the documents with their weights, the greatest weight (``top``) and the
+``best`` few documents. Rows lie sorted by term and range in their files, so a
+search reads the row groups of its terms.
 
 A search (``sid``) is a set of weighted terms; documents that hold all of them
 are ranked by the sum of factor times weight, ties by id. It is answered on
@@ -16,6 +16,10 @@ blocks, never by joining postings with postings:
 3. of the other ranges only those are scored whose bound still reaches it (for
    an equal bound: whose ids are smaller, since ties go to the smaller id).
 
+A search for one term takes the best documents of its blocks. For several, the
+blocks are dealt by range, where all that is known of a document meets, and a
+range gives its r best at most; no hit is shuffled.
+
 A term in a third of all documents thus costs one row per 1,024 of them in step
 1, and only ranges that can still win are opened. Where few ranges are met at
 all (``PRUNE_FROM``), steps 2 and 3 are one; the rows are the same."""
@@ -50,12 +54,15 @@ def block_rows(occurrences: DataFrame) -> DataFrame:
         F.collect_list(F.struct("page_id", "tf", "dl")).alias("docs"), F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl"))
 
 
-def block_index(blocks: DataFrame, weight) -> DataFrame:
-    """The stored index (term, range, top, docs) of blocks, where docs holds
-    (page_id, w) and ``weight`` gives w of a document."""
+def block_index(blocks: DataFrame, weight, r: int) -> DataFrame:
+    """The stored index (term, range, top, best, docs) of blocks, where docs holds
+    (page_id, w) and ``weight`` gives w of a document; best holds the r best."""
     docs = F.transform("docs", lambda d: F.struct(d["page_id"].alias("page_id"), weight(d).cast("double").alias("w")))
     index = blocks.select("term", "range", docs.alias("docs"))
-    index = index.select("term", "range", F.array_max(F.transform("docs", lambda d: d["w"])).alias("top"), "docs")
+    ranked = F.array_sort(F.transform("docs", lambda d: F.struct((-F.round(d["w"], DIGITS)).alias("less"), d["page_id"].alias("page_id"))))
+    index = index.select("term", "range", F.array_max(F.transform("docs", lambda d: d["w"])).alias("top"),
+                         F.transform(F.slice(ranked, 1, r), lambda d: F.struct(
+                             d["page_id"].alias("page_id"), (-d["less"]).alias("score"))).alias("best"), "docs")
     return materialize(index.sortWithinPartitions("term", "range"), "block-index")
 
 
@@ -79,10 +86,15 @@ def scored(chosen: DataFrame, searches: DataFrame, index: DataFrame, r: int, sma
     chosen ranges (sid, range)."""
     asked = chosen.select("sid", "range").join(hint_if(searches, small), "sid").select(
         "sid", "range", F.size("terms").alias("need"), F.inline("terms"))
-    hits = index.select("term", "range", "docs").join(asked, ["term", "range"]).select("sid", "need", "f", F.inline("docs"))
-    found = hits.groupBy("sid", "page_id", "need").agg(
+    whole = (F.col("need") == 1) & (F.col("f") == 1)
+    alone = index.select("term", "range", "best").join(asked.where(whole), ["term", "range"]).select("sid", F.inline("best"))
+    hits = index.select("term", "range", "docs").repartition("range").join(
+        hint_if(asked.where(~whole), small), ["term", "range"]).select("sid", "range", "need", "f", F.inline("docs"))
+    found = hits.groupBy("range", "sid", "page_id", "need").agg(
         F.count(F.lit(1)).alias("got"), F.round(F.sum(F.col("w") * F.col("f")), DIGITS).alias("score")).where("got = need")
-    return best(found.select("sid", "page_id", "score"), r)
+    w = Window.partitionBy("range", "sid").orderBy(F.col("score").desc(), F.col("page_id").asc())
+    found = found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= r).select("sid", "page_id", "score")
+    return best(alone.unionByName(found), r)
 
 
 def best(found: DataFrame, r: int) -> DataFrame:
@@ -98,7 +110,7 @@ def search(searches: DataFrame, index: DataFrame, r: int, n_searches: int,
     small = n_searches <= DEFAULT_BROADCAST_ROWS
     met = materialize(bounds(searches, index, small), "search-ranges")
     if met.limit(prune_from + 1).count() <= prune_from:
-        return scored(F.broadcast(met) if prune_from <= DEFAULT_BROADCAST_ROWS else met, searches, index, r, small)
+        return scored(met, searches, index, r, small and 6 * prune_from <= 2 * DEFAULT_BROADCAST_ROWS)
     order = Window.partitionBy("sid").orderBy(F.col("bound").desc(), F.col("range").asc())
     first = met.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= r).drop("_n")
     first = materialize(first, "first-ranges")
