@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 STOP_WORD = "accessibility"
 # Words kept per source excerpt.
 MAX_WORDS = 400
+# Pages read of a PDF source.
+FIRST_PAGES = 3
 # Markers around the excerpt inside a stored extraction prompt.
 PROMPT_TEXT_MARKER = "text: "
 PROMPT_TAIL_MARKER = "If any desired"
@@ -125,6 +127,17 @@ def html_to_text(c) -> Column:
     return F.lower(F.trim(F.regexp_replace(decode_entities(t), f"{SPACE}+", " ")))
 
 
+def paged_text(c, pages: int = FIRST_PAGES) -> Column:
+    """The first pages of a text whose pages end with a form feed (what a PDF's
+    text comes as), joined by a space, lower-cased."""
+    return F.lower(F.array_join(F.slice(F.split(col(c), "\f", -1), 1, pages), " "))
+
+
+def source_text(url, body) -> Column:
+    """A fetched source's text: the first pages of a PDF, else the visible text of its HTML."""
+    return F.when(is_pdf(url), paged_text(body)).otherwise(html_to_text(body))
+
+
 def first_words_pattern(n: int) -> str:
     """Anchored pattern whose groups 1..n are the first n letter runs."""
     inner = ""

@@ -99,7 +99,9 @@ def fit(rows: DataFrame, n_features: int, hidden: Sequence[int], epochs: int, ba
     if not n:
         raise ValueError("no training rows")
     tasks = max(1, min(n // ROWS_PER_TASK, rows.sparkSession.sparkContext.defaultParallelism))
-    rows = materialize(rows.select("x", F.col("y").cast("double").alias("y")).repartition(tasks, F.xxhash64("x", "y")), "net-rows")
+    rows = rows.select("x", F.col("y").cast("double").alias("y"))
+    # one task's rows need no exchange and no average
+    rows = materialize(rows.coalesce(1) if tasks == 1 else rows.repartition(tasks, F.xxhash64("x", "y")), "net-rows")
     net = Net.start(n_features, hidden, seed)
     m, v, t = np.zeros_like(net.weights), np.zeros_like(net.weights), 0
     for epoch in range(epochs):
@@ -120,8 +122,10 @@ def fit(rows: DataFrame, n_features: int, hidden: Sequence[int], epochs: int, ba
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(size + 1)), pa.array(np.append(net.weights, steps)), pa.array(np.append(m, 0)),
                      pa.array(np.append(v, 0)), pa.array(np.full(size + 1, float(seen)))], ["i", "w", "m", "v", "n"])
-        got = rows.mapInArrow(run, "i long, w double, m double, v double, n double").groupBy("i").agg(
-            *[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in "wmv"]).toPandas().sort_values("i")
+        made = rows.mapInArrow(run, "i long, w double, m double, v double, n double")
+        if tasks > 1:
+            made = made.groupBy("i").agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in "wmv"])
+        got = made.toPandas().sort_values("i")
         w = got["w"].to_numpy()
         net, m, v, t = Net(net.sizes, w[:-1]), got["m"].to_numpy()[:-1], got["v"].to_numpy()[:-1], int(round(w[-1]))
     return net

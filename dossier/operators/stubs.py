@@ -28,6 +28,13 @@ def rule_reply(prompt: str) -> str:
     return json.dumps(dict(zip(ANSWER_KEYS, vals)), ensure_ascii=False)
 
 
+def birth_reply(prompt: str) -> str:
+    """A rule-based 'model' for birth years: of the words after the prompt's last
+    colon, none gives N/A, an odd number a graduation, else a year."""
+    n = len([w for w in prompt.rsplit("nothing else: ", 1)[-1].split(" ") if w])
+    return "N/A" if not n else f"Graduated in {1960 + n % 50}" if n % 2 else str(1940 + n % 60)
+
+
 class RecordedService:
     """Answers from a reply recorded in a table: ``given`` is
     '<characters>:<reply>', null where there is none. Fails without a record

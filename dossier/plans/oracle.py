@@ -44,6 +44,11 @@ def html_to_text(x: str) -> str:
     return f"lower({strip(f"regexp_replace({decoded}, {q(T.SPACE + '+')}, ' ', 'g')")})"
 
 
+def source_text(url: str, body: str) -> str:
+    pages = f"lower(array_to_string(string_split({body}, chr(12))[1:{T.FIRST_PAGES}], ' '))"
+    return f"CASE WHEN contains({url}, '.pdf') THEN {pages} ELSE {html_to_text(body)} END"
+
+
 def letter_terms(x: str) -> str:
     return f"regexp_extract_all({x}, {q(T.LETTER_RUN)})"
 
@@ -153,14 +158,14 @@ text_entities AS (
   FROM names)"""
 
 PAGE_CORPUS = f"""corpus AS (
-  SELECT page_id, url, {html_to_text('html')} AS text FROM pages)"""
+  SELECT page_id, url, {source_text('url', 'html')} AS text FROM pages)"""
 
 DOC_CORPUS = """corpus AS (
   SELECT doc_id AS page_id, 'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
          lower(text) AS text FROM documents)"""
 
 EN_US_PAGES = f"""corpus AS (
-  SELECT page_id, url, {html_to_text('html')} AS text FROM pages
+  SELECT page_id, url, {source_text('url', 'html')} AS text FROM pages
   WHERE regexp_extract(html, '<html[^>]*\\blang="([^"]*)"', 1) = 'en'
     AND ends_with(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '.com'))"""
 

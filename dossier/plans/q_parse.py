@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dossier.functions import text as T
 from dossier.operators import assemble as A
 from dossier.operators import enrich as EN
 from dossier.operators import entities as E
 from dossier.operators import parse as P
 from dossier.operators import rerun as R
-from dossier.operators.stubs import RecordedService, rule_reply
+from dossier.operators.stubs import RecordedService, birth_reply, rule_reply
 from dossier.plans import oracle as O
 from dossier.plans import views as V
 from dossier.plans.catalog import register
@@ -17,6 +18,7 @@ from dossier.plans.q_entities import NORM
 from dossier.plans.q_text import PIPE, page_prompts
 from dossier.session import materialize, scratch_path
 from dossier.sources import attempts as AT
+from dossier.sources.csv import read_csv, write_csv
 
 ANSWERS = list(P.ANSWER_COLS)
 #: Documents beyond so many characters time out in the first run.
@@ -139,6 +141,30 @@ def q_rerun_prompt_errors(spark, sf_dir):
     return again.select("candid", "status")
 
 
+_YEAR = f"""coalesce(TRY_CAST(nullif(regexp_extract(reply, {O.q(P.BORN_YEAR)}, 1), '') AS INTEGER),
+                TRY_CAST(nullif(regexp_extract(reply, {O.q(P.GRAD_YEAR)}, 1), '') AS INTEGER) - {P.GRADUATION_AGE})"""
+
+
+@register("birth_year_run", STUB_SQL + f""",
+replied AS (SELECT candid, CASE WHEN len(w) = 0 THEN 'N/A' WHEN len(w) % 2 = 1 THEN 'Graduated in ' || CAST(1960 + len(w) % 50 AS VARCHAR)
+                           ELSE CAST(1940 + len(w) % 60 AS VARCHAR) END AS reply FROM called)
+SELECT candid, reply AS birth_year, {_YEAR} AS birth_year_int FROM replied""")
+def q_birth_year_run(spark, sf_dir):
+    """Birth years as a run: the excerpt recovered from each stored prompt, the
+    new prompt, the call, one CSV file of (Candid, Birth Year) read back."""
+    stored = page_prompts(spark, sf_dir)
+    prompts = stored.select("candid", A.birth_year_prompt("full", "state", T.recover_excerpt("prompt")).alias("prompt"))
+    pol = EN.Policy(tries=6, timeout=None, token_limit=None, **EN.NO_WAIT)
+    called = materialize(EN.enrich(prompts, birth_reply, "prompt", policy=pol,
+                                   partitions=spark.sparkContext.defaultParallelism))
+    path = scratch_path(spark, "birth-years")
+    answered = called.filter(F.col("status") == EN.STATUS_OK)
+    write_csv(answered.select(F.col("candid").alias("Candid"), F.col("response").alias("Birth Year")), path)
+    back = read_csv(spark, path, split=True)
+    return back.select(F.col("Candid").alias("candid"), F.col("Birth Year").alias("birth_year"),
+                       P.birth_year("Birth Year").alias("birth_year_int"))
+
+
 # --- a run over the entity table, answered from the recorded replies --------------
 
 def route_prompts(spark, sf_dir):

@@ -73,9 +73,9 @@ def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_corpus(spark: SparkSession, sf_dir: str) -> Corpus:
-    """Crawled pages; their text is the visible text of the HTML."""
+    """Crawled pages; their text is the visible text of the HTML, of a PDF its first pages."""
     p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return Corpus(p, T.html_to_text("html"))
+    return Corpus(p, T.source_text("url", "html"))
 
 
 LANG_ATTR = r'<html[^>]*\blang="([^"]*)"'
@@ -100,7 +100,7 @@ def filtered_pages(spark: SparkSession, sf_dir: str, lang: str = "en",
     keep = F.regexp_extract("html", LANG_ATTR, 1) == lang
     keep = keep & F.greatest(*[F.endswith(host, F.lit(s)) for s in host_suffixes]) \
         if len(host_suffixes) > 1 else keep & F.endswith(host, F.lit(host_suffixes[0]))
-    return Corpus(p.filter(keep).select("page_id", "url", "html"), T.html_to_text("html"))
+    return Corpus(p.filter(keep).select("page_id", "url", "html"), T.source_text("url", "html"))
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,3 +137,10 @@ def test_space_is_that_of_python(spark):
         c = chars[r.i]
         assert r.s == (c + "x" + c).strip(), hex(ord(c))
         assert r.n == re.sub(r"\s*\n\s*", " ", "a" + c + "\n" + c + "b"), hex(ord(c))
+
+
+def test_pdf_sources_are_their_first_pages(spark):
+    rows = [("http://x/a.pdf", "One\fTwo\fThree\fFour"), ("http://x/b.pdf?c", "Only"), ("http://x/d", "<p>Page</p>"), ("u.pdf", None)]
+    df = spark.createDataFrame(rows, "url string, html string")
+    got = [r.t for r in df.select(T.source_text("url", "html").alias("t")).collect()]
+    assert got == ["one two three", "only", "page", None]
