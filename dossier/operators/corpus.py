@@ -46,8 +46,7 @@ class Corpus:
         fan = (pairs.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
                .select(on, (F.floor((F.col("_n") - 1) / rows_per_copy) + 1).cast("int").alias("_f")))
         fan = checked_broadcast(fan)     # one row per referenced document
-        raw = self.df.drop("url") if "url" in pairs.columns else self.df
-        docs = (raw.join(fan, on)
+        docs = (self.df.join(fan, on)
                 .select(on, "_f", self.text.alias("text"))
                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_f") - 1)))
                 .drop("_f"))
