@@ -14,8 +14,9 @@ into a table (state, letter) -> next state, in which a missing letter leads
 where the next phrase begins, with a mark. Texts are cut into blocks of
 ``BLOCK`` characters (a phrase never crosses a block) and all blocks of a
 batch advance together, one letter a step, by array lookups. Tables are
-broadcast: their size is languages x ``SAMPLE`` characters, whatever the
-corpus. Up to ``MAX_LANGUAGES`` learned languages take one pass; more are
+broadcast: their size is languages x ``SAMPLE`` characters x ``DENSE`` letters,
+whatever the corpus and the script; rarer letters keep only the transitions
+that exist. Up to ``MAX_LANGUAGES`` learned languages take one pass; more are
 taken in groups of so many, one group's tables in memory at a time: the texts
 are staged with a row number, each pass adds a row's best language and the sum
 of its score, and these are merged by row. Whole texts count.
@@ -51,7 +52,9 @@ from dossier.llm.base import count_over, fold, numbered, stage, table
 
 SAMPLE, PART, PARTS = 40_000, 2000, 800
 BLOCK, AT_ONCE, SPAN = 1024, 4096, 100
-#: Languages whose tables are in memory at a time: each takes some 15 MB of a Python worker.
+#: Letters of a language with a table column of their own.
+DENSE = 64
+#: Languages whose tables are in memory at a time: each takes 25 MB of a Python worker at most.
 MAX_LANGUAGES = 30
 #: So many languages are few enough to broadcast their counts.
 FEW = 100_000
@@ -125,28 +128,60 @@ def automaton(letters: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """Counts the phrases of texts against one sample."""
+    """Counts the phrases of texts against one sample. The ``DENSE`` most
+    frequent letters have a table column each; of the others, a script of
+    thousands may have many, only the transitions that exist are kept, sorted by
+    (state, letter), so memory follows the sample and not the alphabet."""
 
     def __init__(self, letters: np.ndarray):
-        self.alphabet = np.unique(letters[letters != BREAK])
-        self.width = FIRST + len(self.alphabet)
+        found, times = np.unique(letters[letters != BREAK], return_counts=True)
+        self.alphabet = found
+        #: Per place in the alphabet the letter's code, the most frequent first.
+        self.code = np.empty(len(found), np.int32)
+        self.code[np.lexsort((found, -times))] = np.arange(FIRST, FIRST + len(found), dtype=np.int32)
+        self.size = FIRST + len(found)
+        self.width = FIRST + min(DENSE, len(found))
         self.bits = np.log2(max(2, len(letters)))
         moves = automaton(self.coded(letters).tolist())
-        start = np.zeros(self.width, np.int32)
+        start = np.zeros(self.size, np.int32)
         for c, to in moves[0].items():
             start[c] = to
         # a letter that doesn't go on completes the phrase; an unknown letter is one of its own
         unknown = start == 0
-        self.table = np.tile(start + ((1 + unknown.astype(np.int32)) << SHIFT), (len(moves), 1))
-        self.table[0, unknown] = 1 << SHIFT
+        self.anew = start + ((1 + unknown.astype(np.int32)) << SHIFT)
+        self.table = np.tile(self.anew[:self.width], (len(moves), 1))
+        self.table[0, unknown[:self.width]] = 1 << SHIFT
+        rare: list[tuple[int, int]] = []
         for state, row in enumerate(moves):
-            self.table[state, list(row)] = list(row.values())
+            for c, to in row.items():
+                if c < self.width:
+                    self.table[state, c] = to
+                else:
+                    rare.append((state * self.size + c, to))
         self.table = self.table.ravel()
+        rare.sort()
+        # one more key than any there is, so that every search ends at one
+        self.keys = np.array([k for k, _ in rare] + [np.iinfo(np.int64).max], np.int64)
+        self.goes = np.array([to for _, to in rare] + [0], np.int32)
 
     def coded(self, letters: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.alphabet, letters)
-        known = self.alphabet[np.minimum(at, len(self.alphabet) - 1)] == letters if len(self.alphabet) else letters < 0
-        return np.where(letters == BREAK, BREAK, np.where(known, at + FIRST, MISSING)).astype(np.int32)
+        if not len(self.alphabet):
+            return np.where(letters == BREAK, BREAK, MISSING).astype(np.int32)
+        at = np.minimum(np.searchsorted(self.alphabet, letters), len(self.alphabet) - 1)
+        return np.where(letters == BREAK, BREAK, np.where(self.alphabet[at] == letters, self.code[at], MISSING)).astype(np.int32)
+
+    def step(self, state: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Where each state goes with its letter, phrases completed in the upper bits."""
+        if self.size == self.width:
+            return self.table[state * self.width + row]
+        rare = row >= self.width
+        to = self.table[state * self.width + np.where(rare, 0, row)]
+        some = np.flatnonzero(rare)
+        if len(some):
+            keys = state[some].astype(np.int64) * self.size + row[some]
+            at = np.searchsorted(self.keys, keys)
+            to[some] = np.where(self.keys[at] == keys, self.goes[at], self.anew[row[some]])
+        return to
 
     def phrases(self, columns: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Per block: ``columns[i]`` is the i-th letter of all blocks, longest
@@ -155,7 +190,7 @@ class Parser:
         count = np.zeros(len(lengths), np.int64)
         live = np.searchsorted(-lengths, -np.arange(1, len(columns) + 1), side="right")
         for row, n in zip(columns, live):
-            to = self.table[state[:n] * self.width + row[:n]]
+            to = self.step(state[:n], row[:n])
             count[:n] += to >> SHIFT
             state[:n] = to & ((1 << SHIFT) - 1)
         return count + (state > 0)

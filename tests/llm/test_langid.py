@@ -43,6 +43,33 @@ def test_phrases(sample, texts):
         assert g == spec(codes.tolist(), L.Folder.codes(t).tolist())
 
 
+def test_a_script_of_thousands_of_letters():
+    """5,000 letters: the parse is that of the definition, memory follows the transitions."""
+    rng = np.random.default_rng(2)
+    letters = np.array([c for c in range(0x4E00, 0x4E00 + 5000)], np.uint32)
+    draw = (letters[np.minimum(rng.zipf(1.2, 40_000) - 1, 4999)]).astype(np.uint32)
+    parser = L.Parser(draw)
+    assert parser.table.nbytes + parser.keys.nbytes + parser.goes.nbytes < 30_000_000
+    small = L.Parser(draw[:1500])
+    texts = [np.concatenate([draw[s:s + 40], rng.choice(letters, 20), draw[s + 7:s + 30]]).astype(np.uint32) for s in range(0, 1400, 100)]
+    grid = np.stack(texts)
+    got = small.phrases(np.ascontiguousarray(small.coded(grid).T), np.full(len(texts), grid.shape[1]))
+    assert got.tolist() == [spec(draw[:1500].tolist(), t.tolist()) for t in texts]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="ab c", min_size=1, max_size=25), st.text(alphabet="abc x", min_size=1, max_size=20))
+def test_sparse_letters_parse_alike(sample, text):
+    dense, L.DENSE = L.DENSE, 1
+    try:
+        parser = L.Parser(L.Folder.codes(sample))
+    finally:
+        L.DENSE = dense
+    row = L.Folder.codes(text)[None]
+    got = parser.phrases(np.ascontiguousarray(parser.coded(row).T), np.array([row.shape[1]]))
+    assert got.tolist() == [spec(L.Folder.codes(sample).tolist(), row[0].tolist())]
+
+
 def test_blocks_and_batches(monkeypatch):
     texts = ["ab ab c" * 50, "", "...", "cab" * 7, "b"]
     models = [L.Parser(L.Folder.codes("ab abc cab b"))]
