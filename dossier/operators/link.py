@@ -84,17 +84,21 @@ def _terms(parts: DataFrame) -> DataFrame:
     return parts.select(F.explode("part").alias("term")).distinct()
 
 
-def _blocks(corpus, vocab: DataFrame, once: bool) -> DataFrame:
-    """Staged blocks of the vocabulary's postings, ``once`` without counting how
-    often. One pass over the corpus: every document gives one row of the null
-    term, which carries its length, and its words that are in the vocabulary."""
+def _blocks(corpus, vocab: DataFrame, lengths: bool) -> DataFrame:
+    """Staged blocks of the vocabulary's postings, in one pass over the corpus.
+    With ``lengths`` words are counted as often as they stand, and every document
+    gives one row of the null term, which carries its length; without, a word
+    stands once per document."""
     terms = T.letter_terms("text")
-    docs = as_corpus(corpus).texts().select("page_id", terms.alias("terms"))
-    words = F.array_distinct("terms") if once else F.col("terms")
-    rows = (docs.select("page_id", F.size("terms").alias("dl"), F.explode(F.concat(
-        F.array(F.lit(None).cast("string")), words)).alias("term"))
-        .join(vocab.withColumn("_in_vocab", F.lit(True)), "term", "left")
-        .filter(F.col("term").isNull() | F.col("_in_vocab")).select("term", "page_id", "dl"))
+    docs = as_corpus(corpus).texts()
+    if lengths:
+        docs = docs.select("page_id", terms.alias("terms"))
+        rows = (docs.select("page_id", F.size("terms").alias("dl"), F.explode(F.concat(
+            F.array(F.lit(None).cast("string")), "terms")).alias("term"))
+            .join(vocab.withColumn("_in_vocab", F.lit(True)), "term", "left")
+            .filter(F.col("term").isNull() | F.col("_in_vocab")).select("term", "page_id", "dl"))
+    else:
+        rows = docs.select("page_id", F.lit(0).alias("dl"), F.explode(F.array_distinct(terms)).alias("term")).join(vocab, "term")
     return materialize(PO.block_rows(rows), "blocks")
 
 
@@ -106,7 +110,7 @@ def link_overlap(entities: DataFrame, corpus, r: int = MAX_R,
     check_r(r)
     parts = entity_parts(entities, key)
     n_parts = bounded_count(parts)
-    blocks = _blocks(corpus, hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS), once=True).where("term is not null")
+    blocks = _blocks(corpus, hint_if(_terms(parts), n_parts <= DEFAULT_BROADCAST_ROWS), lengths=False)
     index = PO.block_index(blocks, lambda d: F.lit(1), r)
     freq = blocks.groupBy("term").agg(F.sum("n").alias("_df"))
     found = subset_candidates(parts, freq, index, key, r, n_parts, by_parts=True, prune_from=prune_from)
@@ -125,7 +129,7 @@ def link_bm25(entities: DataFrame, corpus, r: int = MAX_R, key: str = "candid",
     parts = entity_parts(entities, key, state=state)
     n_parts = bounded_count(parts)
     small = n_parts <= DEFAULT_BROADCAST_ROWS
-    every = _blocks(corpus, hint_if(_terms(parts), small), once=False)
+    every = _blocks(corpus, hint_if(_terms(parts), small), lengths=True)
     got = every.filter(F.col("term").isNull()).agg(F.sum("n").alias("n"), F.sum("dl").alias("total")).first()
     n_docs = int(got["n"] or 0)
     avgdl = float(got["total"] or 0) / n_docs if n_docs else 1.0

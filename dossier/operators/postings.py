@@ -106,8 +106,17 @@ def best(found: DataFrame, r: int) -> DataFrame:
 def search(searches: DataFrame, index: DataFrame, r: int, n_searches: int,
            prune_from: int = PRUNE_FROM) -> DataFrame:
     """(sid, page_id, score): the r best documents of each search that hold all
-    its terms. ``n_searches`` is a bound on the rows of ``searches``."""
+    its terms. ``n_searches`` is a bound on the rows of ``searches``. Inside,
+    searches go by number: hits are many, and numbers are cheap to group by."""
     small = n_searches <= DEFAULT_BROADCAST_ROWS
+    named = materialize(searches.withColumn("no", F.monotonically_increasing_id()), "searches")
+    found = answered(named.select(F.col("no").alias("sid"), "terms"), index, r, small, prune_from)
+    return found.withColumnRenamed("sid", "no").join(hint_if(named.select("no", "sid"), small), "no").select(
+        "sid", "page_id", "score")
+
+
+def answered(searches: DataFrame, index: DataFrame, r: int, small: bool, prune_from: int) -> DataFrame:
+    """``search`` for searches that go by number."""
     met = materialize(bounds(searches, index, small), "search-ranges")
     if met.limit(prune_from + 1).count() <= prune_from:
         return scored(met, searches, index, r, small and 6 * prune_from <= 2 * DEFAULT_BROADCAST_ROWS)
