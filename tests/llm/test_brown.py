@@ -101,3 +101,47 @@ def test_edges(spark):
     none = B.scored(spark.createDataFrame([(d, "x y", 0, "", "", 1) for d in only], SCHEMA)).collect()
     assert all(r.base_score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in none)
     assert B.scored(docs.limit(0)).collect() == []
+
+
+def test_rare_words_get_a_class_of_their_own(spark):
+    """2,600 words of one ending, three times each, half of them used as some 20 frequent words are, half as
+    20 others: beyond any number of frequent words, a word goes to the class that has its neighbours."""
+    letters = "abcdefghijk"
+    ends = [a + b + c for a in letters for b in letters for c in letters]
+    kinds = [[f"{k}{e}ing" for e in ends[:1300]] for k in "xy"]
+    often = [[f"{k}{e}" for e in ends[at:at + 20]] for k, at in (("p", 0), ("q", 400))]
+    marks = ["left", "right"]
+    texts = [f"{marks[k]} {w} {marks[1 - k]}" for k in (0, 1) for w in kinds[k] * 3 + often[k] * 300]
+    ids = [d for d in range(2 * len(texts)) if not held(d)][:len(texts)]
+    docs = spark.createDataFrame([(d, t, 0, "", "", 1) for d, t in zip(ids, texts)], SCHEMA).coalesce(1)
+    chunks = B.chunked(docs, "doc_id", "text")
+    words = B.with_units(B.counted(chunks))
+    names = chunks.where("word is not null").select("chunk", "number", "word")
+    of = {bytes(r.word).decode(): r.unit for r in words.join(names, ["chunk", "number"]).collect()}
+    one, two = ({of[w] for w in k} for k in kinds)
+    assert not one & two and one <= {of[w] for w in often[0]} and two <= {of[w] for w in often[1]}
+
+
+def test_counts_as_powers():
+    n = np.array([1, 2, 3, 0, 32_768, 100_000, 65_537])
+    place, exponent = B.powers(n)
+    assert np.array_equal(np.bincount(place, 1 << exponent, len(n)).astype(int), n) and (np.diff(place) >= 0).all()
+
+
+def test_word_wise_moves_by_hand():
+    """Each word goes where the likelihood with its pairs moved there is greatest."""
+    rng = np.random.default_rng(2)
+    table = rng.integers(30, 60, (4, 4)).astype(float)
+    home, near = np.array([0, 2, 3]), rng.integers(0, 9, (3, 2, 4))
+    got = B.best_classes(table, home, near)
+    f = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+    for w, h in enumerate(home):
+        at = []
+        for c in range(4):
+            col, row = table.copy(), table.copy()
+            col[:, h] -= near[w, 0]
+            col[:, c] += near[w, 0]
+            row[h] -= near[w, 1]
+            row[c] += near[w, 1]
+            at.append(f(col) - f(col.sum(0)) + f(row) - f(row.sum(1)))
+        assert got[w] == np.argmax(at)
