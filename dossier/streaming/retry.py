@@ -1,9 +1,11 @@
 """The retry queue as stream state (R-7, R-10 with R-1, R-2).
 
 Requests (key, prompt) arrive as files. Per key the stream keeps what was asked
-and how often (``transformWithState``); a failed call sets a timer for its next
-try, random exponential as in ``enrich.Policy``, and when the timer fires the
-call is made again, whether or not new requests come. A success, or the last
+and how often (``applyInPandasWithState``: rows and states come to a task and go
+back in Arrow batches of many keys, so a key costs no exchange of its own with the
+state store); a failed call sets a timer for its next try, random exponential as in
+``enrich.Policy``, and when the timer fires the call is made again, whether or not
+new requests come. A success, or the last
 failure, is written once; a request that comes again with the same prompt is
 known and not called. A changed prompt is a new request.
 
@@ -19,11 +21,12 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dossier.operators import enrich as EN
 
@@ -32,35 +35,35 @@ OUTCOME = TY.StructType([*REQUEST.fields, *EN.ENRICH_FIELDS])
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class RetryQueue(StatefulProcessor):
-    """One key's request: state is (prompt, attempts so far, whether it is done)."""
+#: One key's request; ``due``: when its next try is, in milliseconds.
+STATE = "prompt string, attempts int, done boolean, due long"
+
+
+class RetryQueue:
+    """The step of one key; calls and their pace are those of the task."""
 
     def __init__(self, fn: Callable[[str, int], object], policy: EN.Policy):
         self.fn, self.policy = fn, policy
+        self.calls = self.pacer = None
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.request = handle.getValueState("request", "prompt string, attempts int, done boolean")
-        self.calls = EN._Calls(1)
-        self.pacer = EN._Pacer(self.policy.rate)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if self.calls is None:  # they hold locks, so a task makes its own
+            self.calls, self.pacer = EN._Calls(1), EN._Pacer(self.policy.rate)
+        known = state.get if state.exists else None
         asked = None
-        for pdf in rows:
+        for pdf in frames:
             for prompt in pdf["prompt"]:
                 asked = (prompt if isinstance(prompt, str) else None,)
-        known = self.request.get() if self.request.exists() else None
-        if asked is not None and (known is None or known[0] != asked[0]):
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            yield from self.attempt(key, asked[0], 0, timerValues)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        prompt, attempts, done = self.request.get()
-        if not done:
-            yield from self.attempt(key, prompt, attempts, timerValues)
-
-    def attempt(self, key, prompt: str | None, before: int, timers) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            if not known[2]:
+                yield from self.attempt(key, known[0], known[1], state)
+        elif asked is not None and (known is None or known[0] != asked[0]):
+            yield from self.attempt(key, asked[0], 0, state)
+        elif known is not None and not known[2]:
+            # asked again meanwhile: the timer, dropped by this call, is set anew
+            state.setTimeoutDuration(max(1, known[3] - state.getCurrentProcessingTimeMs()))
+
+    def attempt(self, key: tuple, prompt: str | None, before: int, state: GroupState) -> Iterator[pd.DataFrame]:
         """One call. Yields the outcome if it is the last, else sets the timer of the next."""
         p = self.policy
         if prompt is None:
@@ -73,23 +76,21 @@ class RetryQueue(StatefulProcessor):
                                                               random.Random(), self.calls)
             out = (response, status, reason, before + 1)
             if status not in (EN.STATUS_OK, EN.STATUS_TIMEOUT) and before + 1 < p.tries:
-                self.request.update((prompt, before + 1, False))
                 top = max(p.wait_min, min(p.wait_max, p.wait_min * 2 ** before))
-                wait = int(1000 * random.uniform(p.wait_min, top))
-                self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + wait)
+                wait = max(1, int(1000 * random.uniform(p.wait_min, top)))
+                state.update((prompt, before + 1, False, state.getCurrentProcessingTimeMs() + wait))
+                state.setTimeoutDuration(wait)
                 return
-        self.request.update((prompt, out[3], True))
-        yield pd.DataFrame([(key[0], prompt, *out)], columns=OUTCOME.fieldNames()).astype({"attempts": "int32"})
-
-    def close(self) -> None:
-        self.calls.close()
+        state.update((prompt, out[3], True, 0))
+        row = dict(zip(OUTCOME.fieldNames(), (key[0], prompt, *out), strict=True))
+        yield pd.DataFrame({c: np.array([v], np.int32 if c == "attempts" else object) for c, v in row.items()})
 
 
 def retry_stream(requests: DataFrame, fn: Callable[[str, int], object], policy: EN.Policy) -> DataFrame:
     """Outcomes of a stream of ``REQUEST`` rows; ``fn(prompt, attempt)`` is called
     at most ``policy.tries`` times per request."""
-    return requests.groupBy("key").transformWithStateInPandas(
-        RetryQueue(fn, policy), outputStructType=OUTCOME, outputMode="Append", timeMode="ProcessingTime")
+    return requests.groupBy("key").applyInPandasWithState(
+        RetryQueue(fn, policy), OUTCOME, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def outcomes(spark: SparkSession, output_dir: str) -> DataFrame:
@@ -103,18 +104,25 @@ def run_retrying(spark: SparkSession, input_dir: str, output_dir: str, checkpoin
     for about ``seconds``; True when nothing is left. A later call goes on."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKS_DB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    # a batch writes what it changed, not all states anew
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     asked = spark.read.schema(REQUEST).parquet(input_dir).distinct()
     stream = spark.readStream.schema(REQUEST).parquet(input_dir)
     query = (retry_stream(stream, fn, policy).writeStream.format("parquet").option("path", output_dir)
              .option("checkpointLocation", checkpoint).outputMode("append").trigger(processingTime="1 second").start())
     end = None if seconds is None else time.monotonic() + seconds
+    checked = -1
     try:
         while True:
-            # with timers there is always a next batch, so the stream is never "all processed"
-            left = _left(asked, outcomes(spark, output_dir))
-            if left.isEmpty():
+            # with timers there is always a next batch, so the stream is never "all processed";
+            # what is left can only change with a batch, and a look at it reads all outcomes
+            over = end is not None and time.monotonic() >= end
+            progress = query.lastProgress
+            batch = progress["batchId"] if progress else None
+            if (over or batch != checked) and _left(asked, outcomes(spark, output_dir)).isEmpty():
                 return True
-            if end is not None and time.monotonic() >= end:
+            checked = batch
+            if over:
                 return False
             if query.awaitTermination(1):
                 raise RuntimeError(str(query.exception() or "the stream has stopped"))

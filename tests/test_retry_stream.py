@@ -47,3 +47,20 @@ def test_retries_until_done(spark, tmp_path):
     want = sorted((f"k{i}", f"say {i} {i % 5}!" if i % 5 < 3 else None, "ok" if i % 5 < 3 else "error", min(i % 5 + 1, 3))
                   for i in range(20))
     assert got == want
+
+
+def test_a_state_is_no_exchange_of_its_own(spark, tmp_path):
+    """10,000 keys, every one tried twice and asked again while it waits: a request keeps its timer, and
+    calls and outcomes are one each (key by key with the store, this took several times as long)."""
+    import time
+    inp, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    rows = [(f"k{i}", f"say {i} 1") for i in range(10_000)]
+    write(spark, rows, inp)
+    wait = EN.Policy(tries=3, wait_min=20, wait_max=20, timeout=None)
+    assert not S.run_retrying(spark, inp, out, ckpt, service, wait, seconds=12)
+    write(spark, rows, inp)
+    start = time.monotonic()
+    assert S.run_retrying(spark, inp, out, ckpt, service, wait, seconds=120)
+    assert time.monotonic() - start < 60
+    got = [(r.key, r.response, r.attempts) for r in S.outcomes(spark, out).collect()]
+    assert sorted(got) == sorted((k, f"{p}!", 2) for k, p in rows)
