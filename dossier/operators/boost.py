@@ -2,14 +2,14 @@
 
 Logistic loss: a row's gradient is p - y and its hessian p (1 - p). Features are
 cut into at most ``BINS`` bins by quantiles of the training rows (nulls are the
-first bin) and written once. A level of a tree is one Spark job: every task sums
-gradient and hessian per (node, feature, bin) over its rows, the sums are added
-up in one aggregate, and the driver, which sees only these sums, splits each node
-where the regularised gain
+first bin) and written once, as blocks of rows. A level of a tree is one Spark job:
+every task sums gradient and hessian per (node, feature, bin) over its rows into one
+table a node, a node's tables are added up, and it is split where the regularised gain
 
     GL^2 / (HL + L2) + GR^2 / (HR + L2) - G^2 / (H + L2)
 
-is greatest; both sides keep a hessian of ``MIN_HESSIAN`` at least. A leaf is
+is greatest; both sides keep a hessian of ``MIN_HESSIAN`` at least. The driver sees
+one line a node, its split and its sums. A leaf is
 -G / (H + L2), times the step. Rows carry the margin of the trees of earlier
 stages; it is written anew every ``STAGED`` trees, so no job recomputes more
 than these."""
@@ -102,41 +102,70 @@ def quantiles(rows: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
     return [np.unique(np.array(got[f"q{i}"] or [], np.float64)) for i in range(len(features))]
 
 
-def sums(rows: DataFrame, trees: list[Tree], growing: Tree, n_features: int, widest: int,
-         tasks: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per open node of ``growing``: gradient and hessian sums, feature x bin."""
+BLOCKS = "bins binary, y binary, margin binary"
+SPLITS = "node long, g double, h double, gain double, feature long, cut long, gl double, hl double, gr double, hr double"
+
+
+def blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bins, labels and margins of each block of staged rows."""
+    for b in batches:
+        for bins, y, margin in zip(*(b.column(c).to_pylist() for c in ("bins", "y", "margin")), strict=True):
+            yield np.frombuffer(bins, np.int16).reshape(-1, n_features).astype(np.int64), np.frombuffer(y), np.frombuffer(margin)
+
+
+def block(bins: np.ndarray, y: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    parts = (bins.astype(np.int16), y.astype(np.float64), margin.astype(np.float64))
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], ["bins", "y", "margin"])
+
+
+def split_row(node: int, both: np.ndarray) -> list[float]:
+    """A node's line of ``SPLITS`` from its sums, 2 x feature x bin."""
+    g, h = both
+    gain, f, at = best_split(g, h)
+    sides = [float(x[f, side].sum()) for side in (slice(at + 1), slice(at + 1, None)) for x in (g, h)] if f >= 0 else [0.0] * 4
+    return [node, float(g[0].sum()), float(h[0].sum()), gain, f, at, *sides]
+
+
+def splits(rows: DataFrame, trees: list[Tree], growing: Tree, level: int, n_features: int, widest: int,
+           tasks: int) -> list:
+    """The lines of the nodes of one ``level`` of ``growing`` that have rows."""
+    first, shape = 2 ** level - 1, (2 ** level, 2, n_features, widest)
+    names = [c.split()[0] for c in SPLITS.split(", ")]
+
+    def lines(made: list[list[float]]) -> pa.Table:
+        columns = list(zip(*made, strict=True)) if made else [()] * len(names)
+        return pa.table({n: pa.array(c, pa.int64() if n in ("node", "feature", "cut") else pa.float64())
+                         for n, c in zip(names, columns, strict=True)})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            if not b.num_rows:
-                continue
-            bins, y = matrix(b.column("bins")).astype(np.int64), b.column("y").to_numpy(zero_copy_only=False)
-            margin = b.column("margin").to_numpy(zero_copy_only=False) + sum((t.margins(bins) for t in trees), 0.0)
+        total, seen = np.zeros(shape), np.zeros(shape[0], bool)
+        for bins, y, margin in blocks(batches, n_features):
+            margin = margin + sum((t.margins(bins) for t in trees), 0.0)
             p = 1 / (1 + np.exp(-margin))
-            g, h = p - y, p * (1 - p)
-            at = growing.nodes(bins)
-            for node in np.unique(at):
-                mine = at == node
-                both = total.setdefault(int(node), np.zeros((2, n_features, widest)))
-                for i in range(n_features):
-                    both[0, i] += np.bincount(bins[mine, i], g[mine], widest)
-                    both[1, i] += np.bincount(bins[mine, i], h[mine], widest)
-        for node, both in total.items():
-            f, k = np.nonzero((both[0] != 0) | (both[1] != 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(f), node)), pa.array(f), pa.array(k), pa.array(both[0, f, k]), pa.array(both[1, f, k])],
-                ["node", "f", "bin", "g", "h"])
-
-    parts = rows.mapInArrow(run, "node long, f long, bin long, g double, h double")
-    if tasks > 1:
-        parts = parts.groupBy("node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    got = parts.toPandas()
-    out = {}
-    for node, part in got.groupby("node"):
-        both = np.zeros((2, n_features, widest))
-        both[0, part["f"], part["bin"]], both[1, part["f"], part["bin"]] = part["g"], part["h"]
-        out[int(node)] = (both[0], both[1])
-    return out
+            at = growing.nodes(bins) - first
+            here = at >= 0  # the others are in leaves of earlier levels
+            at, bins, g, h = at[here], bins[here], (p - y)[here], (p * (1 - p))[here]
+            seen |= np.bincount(at, minlength=len(seen)) > 0
+            for i in range(n_features):
+                cell = at * widest + bins[:, i]
+                total[:, 0, i] += np.bincount(cell, g, len(seen) * widest).reshape(-1, widest)
+                total[:, 1, i] += np.bincount(cell, h, len(seen) * widest).reshape(-1, widest)
+        open_nodes = np.flatnonzero(seen).tolist()
+        if tasks > 1:
+            yield pa.RecordBatch.from_arrays([pa.array([n + first for n in open_nodes], pa.int64()), pa.array(
+                [total[n].tobytes() for n in open_nodes], pa.binary())], ["node", "sums"])
+        else:
+            yield from lines([split_row(n + first, total[n]) for n in open_nodes]).to_batches()
+
+    def added(part: pa.Table) -> pa.Table:
+        both = np.zeros(shape[1:])
+        for x in part.column("sums").to_pylist():
+            both += np.frombuffer(x).reshape(both.shape)
+        return lines([split_row(part.column("node")[0].as_py(), both)])
+
+    if tasks <= 1:
+        return rows.mapInArrow(run, SPLITS).collect()
+    return rows.mapInArrow(run, "node long, sums binary").groupBy("node").applyInArrow(added, SPLITS).collect()
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str, rounds: int = ROUNDS, depth: int = DEPTH,
@@ -148,49 +177,41 @@ def fit(train: DataFrame, features: Sequence[str], label: str, rounds: int = ROU
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bins = binned(matrix(b.column("x")), edges) if b.num_rows else np.empty((0, len(edges)), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(bins.astype(np.int16)), pa.list_(pa.int16())), b.column("y"), pa.array(
-                np.zeros(b.num_rows))], ["bins", "y", "margin"])
+            if b.num_rows:
+                yield block(binned(matrix(b.column("x")), edges), b.column("y").to_numpy(zero_copy_only=False), np.zeros(b.num_rows))
 
     rows = train.select(features_column(features).alias("x"), F.col(label).cast("double").alias("y"))
-    rows = rows.mapInArrow(cut, "bins array<smallint>, y double, margin double")
-    # a small set is one task's, whose sums need no exchange; a large one keeps its partitions
-    tasks = -(-train.count() // ROWS_PER_TASK)
-    rows = materialize(rows.coalesce(1) if tasks <= 1 else rows, "boost-rows")
+    # as many tasks as the rows need: each job of a level starts them all again
+    tasks = max(1, -(-train.count() // ROWS_PER_TASK))
+    rows = rows.coalesce(1) if tasks == 1 else rows.repartition(tasks)
+    rows = materialize(rows.mapInArrow(cut, BLOCKS), "boost-rows")
     model, fresh = Model(edges, [], 0.0), []
     for _ in range(rounds):
         tree = Tree()
         for level in range(depth):
-            for node, (g, h) in sums(rows, fresh, tree, len(features), widest, tasks).items():
-                if node < 2 ** level - 1:
-                    continue  # a leaf of an earlier level
-                if node == 0:
-                    tree.value[0] = leaf(g[0].sum(), h[0].sum(), step)
-                gain, f, at = best_split(g, h)
-                if gain > 0:
-                    tree.feature[node], tree.cut[node] = f, at
-                    tree.value[2 * node + 1] = leaf(g[f, :at + 1].sum(), h[f, :at + 1].sum(), step)
-                    tree.value[2 * node + 2] = leaf(g[f, at + 1:].sum(), h[f, at + 1:].sum(), step)
+            for r in splits(rows, fresh, tree, level, len(features), widest, tasks):
+                if r.node == 0:
+                    tree.value[0] = leaf(r.g, r.h, step)
+                if r.gain > 0:
+                    tree.feature[r.node], tree.cut[r.node] = r.feature, r.cut
+                    tree.value[2 * r.node + 1], tree.value[2 * r.node + 2] = leaf(r.gl, r.hl, step), leaf(r.gr, r.hr, step)
             if not (tree.feature[2 ** level - 1:2 ** (level + 1) - 1] >= 0).any():
                 break
         model.trees.append(tree)
         fresh.append(tree)
         if len(fresh) == STAGED:
-            rows, fresh = materialize(advanced(rows, fresh), "boost-rows"), []
+            rows, fresh = materialize(advanced(rows, fresh, len(features)), "boost-rows"), []
         if tree.feature[0] < 0 and abs(tree.value[0]) < NO_GAIN:
             break
     return model
 
 
-def advanced(rows: DataFrame, trees: list[Tree]) -> DataFrame:
+def advanced(rows: DataFrame, trees: list[Tree], n_features: int) -> DataFrame:
     """``rows`` with the margins of ``trees`` added."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                bins = matrix(b.column("bins")).astype(np.int64)
-                margin = b.column("margin").to_numpy(zero_copy_only=False) + sum(t.margins(bins) for t in trees)
-                yield pa.RecordBatch.from_arrays([b.column("bins"), b.column("y"), pa.array(margin)], ["bins", "y", "margin"])
-    return rows.mapInArrow(run, "bins array<smallint>, y double, margin double")
+        for bins, y, margin in blocks(batches, n_features):
+            yield block(bins, y, margin + sum(t.margins(bins) for t in trees))
+    return rows.mapInArrow(run, BLOCKS)
 
 
 def predicted(rows: DataFrame, model: Model, features: Sequence[str]) -> DataFrame:

@@ -85,3 +85,24 @@ def test_nets_as_given(rows):
     assert M.fit_predict(train, test, ("a", "b"), "y", "NN", subset=True).select("prediction").distinct().count() >= 1
     with pytest.raises(ValueError):
         M.fit_predict(train, test, ("a",), "y", "??")
+
+
+def test_a_level_sends_a_line_a_node(spark, monkeypatch):
+    """Rows in many tasks: the splits are those of one task, and the driver gets one line a node."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 3))
+    data = [(float(a), float(b), float(c), int(a * b > 0)) for a, b, c in x]
+    df = spark.createDataFrame(data, "a double, b double, c double, y int").repartition(4)
+    lines = []
+    real = B.splits
+
+    def noted(*args):
+        lines.append((args[-1], real(*args)))
+        return lines[-1][1]
+    monkeypatch.setattr(B, "splits", noted)
+    one = B.fit(df, ("a", "b", "c"), "y", 3, 3)
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 1000)
+    many = B.fit(df, ("a", "b", "c"), "y", 3, 3)
+    assert {t for t, _ in lines} == {1, 4} and all(len(got) <= 4 for _, got in lines)
+    for a, b in zip(one.trees, many.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value)
