@@ -57,21 +57,38 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return materialize(ordered_index(stacked.distinct(), ["_v"], by=["_col"], name="_code"), "codes")
 
 
+#: A column's codes are broadcast up to this size, values and some 16 bytes a code.
+BROADCAST_BYTES = 1 << 20
+
+
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Join each column's codes back on the value; null and values the code
-    table has not seen get -1. The code table (one row per distinct value)
-    is broadcast after a count when it is small, the usual case for
-    categories, so the wide table is not shuffled once per column."""
-    codes = checked_broadcast(codes, 1_000_000)
+    table has not seen get -1. A column's codes (one row per distinct value)
+    are broadcast where they are few and short, the usual case for categories,
+    so the wide table is not shuffled for it; others are joined by sorting both
+    sides, whatever the planner takes for small, so nothing that grows with the
+    rows passes through the driver."""
+    sizes = {r._col: r.size for r in codes.groupBy("_col").agg(F.sum(F.octet_length("_v") + 16).alias("size")).collect()}
     out = df
     for c in columns:
         mine = codes.filter(F.col("_col") == c).select(F.col("_v").alias(f"_v_{c}"), "_code")
+        mine = F.broadcast(mine) if sizes.get(c, 0) <= BROADCAST_BYTES else mine.hint("merge")
         out = (out.join(mine, out[c] == mine[f"_v_{c}"], "left")
                .withColumn(f"{c}{suffix}", F.coalesce(F.col("_code"), F.lit(-1)).cast("int"))
                .drop("_code", f"_v_{c}"))
     return out
 
 
+def ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the values of string columns replaced by short strings in the same
+    order: ranks among the distinct values, padded with zeros; null stays null. Codes
+    fitted on any of these rows are the same as on the values."""
+    coded = dense_codes_many(df, columns, "_rank")
+    names = [F.when(F.col(f"{c}_rank") >= 0, F.lpad(F.col(f"{c}_rank").cast("string"), 10, "0")).alias(c)
+             if c in columns else F.col(c) for c in df.columns]
+    return coded.select(*names)
+
+
 def dense_codes_many(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Category codes of several string columns, fitted on ``df`` itself:
     distinct non-null values in code-point order get 0..k-1, null gets -1."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.operators import ml as M
@@ -277,15 +280,22 @@ def model_rows(spark, sf_dir):
     return materialize(rows, "model-rows")
 
 
+def coded(train, test):
+    """Both with category codes fitted on the training rows only."""
+    codes = RK.fit_codes(train, CATEGORY_COLS)
+    return tuple(RK.apply_codes(x, codes, CATEGORY_COLS) for x in (train, test))
+
+
+def predictions(kind, train, test):
+    """``test`` with a prediction ``p`` of a model fitted on ``train``, both coded."""
+    return M.fit_predict(train, test, MODEL_FEATURES, "y", kind).select(
+        "row", F.col("y").cast("int").alias("y"), F.col("prediction").alias("p"))
+
+
 def fitted_on(kind):
     """(train, test) -> test with a prediction ``p``; category codes are
     fitted on the training rows only."""
-    def fit(train, test):
-        codes = RK.fit_codes(train, CATEGORY_COLS)
-        train, test = (RK.apply_codes(x, codes, CATEGORY_COLS) for x in (train, test))
-        return M.fit_predict(train, test, MODEL_FEATURES, "y", kind).select(
-            "row", F.col("y").cast("int").alias("y"), F.col("prediction").alias("p"))
-    return fit
+    return lambda train, test: predictions(kind, *coded(train, test))
 
 
 def held_out_predictions(spark, sf_dir, kind):
@@ -327,11 +337,16 @@ CROSS_VALIDATED = ("RF", "NN", "KN")
 @register("ml_cross_validation")
 def q_ml_cross_validation(spark, sf_dir):
     """f1 per kind of model and fold, fitted anew on the other folds, and the mean."""
-    folds = RK.stratified_folds(model_rows(spark, sf_dir), "y", "row", FOLDS, FOLD_SEED)
+    folds = RK.stratified_folds(RK.ranked(model_rows(spark, sf_dir), CATEGORY_COLS), "y", "row", FOLDS, FOLD_SEED)
     folds = materialize(folds, "folds")
+    # the codes of a fold are fitted and joined once, whatever the kinds that read them
+    columns = ("row", "y", *MODEL_FEATURES)
+    parts = [[materialize(x.select(*columns), "fold-codes") for x in coded(folds.filter(F.col("fold") != k),
+                                                                          folds.filter(F.col("fold") == k))]
+             for k in range(FOLDS)]
     out = None
     for kind in CROSS_VALIDATED:
-        scored = materialize(M.cross_validated(folds, fitted_on(kind), folds=FOLDS), "scored")
+        scored = materialize(reduce(DataFrame.unionByName, [predictions(kind, *p) for p in parts]), "scored")
         f1 = Q.fold_f1(scored.join(folds.select("row", "fold"), "row")).withColumn("kind", F.lit(kind))
         out = f1 if out is None else out.unionByName(f1)
     return out
@@ -342,9 +357,10 @@ def q_ml_validation(spark, sf_dir):
     """Report of each kind of model trained on the rows before VALIDATION_ROW, on those from it on."""
     rows = model_rows(spark, sf_dir)
     late = F.col("row") >= VALIDATION_ROW
+    columns = ("row", "y", *MODEL_FEATURES)
+    train, test = (materialize(x.select(*columns), "validation-codes") for x in coded(rows.filter(~late), rows.filter(late)))
     out = None
     for kind in M.MODELS:
-        got = materialize(fitted_on(kind)(rows.filter(~late), rows.filter(late)), "validated")
-        report = Q.report(got).withColumn("kind", F.lit(kind))
+        report = Q.report(materialize(predictions(kind, train, test), "validated")).withColumn("kind", F.lit(kind))
         out = report if out is None else out.unionByName(report)
     return out

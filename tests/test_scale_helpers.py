@@ -219,3 +219,28 @@ def test_job_rate_holds_whatever_tasks_run(spark, tasks):
     at = sorted(float(r.response) for r in EN.enrich(df, now, "prompt", policy=pol, partitions=tasks).collect())
     assert len(at) == 20 and at[-1] - at[0] >= 18 / 20
     assert all(sum(t <= x < t + 0.5 for x in at) <= 12 for t in at)
+
+
+def test_codes_of_many_values_are_not_broadcast(spark, monkeypatch):
+    """A column whose codes grow with the rows is joined by sorting; a short one is broadcast; codes are the same."""
+    rows = [(i, f"v{i:04d}" if i % 7 else None, f"s{i % 3}") for i in range(600)]
+    df = spark.createDataFrame(rows, "i long, v string, s string")
+    monkeypatch.setattr(RK, "BROADCAST_BYTES", 1000)
+    out = RK.dense_codes_many(df, ["v", "s"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") == 1 and plan.count("strategy=broadcast") == 1
+    values = sorted({r[1] for r in rows if r[1]})
+    assert {r.i: (r.v_code, r.s_code) for r in out.collect()} == {
+        i: (values.index(v) if v else -1, int(s[1])) for i, v, s in rows}
+
+
+def test_ranks_give_the_codes_of_the_values(spark):
+    rows = [(i, None if i % 5 == 0 else f"{'xyZ é'[i % 5]}{i * 7 % 23}") for i in range(120)]
+    df = spark.createDataFrame(rows, "i long, v string")
+    ranked = RK.ranked(df, ["v"])
+    assert ranked.columns == df.columns
+    codes = []
+    for d in (df, ranked):
+        fit = RK.fit_codes(d.where("i % 3 <> 0"), ["v"])
+        codes.append({r.i: r.v_code for r in RK.apply_codes(d, fit, ["v"]).collect()})
+    assert codes[0] == codes[1]
