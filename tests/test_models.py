@@ -106,3 +106,18 @@ def test_a_level_sends_a_line_a_node(spark, monkeypatch):
     assert {t for t, _ in lines} == {1, 4} and all(len(got) <= 4 for _, got in lines)
     for a, b in zip(one.trees, many.trees, strict=True):
         assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value)
+
+
+def test_validation_codes_its_rows_once(spark, monkeypatch):
+    """Four kinds of model read the same coded rows."""
+    from pyspark.sql import functions as F
+
+    from dossier.plans import q_quality as QQ
+    data = [(i, *[f"{c}{i % 3}" for c in QQ.CATEGORY_COLS], 1990 + i % 9, i % 2) for i in range(735, 755)]
+    rows = spark.createDataFrame(data, ["row", *QQ.CATEGORY_COLS, "min_year", "y"])
+    fits, real = [], QQ.RK.fit_codes
+    monkeypatch.setattr(QQ, "model_rows", lambda *_: rows)
+    monkeypatch.setattr(QQ.RK, "fit_codes", lambda *a: fits.append(1) or real(*a))
+    monkeypatch.setattr(QQ.M, "fit_predict", lambda train, test, *_: test.withColumn("prediction", F.lit(1)))
+    got = QQ.q_ml_validation(spark, "").where("label = 1").collect()
+    assert len(fits) == 1 and {r.kind for r in got} == set(M.MODELS) and {r.support for r in got} == {5}
